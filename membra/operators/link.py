@@ -121,17 +121,17 @@ def attach_by_crosswalk(df: DataFrame, keys: Sequence[str], set_col: str, order:
     ordk = F.struct(F.col("__r").alias("r"), F.col("__p").alias("p"))
     first_t = hits.groupBy(*keys, "__t").agg(F.min(ordk).alias("__o"))
     t_list = first_t.groupBy(*keys).agg(
-        F.array_sort(F.collect_list(F.struct(F.col("__o").alias("o"), F.col("__t").alias("v"))))
+        F.sort_array(F.collect_list(F.struct(F.col("__o").alias("o"), F.col("__t").alias("v"))))
         .alias("__tl"), F.max(F.col("__t").isNull().cast("int")).alias("__anynull"))
-    a_list = hits.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct(
+    a_list = hits.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
         ordk.alias("o"), na_text(F.col("__a")).alias("a")))).alias("__al"))
     per = join_on(t_list, a_list, keys, "inner")
     per = per.select(
         *keys,
         F.when(F.col("__anynull") == 1, F.lit(None).cast("string"))
-         .otherwise(strip_collapsed_na(F.array_join(F.transform("__tl", lambda s: s["v"]), ";")))
+         .otherwise(strip_collapsed_na(F.array_join(F.col("__tl").getField("v"), ";")))
          .alias("__set"),
-        strip_collapsed_na(F.array_join(F.transform("__al", lambda s: s["a"]), ";")).alias(out_attr))
+        strip_collapsed_na(F.array_join(F.col("__al").getField("a"), ";")).alias(out_attr))
     res = join_on(df, per, keys, "left")
     return res.withColumn(set_col, F.col("__set")).drop("__set").distinct()
 

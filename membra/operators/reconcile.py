@@ -35,7 +35,7 @@ def legacy_side(rows: DataFrame, member: str, period: str, sub: str, group, role
     per_sub = group_sets(rows, [member, period, sub],
                          {"__roles": (role, "unique_na"), "__groups": (group, "sorted")}, order)
     clean = per_sub.groupBy(member, period).agg(
-        agg_normalized("__groups").alias(groups_out),
+        agg_normalized("__groups", canonical_inputs=True).alias(groups_out),
         agg_paste("__roles", sub).alias(roles_out))
     return clean.withColumn(roles_out, clean_roles(roles_out))
 
@@ -48,6 +48,41 @@ def roster_side(rows: DataFrame, member: str, period: str, person: str, group, t
                       {groups_out: (group, "sorted"), titles_out: (title, "unique")}, order)
 
 
+def reconcile_rows(rows: DataFrame, source: str, a_value, b_value, member: str, period: str,
+                   a_sub: str, b_person: str, group, a_role, b_title, order,
+                   a_groups_out: str = "committees_sw", roles_out: str = "positions",
+                   b_groups_out: str = "committees_unitedstates", titles_out: str = "titles",
+                   person_out: str = "bioguide") -> DataFrame:
+    """K5 when both sources live in one row set (told apart by ``source``).
+
+    Same result as ``reconcile(legacy_side(A), roster_side(B))``, but the rows
+    are scanned and aggregated once: one ``group_sets`` pass keyed by
+    (source, member, period, sub-unit or person) feeds both sides, so the
+    shuffle is shared and the input is read a single time.
+    """
+    src = F.col(source)
+    is_a = src == F.lit(a_value)
+    slim = rows.filter(src.isin(a_value, b_value)).select(
+        src.alias("__src"), member, period,
+        F.when(is_a, F.col(a_sub).cast("string")).otherwise(F.col(b_person).cast("string"))
+         .alias("__sub"),
+        F.col(group).alias("__g") if isinstance(group, str) else group.alias("__g"),
+        F.when(is_a, F.col(a_role) if isinstance(a_role, str) else a_role).alias("__role"),
+        F.when(~is_a, F.col(b_title) if isinstance(b_title, str) else b_title).alias("__title"),
+        (F.col(order) if isinstance(order, str) else order).alias("__ord"))
+    sets = group_sets(slim, ["__src", member, period, "__sub"],
+                      {"__roles": ("__role", "unique_na"), "__groups": ("__g", "sorted"),
+                       "__titles": ("__title", "unique")}, "__ord")
+    a = (sets.filter(F.col("__src") == F.lit(a_value)).groupBy(member, period)
+         .agg(agg_normalized("__groups", canonical_inputs=True).alias(a_groups_out),
+              agg_paste("__roles", "__sub").alias(roles_out)))
+    a = a.withColumn(roles_out, clean_roles(roles_out))
+    b = sets.filter(F.col("__src") == F.lit(b_value)).select(
+        member, period, F.col("__sub").alias(person_out), F.col("__groups").alias(b_groups_out),
+        F.col("__titles").alias(titles_out))
+    return reconcile(a, b, [member, period])
+
+
 def reconcile(a_clean: DataFrame, b_clean: DataFrame, keys: Sequence[str]) -> DataFrame:
     """Full join of both sides on the join grain, NULL keys matching.
 

@@ -47,7 +47,10 @@ def add_group_min(df: DataFrame, keys: Sequence[str], value: str, name: str) ->
 
 
 def _sorted_join(pairs: Column, sep: str) -> Column:
-    return F.array_join(F.transform(F.array_sort(pairs), lambda s: s["v"]), sep)
+    """Join the ``v`` fields of (o, v) structs in ``o`` order.  ``sort_array``
+    and a struct-field projection keep this free of lambda functions, so it
+    stays in generated code."""
+    return F.array_join(F.sort_array(pairs).getField("v"), sep)
 
 
 def collapse_unique_multi(df: DataFrame, keys: Sequence[str], values: dict[str, Column],
@@ -115,7 +118,7 @@ def normalize_set(df: DataFrame, keys: Sequence[str], value, out: str = "normali
     keys = list(keys)
     ex = df.select(*keys, F.explode_outer(F.split(_c(value), sep, -1)).alias("__t"))
     t = squish(F.col("__t"))
-    terms = F.array_sort(F.collect_set(F.when(~is_na_like(t), t)))
+    terms = F.sort_array(F.collect_set(F.when(~is_na_like(t), t)))
     joined = F.array_join(terms, ";")
     return ex.groupBy(*keys).agg(F.when(F.size(terms) == 0, F.lit(None))
                                  .otherwise(joined).alias(out))
@@ -152,12 +155,16 @@ def member_period_rollup(df: DataFrame, member: str, period: str, values: dict[s
 # ---------------------------------------------------------------------------
 # Aggregate expressions for groups that are already small (pre-aggregated)
 # ---------------------------------------------------------------------------
-def agg_normalized(value) -> Column:
+def agg_normalized(value, canonical_inputs: bool = False) -> Column:
     """A7 as one aggregate expression over set strings of a small group:
     ``flatten(collect_list(split))`` -> squish -> drop NA-like -> distinct ->
-    sort -> join; empty -> NULL."""
+    sort -> join; empty -> NULL.  With ``canonical_inputs`` (every input is
+    already a canonical set or NULL) the squish/filter lambdas are skipped."""
     parts = F.flatten(F.collect_list(F.split(_c(value), SET_SEPARATORS, -1)))
-    kept = F.array_sort(F.array_distinct(
+    if canonical_inputs:
+        kept = F.sort_array(F.array_distinct(parts))
+        return F.when(F.size(kept) == 0, F.lit(None)).otherwise(F.array_join(kept, ";"))
+    kept = F.sort_array(F.array_distinct(
         F.filter(F.transform(parts, lambda t: squish(t)), lambda t: ~is_na_like(t))))
     return F.when(F.size(kept) == 0, F.lit(None)).otherwise(F.array_join(kept, ";"))
 
@@ -168,12 +175,6 @@ def agg_paste(value, order, sep: str = ";") -> Column:
                                                 na_text(value).alias("v"))), sep)
 
 
-def _tagger(i: int):
-    # ``transform`` reads a two-argument lambda as (element, index), so the
-    # column number is bound by a closure instead of a default argument.
-    return lambda t: F.struct(F.lit(i).alias("i"), t.alias("v"))
-
-
 def group_sets(df: DataFrame, keys: Sequence[str], specs: dict[str, tuple], order) -> DataFrame:
     """Several set columns per group from raw rows with one pre-aggregation.
 
@@ -184,26 +185,35 @@ def group_sets(df: DataFrame, keys: Sequence[str], specs: dict[str, tuple], orde
                           order, empty -> NULL
     Rows are stacked as (group, column, value), reduced to ``min(order)`` per
     distinct triple (combined map-side), then collected per group: a group
-    only ever holds its distinct values.
+    only ever holds its distinct values.  Only generators and plain
+    expressions are used (no lambda functions), so every stage is codegen'd.
     """
     keys = list(keys)
     names = list(specs)
+    modes = [specs[n][1] for n in names]
+    for m in modes:
+        if m not in ("unique", "unique_na", "sorted"):
+            raise ValueError(f"unknown set mode {m!r}")
     arms = []
     for i, n in enumerate(names):
-        value, mode = specs[n][0], specs[n][1]
-        v = _c(value).cast("string")
-        if mode == "sorted":
-            arr = F.transform(F.split(v, SET_SEPARATORS, -1), lambda t: squish(t))
-            arr = F.coalesce(arr, F.array(F.lit(None).cast("string")))
-        elif mode == "unique_na":
-            arr = F.array(na_text(v))
-        elif mode == "unique":
-            arr = F.array(v)
-        else:
-            raise ValueError(f"unknown set mode {mode!r}")
-        arms.append(F.transform(arr, _tagger(i)))
-    stacked = df.select(*keys, _c(order).alias("__o"),
-                        F.explode(F.flatten(F.array(*arms))).alias("__s"))
+        v = _c(specs[n][0]).cast("string")
+        if modes[i] == "unique_na":
+            v = na_text(v)
+        arms.append(F.struct(F.lit(i).alias("i"), v.alias("v")))
+    step = df.select(*keys, _c(order).alias("__o"), F.explode(F.array(*arms)).alias("__s"))
+    split_ids = [i for i, m in enumerate(modes) if m == "sorted"]
+    i_col, v_col = F.col("__s.i"), F.col("__s.v")
+    if split_ids:
+        pieces = F.when(i_col.isin(split_ids),
+                        F.coalesce(F.split(v_col, SET_SEPARATORS, -1),
+                                   F.array(F.lit(None).cast("string"))))
+        pieces = pieces.otherwise(F.array(v_col))
+        step = step.select(*keys, "__o", i_col.alias("__i"), F.explode(pieces).alias("__raw"))
+        v = F.when(F.col("__i").isin(split_ids), squish("__raw")).otherwise(F.col("__raw"))
+        stacked = step.select(*keys, "__o", F.struct(F.col("__i").alias("i"), v.alias("v"))
+                              .alias("__s"))
+    else:
+        stacked = step
     pre = (stacked.groupBy(*keys, F.col("__s.i").alias("__i"), F.col("__s.v").alias("__v"))
            .agg(F.min("__o").alias("__o")))
     aggs = []
@@ -212,7 +222,7 @@ def group_sets(df: DataFrame, keys: Sequence[str], specs: dict[str, tuple], orde
         sep = specs[n][2] if len(specs[n]) > 2 else ";"
         mine = F.col("__i") == i
         if mode == "sorted":
-            vals = F.array_sort(F.collect_list(F.when(mine & ~is_na_like("__v"), F.col("__v"))))
+            vals = F.sort_array(F.collect_list(F.when(mine & ~is_na_like("__v"), F.col("__v"))))
             aggs.append(F.when(F.size(vals) == 0, F.lit(None))
                         .otherwise(F.array_join(vals, sep)).alias(n))
         else:

@@ -72,11 +72,8 @@ def assignments(spark: SparkSession, sf: str) -> DataFrame:
 def two_source_reconcile(spark: SparkSession, sf: str) -> DataFrame:
     """K5: both sources normalised at (member, period) and full-joined."""
     rows = assignments(spark, sf)
-    a = rc.legacy_side(rows.filter(F.col("source") == "R"), "icpsr", "congress", "chamber",
-                       "committee", "position", "ord")
-    b = rc.roster_side(rows.filter(F.col("source") == "A"), "icpsr", "congress", "bioguide",
-                       "committee", "title", "ord")
-    return rc.reconcile(a, b, ["icpsr", "congress"])
+    return rc.reconcile_rows(rows, "source", "R", "A", "icpsr", "congress", "chamber", "bioguide",
+                             "committee", "position", "title", "ord")
 
 
 def discrepancy_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -506,7 +503,9 @@ def attach_by_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
     """Attach brand lists to each member-period through its groups."""
     p = table(spark, sf, "part")
     cw = p.filter(F.col("p_size") <= 10).select(
-        F.upper("p_type").alias("committees"), F.col("p_brand").alias("acronym")).distinct()
+        F.upper("p_type").alias("committees"),
+        F.concat(F.substring("p_type", 1, 3), F.lit("-"),
+                 (F.col("p_size") / 10).cast("int").cast("string")).alias("acronym")).distinct()
     return lk.attach_by_crosswalk(_combined(spark, sf), ["icpsr", "congress"], "committees",
                                   ["bioguide"], cw, "committees", "acronym")
 
