@@ -119,19 +119,19 @@ def attach_by_crosswalk(df: DataFrame, keys: Sequence[str], set_col: str, order:
     cw = crosswalk.select(F.col(cw_term).alias("__t2"), F.col(cw_attr).alias("__a")).distinct()
     hits = terms.join(cw, F.col("__t").eqNullSafe(F.col("__t2")), "left")
     ordk = F.struct(F.col("__r").alias("r"), F.col("__p").alias("p"))
-    first_t = hits.groupBy(*keys, "__t").agg(F.min(ordk).alias("__o"))
-    t_list = first_t.groupBy(*keys).agg(
-        F.sort_array(F.collect_list(F.struct(F.col("__o").alias("o"), F.col("__t").alias("v"))))
-        .alias("__tl"), F.max(F.col("__t").isNull().cast("int")).alias("__anynull"))
-    a_list = hits.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct(
-        ordk.alias("o"), na_text(F.col("__a")).alias("a")))).alias("__al"))
-    per = join_on(t_list, a_list, keys, "inner")
+    # One sorted list per group: array_distinct of its terms keeps each
+    # term's first appearance; its attributes are already in order.
+    lst = F.sort_array(F.collect_list(F.struct(ordk.alias("o"), F.col("__t").alias("t"),
+                                               na_text(F.col("__a")).alias("a"))))
+    per = hits.groupBy(*keys).agg(lst.alias("__l"),
+                                  F.max(F.col("__t").isNull().cast("int")).alias("__anynull"))
     per = per.select(
         *keys,
         F.when(F.col("__anynull") == 1, F.lit(None).cast("string"))
-         .otherwise(strip_collapsed_na(F.array_join(F.col("__tl").getField("v"), ";")))
+         .otherwise(strip_collapsed_na(F.array_join(F.array_distinct(F.col("__l").getField("t")),
+                                                    ";")))
          .alias("__set"),
-        strip_collapsed_na(F.array_join(F.col("__al").getField("a"), ";")).alias(out_attr))
+        strip_collapsed_na(F.array_join(F.col("__l").getField("a"), ";")).alias(out_attr))
     res = join_on(df, per, keys, "left")
     return res.withColumn(set_col, F.col("__set")).drop("__set").distinct()
 
@@ -144,9 +144,11 @@ def normalize_alias(c) -> Column:
     return squish(F.regexp_replace(F.lower(_c(c)), r"[^\p{L}\p{N}]+", " "))
 
 
-def _ngram(toks: Column, n: int):
-    # bound by closure: ``transform`` reads a two-argument lambda as (x, index)
-    return lambda i: F.array_join(F.slice(toks, i + 1, n), " ")
+def _ngrams(norm: Column, n: int) -> Column:
+    """All token n-grams of a normalised (single-spaced) text, in order: a
+    zero-width lookahead at every token start captures the next n tokens."""
+    pattern = r"(?<!\S)(?=(\S+" + r"(?: \S+)" * (n - 1) + "))"
+    return F.regexp_extract_all(norm, F.lit(pattern), 1)
 
 
 def resolve_names(df: DataFrame, row_keys: Sequence[str], text: str, period: str,
@@ -163,15 +165,9 @@ def resolve_names(df: DataFrame, row_keys: Sequence[str], text: str, period: str
     d = dictionary.select(normalize_alias(alias).alias("__alias"),
                           F.col(dict_period).alias("__dp"), *dict_cols)
     max_n = d.select(F.max(F.size(F.split("__alias", " ")))).first()[0] or 1
-    toks = F.split(normalize_alias(text), " ")
-    empty = F.array().cast("array<string>")
-    grams = F.flatten(F.array(*[
-        F.when(F.size(toks) >= n,
-               F.transform(F.sequence(F.lit(0), F.size(toks) - n), _ngram(toks, n)))
-         .otherwise(empty)
-        for n in range(1, max_n + 1)]))
-    g = df.select(*row_keys, F.col(period).alias("__p"),
-                  F.explode(F.filter(grams, lambda s: s != "")).alias("__g"))
+    norm = normalize_alias(text)
+    grams = F.flatten(F.array(*[_ngrams(norm, n) for n in range(1, max_n + 1)]))
+    g = df.select(*row_keys, F.col(period).alias("__p"), F.explode(grams).alias("__g"))
     hits = g.join(d, (F.col("__g") == F.col("__alias"))
                   & (F.col("__dp").isNull() | (F.col("__dp") == F.col("__p"))))
     matched = hits.select(*row_keys, *dict_cols).distinct()

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .joins import exists_flag, join_on
@@ -41,24 +41,36 @@ def is_empty_set(c) -> Column:
     return c.isNull() | c.isin(list(EMPTY_SET_TEXTS))
 
 
-def gap_report(roster: DataFrame, memberships: DataFrame, keys: Sequence[str], set_col: str,
-               period: str, min_period: int, exclude_col: str, exclude_value: str,
-               missing_ids: DataFrame, flag_keys: Sequence[str],
-               flag: str = "icpsr_missing") -> DataFrame:
-    """Roster rows (after ``min_period``) whose joined group set is empty,
-    minus one category (a NULL category drops too, as R's ``filter``), flagged
-    when their id is on a known missing-id list (never NULL)."""
-    r = roster.filter(F.col(period) > min_period)
-    j = join_on(r, memberships, list(keys), "left")
-    gaps = j.filter((F.col(exclude_col) != exclude_value) & is_empty_set(set_col))
-    return exists_flag(gaps, missing_ids, list(flag_keys), flag)
+def roster_with_sets(roster: DataFrame, memberships: DataFrame, keys: Sequence[str],
+                     period: str, min_period: int) -> DataFrame:
+    """K11 input: roster rows after ``min_period`` (filtered before the join,
+    so the filter reaches the scan) left-joined to the membership sets."""
+    return join_on(roster.filter(F.col(period) > min_period), memberships, list(keys), "left")
 
 
-def gap_history(roster_joined: DataFrame, gaps: DataFrame, id_col: str,
+def gap_condition(set_col: str, exclude_col: str, exclude_value: str) -> Column:
+    """A roster row is a gap when its set is empty and its category is not the
+    excluded one (a NULL category is not TRUE, so it is no gap, as in R)."""
+    return F.coalesce((F.col(exclude_col) != exclude_value) & is_empty_set(set_col),
+                      F.lit(False))
+
+
+def gap_report(joined: DataFrame, is_gap: Column, missing_ids: DataFrame,
+               flag_keys: Sequence[str], flag: str = "icpsr_missing") -> DataFrame:
+    """Gap rows flagged when their key is on a known missing-id list
+    (the flag is never NULL)."""
+    return exists_flag(joined.filter(is_gap), missing_ids, list(flag_keys), flag)
+
+
+def gap_history(roster_joined: DataFrame, is_gap: Column, id_col: str,
                 order: Sequence = ()) -> DataFrame:
-    """K11 second report: every period of members that have a gap somewhere
-    (``%in%`` as a semi-join on the distinct ids; R's ``%in%`` matches NA to
-    NA, so the key test is ``<=>``)."""
-    ids = gaps.select(id_col).distinct()
-    out = join_on(roster_joined, ids, [id_col], "left_semi")
+    """K11 second report: every row of members that have a gap in any row.
+
+    The reference tests ``id %in% gaps$id``; here the same set is found in one
+    pass with a window over the id (NULL ids form one group, as ``%in%``
+    matches NA to NA), instead of a semi-join back onto the same lineage.
+    """
+    w = Window.partitionBy(id_col)
+    flagged = roster_joined.withColumn("__any_gap", F.max(is_gap.cast("int")).over(w))
+    out = flagged.filter(F.col("__any_gap") == 1).drop("__any_gap")
     return out.orderBy(*order) if order else out

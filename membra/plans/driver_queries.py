@@ -558,28 +558,31 @@ def _roster(spark: SparkSession, sf: str) -> DataFrame:
 GAP_COLUMNS = ["chamber", "congress", "bioname", "icpsr", "state", "bioguide_id", "icpsr_missing"]
 
 
-def _gaps(spark: SparkSession, sf: str) -> DataFrame:
-    roster = _roster(spark, sf)
-    members = attach_by_crosswalk(spark, sf).select("icpsr", "congress", "bioguide", "positions",
-                                                    "titles", "committees")
-    missing = roster.filter("no_id").select("congress", "bioguide_id")
-    return rp.gap_report(roster, members, ["icpsr", "congress"], "committees", "congress", 103,
-                         "state_abbrev", "USA", missing, ["congress", "bioguide_id"])
+GAP_MIN_PERIOD = 103
+
+
+def _roster_sets(spark: SparkSession, sf: str) -> DataFrame:
+    members = attach_by_crosswalk(spark, sf).select(
+        "icpsr", "congress", "bioguide", "positions", "titles", "committees", "committees_sw",
+        "committees_unitedstates")
+    return rp.roster_with_sets(_roster(spark, sf), members, ["icpsr", "congress"], "congress",
+                               GAP_MIN_PERIOD)
+
+
+def _is_gap():
+    return rp.gap_condition("committees", "state_abbrev", "USA")
 
 
 def gap_report(spark: SparkSession, sf: str) -> DataFrame:
     """Roster rows without groups, not flagged as missing an id."""
-    return _gaps(spark, sf).filter(~F.col("icpsr_missing")).select(*GAP_COLUMNS)
+    missing = _roster(spark, sf).filter("no_id").select("congress", "bioguide_id")
+    gaps = rp.gap_report(_roster_sets(spark, sf), _is_gap(), missing, ["congress", "bioguide_id"])
+    return gaps.filter(~F.col("icpsr_missing")).select(*GAP_COLUMNS)
 
 
 def gap_history(spark: SparkSession, sf: str) -> DataFrame:
     """All periods of members with a gap, with their sets."""
-    roster = _roster(spark, sf).filter(F.col("congress") > 103)
-    members = attach_by_crosswalk(spark, sf).select(
-        "icpsr", "congress", "positions", "titles", "committees", "committees_sw",
-        "committees_unitedstates")
-    joined = join_on(roster, members, ["icpsr", "congress"], "left")
-    out = rp.gap_history(joined, _gaps(spark, sf), "icpsr", [F.col("icpsr")])
+    out = rp.gap_history(_roster_sets(spark, sf), _is_gap(), "icpsr", [F.col("icpsr")])
     return out.select("chamber", "congress", "bioname", "icpsr", "state", "bioguide_id",
                       "positions", "titles", "committees", "committees_sw",
                       "committees_unitedstates")
