@@ -7,6 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.semantics import if_else3, is_na_like, na_text, squish
 from ..functions.text import strip_collapsed_na, vocabulary_pattern
@@ -53,7 +54,7 @@ def _extract_with_automaton(texts: DataFrame, text: str, vocab: DataFrame, term:
     spark = texts.sparkSession
     terms = [r[0] for r in vocab.select(term).collect()]
     bterms = spark.sparkContext.broadcast(sorted(set(terms)))
-    schema = texts.schema.add(out, "array<string>")
+    schema = T.StructType(texts.schema.fields + [T.StructField(out, T.ArrayType(T.StringType()))])
 
     def run(batches):
         import ahocorasick
