@@ -10,7 +10,7 @@ none.  Every query scans whole tables.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.periods import (base_name, election_year_of, election_year_table, period_of,
@@ -28,6 +28,9 @@ from ..operators.joins import join_on, literal_table
 from ..operators.roles import (group_flags, leadership_flags, leadership_of, position_of,
                                range_ladder, spell_features)
 from ..operators.sets import normalize_set
+from ..session import shared_dir
+from ..sources import snapshots as snap
+from ..streaming.snapshot_stream import snapshot_stream as stream_snapshots
 from .tables import table
 
 # Fixed values of the analogy (role titles of source B by role code).
@@ -735,3 +738,87 @@ QUERIES = {
     "null_counts": null_counts,
     "head_n": head_n,
 }
+
+
+# ---------------------------------------------------------------------------
+# Snapshot files: landing, batch ingest with quarantine, streaming
+# ---------------------------------------------------------------------------
+# Fixed values of the analogy: days of the month whose snapshot is written
+# broken, and how.
+BROKEN_DAYS = {7: "duplicate key", 14: "unparsable", 21: "empty or not a mapping",
+               28: "member not a mapping"}
+
+
+def land_event_snapshots(spark: SparkSession, sf: str, path: str) -> None:
+    """One YAML snapshot per event day: ``{event_type: [member, ...]}`` with
+    one flow-style member per event.  Written by Spark into
+    ``path/file_name=<version>/``; four days are written broken on purpose."""
+    e = table(spark, sf, "events")
+    day = F.col("ts").cast("date")
+    named = e.select(
+        "event_id", "event_type", "user_id", "value", F.dayofmonth(day).alias("dom"),
+        version_file_name(SNAPSHOT_PREFIX, day, F.md5(day.cast("string"))).alias("file_name"))
+    named = named.repartition("file_name")
+    w = Window.partitionBy("file_name", "event_type").orderBy("event_id")
+    rn = F.row_number().over(w)
+    title = F.when(F.col("value") > 50, F.lit(", title: Chair")).otherwise(F.lit(""))
+    member = F.concat(F.lit("- {name: 'User "), F.col("user_id").cast("string"),
+                      F.lit("', bioguide: U"), F.lpad(F.col("user_id").cast("string"), 6, "0"),
+                      F.lit(", icpsr: "), F.col("user_id").cast("string"), title, F.lit("}"))
+    head = F.concat(F.col("event_type"), F.lit(":\n"))
+    dom = F.col("dom")
+    line = (F.when(dom == 28, F.concat(F.when(rn == 1, head).otherwise(F.lit("")),
+                                       F.lit("- just text")))
+             .when(dom == 21, F.lit("# removed"))
+             .when((dom == 7) & (rn == 2), F.concat(head, member))
+             .when((dom == 14) & (rn == 1), F.concat(head, member, F.lit("\n  ]bad: [")))
+             .otherwise(F.concat(F.when(rn == 1, head).otherwise(F.lit("")), member)))
+    lines = named.select("file_name", "event_type", "event_id", line.alias("line"))
+    (lines.sortWithinPartitions("file_name", "event_type", "event_id")
+     .select("file_name", "line").write.mode("append").partitionBy("file_name").text(path))
+
+
+MEMBER_KEYS = ["name", "bioguide", "icpsr", "title"]
+
+
+def _members_from_decoded(decoded: DataFrame) -> DataFrame:
+    m = snap.member_rows(decoded, MEMBER_KEYS)
+    return snap.per_period_distinct(
+        m.withColumn("icpsr", F.col("icpsr").try_cast("bigint")),
+        ["congress", "name", "bioguide", "thomas_id", "title", "icpsr"])
+
+
+def _landed(spark: SparkSession, sf: str) -> str:
+    path = shared_dir(spark, "landing")
+    land_event_snapshots(spark, sf, path)
+    return path
+
+
+def snapshot_members(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 from files: list, decode (bad files set aside), stack, distinct per period."""
+    files = snap.list_snapshots(spark, _landed(spark, sf), partitioned=True)
+    return _members_from_decoded(snap.decode_snapshots(files))
+
+
+def quarantine_bad_files(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: the snapshot files set aside, with the kind of failure."""
+    files = snap.list_snapshots(spark, _landed(spark, sf), partitioned=True)
+    q = snap.quarantine(snap.decode_snapshots(files))
+    return q.select("source_file", F.split("reason", ":").getItem(0).alias("reason_kind"))
+
+
+def snapshot_stream(spark: SparkSession, sf: str) -> DataFrame:
+    """S10 incremental: the same landing folder drained by a Structured
+    Streaming query (availableNow) into a Parquet member table."""
+    landing = _landed(spark, sf)
+    sink = shared_dir(spark, "snapshot-sink")
+    ckpt = shared_dir(spark, "snapshot-sink-checkpoint")
+    decoded = stream_snapshots(spark, landing, sink, ckpt)
+    return _members_from_decoded(decoded)
+
+
+QUERIES.update({
+    "snapshot_members": snapshot_members,
+    "quarantine_bad_files": quarantine_bad_files,
+    "snapshot_stream": snapshot_stream,
+})

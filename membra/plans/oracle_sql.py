@@ -728,3 +728,28 @@ ORDER BY n DESC, o_orderpriority, o_orderstatus"""
 
 SQL["null_counts"] = f"""WITH {ASSIGNMENTS.strip()}
 SELECT icpsr IS NULL AS is_na_icpsr, count(*) AS n FROM assign GROUP BY ALL"""
+
+SNAP = """
+snap AS (
+  SELECT CAST(ts AS DATE) AS d, event_type, user_id, value,
+         'committee-membership-' || strftime(CAST(ts AS DATE), '%Y-%m-%d') || '-'
+           || substr(md5(CAST(CAST(ts AS DATE) AS VARCHAR)), 1, 7) || '.yaml' AS source_file
+  FROM events)"""
+
+SNAPSHOT_MEMBERS = f"""
+WITH {SNAP.strip()}
+SELECT DISTINCT {period_sql('d')} AS congress, 'User ' || CAST(user_id AS VARCHAR) AS name,
+       'U' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS bioguide, event_type AS thomas_id,
+       CASE WHEN value > 50 THEN 'Chair' END AS title, CAST(user_id AS BIGINT) AS icpsr
+FROM snap WHERE day(d) NOT IN (7, 14, 21, 28)"""
+
+SQL["snapshot_members"] = SNAPSHOT_MEMBERS
+SQL["snapshot_stream"] = SNAPSHOT_MEMBERS
+
+SQL["quarantine_bad_files"] = f"""
+WITH {SNAP.strip()}
+SELECT DISTINCT source_file,
+       CASE day(d) WHEN 7 THEN 'duplicate key' WHEN 14 THEN 'unparsable'
+                   WHEN 21 THEN 'empty or not a mapping' ELSE 'member not a mapping' END
+         AS reason_kind
+FROM snap WHERE day(d) IN (7, 14, 21, 28)"""

@@ -44,12 +44,12 @@ def list_snapshots(spark: SparkSession, path: str, name_pattern: str = SNAPSHOT_
     landing folder ``path/file_name=<name>/part-*`` (``partitioned=True``),
     where the name filter prunes partitions before any file is opened.
     """
-    reader = spark.read.option("wholetext", True)
+    # ``text()`` has its own ``wholetext`` argument, which would override an option
     if partitioned:
-        df = reader.text(path)
+        df = spark.read.text(path, wholetext=True)
         name = F.col("file_name")
     else:
-        df = reader.option("pathGlobFilter", "*.y*ml").text(path)
+        df = spark.read.option("pathGlobFilter", "*.y*ml").text(path, wholetext=True)
         name = F.col("_metadata.file_name")
     return (df.select(name.alias("source_file"),
                       F.col("_metadata.file_path").alias("source_path"),
@@ -97,13 +97,17 @@ def decode_document(text: str | None, file_name: str):
         yaml.resolver.BaseResolver.DEFAULT_MAPPING_TAG, construct_mapping)
 
     if not re.search(SNAPSHOT_DATE_PATTERN, file_name or ""):
-        return False, "no YYYY-MM-DD date in file name", []
+        return False, "no date: no YYYY-MM-DD in the file name", []
     try:
         doc = yaml.load(text or "", Loader=UniqueKeyLoader)
+    except yaml.constructor.ConstructorError as e:
+        if "duplicate key" in str(e):
+            return False, "duplicate key: " + str(e.problem)[:200], []
+        return False, "unparsable: " + str(e).splitlines()[0][:200], []
     except yaml.YAMLError as e:
         return False, "unparsable: " + str(e).splitlines()[0][:200], []
     if not isinstance(doc, dict) or len(doc) == 0:
-        return False, "empty or not a mapping", []
+        return False, "empty or not a mapping: file has no groups", []
     rows = []
     for gpos, (gid, members) in enumerate(doc.items()):
         if not members:
@@ -112,7 +116,7 @@ def decode_document(text: str | None, file_name: str):
             members = [members]
         for mpos, m in enumerate(members):
             if not isinstance(m, dict):
-                return False, f"member {mpos} of group {gid!s} is not a mapping", []
+                return False, f"member not a mapping: member {mpos} of group {gid!s}", []
             rows.append((str(gid), gpos, mpos, {str(k): _scalar_text(v) for k, v in m.items()}))
     return True, None, rows
 
