@@ -7,8 +7,32 @@ from pyspark.sql import DataFrame, SparkSession
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
+# Fixed value: inputs at least this large are spread over the cluster's cores
+# when the files yield fewer scan partitions than cores.
+SPREAD_MIN_BYTES = 8 * 1024 * 1024
+
+
+def _input_bytes(spark: SparkSession, path: str) -> int:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs.getContentSummary(p).getLength()
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """One driver table.  Columns are pruned and filters pushed into the scan
-    by Catalyst from whatever the query selects."""
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    by Catalyst from whatever the query selects.
+
+    A large table stored as very few row groups scans in very few tasks, and
+    everything up to the first shuffle would then run on one core.  Such a
+    table is spread round-robin over the default parallelism (Catalyst still
+    prunes columns and pushes filters below the repartition).  On a cluster
+    reading many files the scan already has more partitions than cores, and
+    this is a no-op.
+    """
+    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < cores and _input_bytes(spark, path) >= SPREAD_MIN_BYTES:
+        df = df.repartition(cores)
+    return df
