@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.semantics import if_else3, is_na_like, na_text, squish
-from ..functions.text import strip_collapsed_na, vocabulary_pattern
+from ..functions.text import strip_collapsed_na, trie_pattern
 from .joins import exists_flag, join_on
 
 # Vocabularies up to this many terms are matched with one
@@ -75,8 +75,8 @@ def extract_terms(texts: DataFrame, text: str, vocab: DataFrame, term: str = "te
     """All vocabulary terms found in ``text``, as an array column.
 
     Matching is leftmost-longest and non-overlapping (terms quoted, longest
-    first: documented change Q7).  Small vocabularies become one alternation
-    evaluated by ``regexp_extract_all`` on the JVM; large ones use an
+    first: documented change Q7).  Small vocabularies become one prefix-tree
+    regex evaluated by ``regexp_extract_all`` on the JVM; large ones use an
     Aho-Corasick automaton in ``mapInPandas``.
     """
     terms = _collect_terms(vocab, term)
@@ -84,7 +84,7 @@ def extract_terms(texts: DataFrame, text: str, vocab: DataFrame, term: str = "te
         return _extract_with_automaton(texts, text, vocab, term, out)
     if not terms:
         return texts.withColumn(out, F.array().cast("array<string>"))
-    pattern = vocabulary_pattern(terms)
+    pattern = trie_pattern(terms)
     return texts.withColumn(out, F.regexp_extract_all(F.col(text), F.lit(pattern), 0))
 
 
