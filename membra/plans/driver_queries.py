@@ -822,3 +822,35 @@ QUERIES.update({
     "quarantine_bad_files": quarantine_bad_files,
     "snapshot_stream": snapshot_stream,
 })
+
+
+# ---------------------------------------------------------------------------
+# Diagnostics (J5 + K10 first part, U3)
+# ---------------------------------------------------------------------------
+def naive_merge_overlap(spark: SparkSession, sf: str) -> DataFrame:
+    """Join both sources *before* normalising (many-to-many on
+    member-period), keep pairs where both sets exist and differ, count them."""
+    rows = assignments(spark, sf)
+    a = st.group_sets(rows.filter(F.col("source") == "R"), ["icpsr", "congress", "chamber"],
+                      {"committees": ("committee", "unique_na")}, "ord")
+    a = a.withColumn("committees", F.regexp_replace("committees", r"\|", ";"))
+    b = rc.roster_side(rows.filter(F.col("source") == "A"), "icpsr", "congress", "bioguide",
+                       "committee", "title", "ord").drop("titles")
+    naive = join_on(a, b, ["icpsr", "congress"], "full")
+    look = naive.dropna(subset=["committees", "committees_unitedstates"]).filter(
+        F.col("committees") != F.col("committees_unitedstates"))
+    return rp.value_counts(look, ["icpsr", "bioguide", "congress", "committees",
+                                  "committees_unitedstates"])
+
+
+def vocabulary_unmatched(spark: SparkSession, sf: str) -> DataFrame:
+    """Vocabulary terms that no document contains (``!%in%`` as anti-join)."""
+    vocab = _part_vocabulary(spark, sf)
+    found = vocabulary_crosswalk(spark, sf).select("term").distinct()
+    return join_on(vocab, found, ["term"], "left_anti")
+
+
+QUERIES.update({
+    "naive_merge_overlap": naive_merge_overlap,
+    "vocabulary_unmatched": vocabulary_unmatched,
+})

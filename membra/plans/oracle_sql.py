@@ -753,3 +753,28 @@ SELECT DISTINCT source_file,
                    WHEN 21 THEN 'empty or not a mapping' ELSE 'member not a mapping' END
          AS reason_kind
 FROM snap WHERE day(d) IN (7, 14, 21, 28)"""
+
+SQL["naive_merge_overlap"] = f"""WITH {RECONCILE.strip()},
+a_c AS (
+  SELECT icpsr, congress, chamber, v, min(ord) AS o
+  FROM (SELECT icpsr, congress, chamber, coalesce(committee, 'NA') AS v, ord FROM a)
+  GROUP BY ALL),
+a_cs AS (SELECT icpsr, congress, chamber,
+                replace(string_agg(v, ';' ORDER BY o, v), '|', ';') AS committees
+         FROM a_c GROUP BY ALL),
+naive AS (
+  SELECT coalesce(x.icpsr, y.icpsr) AS icpsr, coalesce(x.congress, y.congress) AS congress,
+         x.committees, y.bioguide, y.committees_unitedstates
+  FROM a_cs x FULL OUTER JOIN b_clean y
+    ON x.icpsr IS NOT DISTINCT FROM y.icpsr AND x.congress IS NOT DISTINCT FROM y.congress)
+SELECT icpsr, bioguide, congress, committees, committees_unitedstates, count(*) AS n
+FROM naive
+WHERE committees IS NOT NULL AND committees_unitedstates IS NOT NULL
+  AND committees <> committees_unitedstates
+GROUP BY ALL"""
+
+SQL["vocabulary_unmatched"] = f"""
+WITH {VOCAB.strip()},
+found AS (SELECT DISTINCT unnest(regexp_extract_all(text, (SELECT re FROM pat))) AS term FROM docs)
+SELECT term FROM vocab
+WHERE term IS NOT NULL AND term NOT IN ('0', 'NA', '') AND term NOT IN (SELECT term FROM found)"""

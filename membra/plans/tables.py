@@ -32,7 +32,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores and _input_bytes(spark, path) >= SPREAD_MIN_BYTES:
-        df = df.repartition(cores)
+    try:
+        cores = spark.sparkContext.defaultParallelism
+        few = df.rdd.getNumPartitions() < cores
+        if few and _input_bytes(spark, path) >= SPREAD_MIN_BYTES:
+            df = df.repartition(cores)
+    except Exception:  # noqa: BLE001 - sessions without RDD/JVM access (Spark Connect)
+        pass
     return df

@@ -53,11 +53,17 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = jdir.get() if jdir.isDefined() else None
+        try:
+            jdir = spark.sparkContext._jsc.sc().getCheckpointDir()
+            base = jdir.get() if jdir.isDefined() else None
+        except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect)
+            base = None
     if not base:
         base = tempfile.mkdtemp(prefix="membra-ckpt-")
-        spark.sparkContext.setCheckpointDir(base)
+        try:
+            spark.sparkContext.setCheckpointDir(base)
+        except Exception:  # noqa: BLE001
+            pass
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 
