@@ -749,33 +749,43 @@ BROKEN_DAYS = {7: "duplicate key", 14: "unparsable", 21: "empty or not a mapping
                28: "member not a mapping"}
 
 
+# A version's events are split over this many part files (each a complete
+# YAML document), so no single task writes or decodes a whole version.
+LANDING_SALT = 4
+
+
 def land_event_snapshots(spark: SparkSession, sf: str, path: str) -> None:
-    """One YAML snapshot per event day: ``{event_type: [member, ...]}`` with
-    one flow-style member per event.  Written by Spark into
-    ``path/file_name=<version>/``; four days are written broken on purpose."""
+    """One snapshot version per event day: YAML documents ``{event_type:
+    [member, ...]}`` with one flow-style member per event, written by Spark
+    into ``path/file_name=<version>/salt=<k>/part-*``.  Rows of a version are
+    salted over ``LANDING_SALT`` documents by event id, so a hot day never
+    lands in one task.  Four days are written broken on purpose - in every part."""
     e = table(spark, sf, "events")
     day = F.col("ts").cast("date")
     named = e.select(
         "event_id", "event_type", "user_id", "value", F.dayofmonth(day).alias("dom"),
-        version_file_name(SNAPSHOT_PREFIX, day, F.md5(day.cast("string"))).alias("file_name"))
-    named = named.repartition("file_name")
-    w = Window.partitionBy("file_name", "event_type").orderBy("event_id")
+        version_file_name(SNAPSHOT_PREFIX, day, F.md5(day.cast("string"))).alias("file_name"),
+        F.pmod(F.xxhash64("event_id"), F.lit(LANDING_SALT)).alias("salt"))
+    named = named.repartition("file_name", "salt")
+    w = Window.partitionBy("file_name", "salt", "event_type").orderBy("event_id")
     rn = F.row_number().over(w)
     title = F.when(F.col("value") > 50, F.lit(", title: Chair")).otherwise(F.lit(""))
     member = F.concat(F.lit("- {name: 'User "), F.col("user_id").cast("string"),
                       F.lit("', bioguide: U"), F.lpad(F.col("user_id").cast("string"), 6, "0"),
                       F.lit(", icpsr: "), F.col("user_id").cast("string"), title, F.lit("}"))
     head = F.concat(F.col("event_type"), F.lit(":\n"))
+    first = rn == 1
     dom = F.col("dom")
-    line = (F.when(dom == 28, F.concat(F.when(rn == 1, head).otherwise(F.lit("")),
+    line = (F.when(dom == 28, F.concat(F.when(first, head).otherwise(F.lit("")),
                                        F.lit("- just text")))
              .when(dom == 21, F.lit("# removed"))
-             .when((dom == 7) & (rn == 2), F.concat(head, member))
-             .when((dom == 14) & (rn == 1), F.concat(head, member, F.lit("\n  ]bad: [")))
-             .otherwise(F.concat(F.when(rn == 1, head).otherwise(F.lit("")), member)))
-    lines = named.select("file_name", "event_type", "event_id", line.alias("line"))
-    (lines.sortWithinPartitions("file_name", "event_type", "event_id")
-     .select("file_name", "line").write.mode("append").partitionBy("file_name").text(path))
+             .when((dom == 7) & first, F.concat(head, member, F.lit("\n"), head, member))
+             .when((dom == 14) & first, F.concat(head, member, F.lit("\n  ]bad: [")))
+             .otherwise(F.concat(F.when(first, head).otherwise(F.lit("")), member)))
+    lines = named.select("file_name", "salt", "event_type", "event_id", line.alias("line"))
+    (lines.sortWithinPartitions("file_name", "salt", "event_type", "event_id")
+     .select("file_name", "salt", "line").write.mode("append")
+     .partitionBy("file_name", "salt").text(path))
 
 
 MEMBER_KEYS = ["name", "bioguide", "icpsr", "title"]
@@ -804,7 +814,8 @@ def quarantine_bad_files(spark: SparkSession, sf: str) -> DataFrame:
     """S3: the snapshot files set aside, with the kind of failure."""
     files = snap.list_snapshots(spark, _landed(spark, sf), partitioned=True)
     q = snap.quarantine(snap.decode_snapshots(files))
-    return q.select("source_file", F.split("reason", ":").getItem(0).alias("reason_kind"))
+    return q.select("source_file",
+                    F.split("reason", ":").getItem(0).alias("reason_kind")).distinct()
 
 
 def snapshot_stream(spark: SparkSession, sf: str) -> DataFrame:
