@@ -24,12 +24,15 @@ def with_version_name(versions: DataFrame, prefix: str, commit_date: str, sha: s
 
 
 def land_versions(lines: DataFrame, path: str, name: str = "file_name", text: str = "line",
-                  order: Sequence[str] = (), mode: str = "append") -> None:
-    """Write document lines as ``path/<name>=<version>/part-*.txt``.
-
-    All lines of one version go to one task (``repartition`` by the name) and
-    keep ``order`` inside the file; the writer streams rows, so no document is
-    ever held in memory whole.
+                  order: Sequence[str] = (), salt: str | None = None, mode: str = "append") -> None:
+    """Write document lines as ``path/<name>=<version>/[<salt>=<k>/]part-*.txt``.
+
+    Lines of one version (and salt) go to one task and keep ``order`` inside
+    the file; the writer streams rows, so no document is held in memory whole.
+    A ``salt`` column splits a large version into several complete documents
+    (the caller builds each slice as a valid document), so one version never
+    has to be written - or later decoded - by a single task.
     """
-    (lines.repartition(name).sortWithinPartitions(name, *order)
-     .select(name, text).write.mode(mode).partitionBy(name).text(path))
+    keys = [name] + ([salt] if salt else [])
+    (lines.repartition(*keys).sortWithinPartitions(*keys, *order)
+     .select(*keys, text).write.mode(mode).partitionBy(*keys).text(path))
