@@ -14,9 +14,8 @@ from ..functions.text import strip_collapsed_na, trie_pattern
 from .joins import exists_flag, join_on
 
 # Vocabularies up to this many terms are matched with one
-# alternation (the pattern travels inside the plan); larger ones with an
-# Aho-Corasick automaton shipped as a broadcast variable, whose size is
-# checked against MAX_AUTOMATON_BYTES.
+# prefix-tree regex (the pattern travels inside the plan); larger ones with
+# Aho-Corasick automata over vocabulary chunks of at most MAX_AUTOMATON_BYTES.
 MAX_REGEX_TERMS = 2_000
 MAX_AUTOMATON_BYTES = 256 * 1024 * 1024
 VOCABULARY_EXCLUDED = ("0", "NA", "")
@@ -42,32 +41,111 @@ def _collect_terms(vocab: DataFrame, term: str) -> list[str] | None:
     return [r[0] for r in vocab.select(term).collect()]
 
 
-def _extract_with_automaton(texts: DataFrame, text: str, vocab: DataFrame, term: str,
-                            out: str) -> DataFrame:
-    """Leftmost-longest, non-overlapping matches with Aho-Corasick per batch."""
-    import pyarrow as pa  # noqa: F401 - needed by mapInPandas
-
-    size = vocab.select(F.sum(F.length(term) + 8).alias("b")).first()["b"] or 0
-    if size > MAX_AUTOMATON_BYTES:
-        raise ValueError(f"vocabulary of ~{size} bytes exceeds MAX_AUTOMATON_BYTES; "
-                         "split it by a leading character and run per part")
-    spark = texts.sparkSession
-    terms = [r[0] for r in vocab.select(term).collect()]
-    bterms = spark.sparkContext.broadcast(sorted(set(terms)))
-    schema = T.StructType(texts.schema.fields + [T.StructField(out, T.ArrayType(T.StringType()))])
-
+def _longest_starts(terms: list[str]):
+    """Batch function: for each text, the longest chunk term starting at each
+    position (Aho-Corasick reports every, possibly overlapping, occurrence)."""
     def run(batches):
         import ahocorasick
+        import pandas as pd
         auto = ahocorasick.Automaton()
-        for t in bterms.value:
+        for t in terms:
             auto.add_word(t, t)
         auto.make_automaton()
         for pdf in batches:
-            pdf[out] = [[] if s is None else [w for _, w in auto.iter_long(s)]
-                        for s in pdf[text]]
-            yield pdf
-
-    return texts.mapInPandas(run, schema)
+            keys, starts, found = [], [], []
+            for k, s in zip(pdf["__key"], pdf["__text"]):
+                if not s:
+                    continue
+                best: dict[int, str] = {}
+                for end, t in auto.iter(s):
+                    st = end - len(t) + 1
+                    if len(t) > len(best.get(st, "")):
+                        best[st] = t
+                for st, t in best.items():
+                    keys.append(k)
+                    starts.append(st)
+                    found.append(t)
+            yield pd.DataFrame({"__key": keys, "__start": starts, "__term": found})
+    return run
+
+
+def _greedy(pdf):
+    """Leftmost-longest, non-overlapping selection over one text's candidates."""
+    import pandas as pd
+    # several chunks may propose a term at one start: the longest comes first
+    pdf = pdf.assign(__len=pdf["__term"].str.len()).sort_values(
+        ["__start", "__len"], ascending=[True, False])
+    taken, pos, limit = [], [], 0
+    for st, t in zip(pdf["__start"], pdf["__term"]):
+        if st >= limit:
+            taken.append(t)
+            pos.append(st)
+            limit = st + len(t)
+    return pd.DataFrame({"__key": [pdf["__key"].iloc[0]] * len(taken), "__start": pos,
+                         "__term": taken})
+
+
+def _chunks(vocab: DataFrame, term: str) -> list[list[str]]:
+    """Split the vocabulary into first-character groups, packed into chunks
+    whose term bytes stay under MAX_AUTOMATON_BYTES.  A group that is too big
+    alone is split further on its next character, and so on."""
+    chunks: list[list[str]] = []
+
+    def split(df: DataFrame, depth: int) -> None:
+        pre = F.substring(F.col(term), 1, depth)
+        sizes = (df.groupBy(pre.alias("p"))
+                 .agg(F.sum(F.length(term) + 8).alias("b"), F.count(F.lit(1)).alias("n"))
+                 .orderBy("p").collect())
+        cur, cur_b = [], 0
+        for r in sizes:
+            if r["b"] > MAX_AUTOMATON_BYTES and r["n"] > 1:
+                split(df.filter(pre == r["p"]), depth + 1)
+                continue
+            if cur and cur_b + r["b"] > MAX_AUTOMATON_BYTES:
+                chunks.append(cur)
+                cur, cur_b = [], 0
+            cur.append(r["p"])
+            cur_b += r["b"]
+        if cur:
+            chunks.append(cur)
+        chunk_prefix.update({p: depth for c in chunks for p in c if p not in chunk_prefix})
+
+    chunk_prefix: dict[str, int] = {}
+    split(vocab.select(term).distinct(), 1)
+    out = []
+    for c in chunks:
+        conds = [F.substring(F.col(term), 1, chunk_prefix[p]) == p for p in c]
+        cond = conds[0]
+        for e in conds[1:]:
+            cond = cond | e
+        out.append([r[0] for r in vocab.filter(cond).select(term).distinct().collect()])
+    return out
+
+
+def _extract_with_automata(texts: DataFrame, text: str, vocab: DataFrame, term: str,
+                           out: str) -> DataFrame:
+    """Exact leftmost-longest extraction for a vocabulary of any size.
+
+    The vocabulary is cut into chunks by leading characters, each under
+    MAX_AUTOMATON_BYTES, so only a bounded chunk is ever shipped to the tasks.
+    Each chunk proposes its longest term per start position; the union is
+    reduced per text in one grouped pass that takes, left to right, the
+    longest proposal at each free position (leftmost-longest, non-overlapping).
+    A text's candidates are bounded by its length.  Texts are keyed by a SHA-256
+    digest plus length."""
+    key = F.struct(F.sha2(F.col(text), 256), F.length(F.col(text)))
+    docs = texts.select(key.alias("__key"), F.col(text).alias("__text")).dropDuplicates(["__key"])
+    cand_schema = "__key struct<col1: string, col2: int>, __start int, __term string"
+    cands = None
+    for chunk in _chunks(vocab, term):
+        c = docs.mapInPandas(_longest_starts(chunk), cand_schema)
+        cands = c if cands is None else cands.unionByName(c)
+    picked = cands.groupBy("__key").applyInPandas(_greedy, cand_schema)
+    lists = picked.groupBy("__key").agg(
+        F.sort_array(F.collect_list(F.struct("__start", "__term"))).getField("__term")
+        .alias(out))
+    res = join_on(texts.withColumn("__key", key), lists, ["__key"], "left").drop("__key")
+    return res.withColumn(out, F.coalesce(F.col(out), F.array().cast("array<string>")))
 
 
 def extract_terms(texts: DataFrame, text: str, vocab: DataFrame, term: str = "term",
@@ -76,12 +154,12 @@ def extract_terms(texts: DataFrame, text: str, vocab: DataFrame, term: str = "te
 
     Matching is leftmost-longest and non-overlapping (terms quoted, longest
     first: documented change Q7).  Small vocabularies become one prefix-tree
-    regex evaluated by ``regexp_extract_all`` on the JVM; large ones use an
-    Aho-Corasick automaton in ``mapInPandas``.
+    regex evaluated by ``regexp_extract_all`` on the JVM; larger ones use
+    chunked Aho-Corasick automata (no size cap, see ``_extract_with_automata``).
     """
     terms = _collect_terms(vocab, term)
     if terms is None:
-        return _extract_with_automaton(texts, text, vocab, term, out)
+        return _extract_with_automata(texts, text, vocab, term, out)
     if not terms:
         return texts.withColumn(out, F.array().cast("array<string>"))
     pattern = trie_pattern(terms)

@@ -31,6 +31,7 @@ from ..operators import sets as st
 from ..operators.joins import join_on, left_join_dim_dropna
 from ..operators.roles import classify_roles, spell_features
 from ..rules import legacy as lg
+from ..session import checkpoint
 from ..sources import files as fl
 from ..sources import snapshots as snap
 
@@ -54,7 +55,7 @@ def membership_history(spark, snapshot_dir: str, partitioned: bool = False,
     cluster's checkpoint folder), since both the members and the quarantine
     read them."""
     files = snap.list_snapshots(spark, snapshot_dir, partitioned=partitioned)
-    decoded = snap.decode_snapshots(files).checkpoint()
+    decoded = checkpoint(snap.decode_snapshots(files))
     members = snap.member_rows(decoded, list(keys))
     ordk = F.struct("source_file", "group_pos", "member_pos")
     per_congress = (members.groupBy("congress", "name", "bioguide", "thomas_id", "title", "icpsr")

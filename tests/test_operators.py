@@ -165,6 +165,26 @@ def test_vocabulary_regex_and_automaton_agree(spark, monkeypatch):  # K7
     auto = rows(lk.extract_terms(texts, "t", vocab, "term", "m").select("id", "m"))
     assert regex == auto
     assert dict(regex)[1] == ["REDWOOD", "RING", "RED"]
+    # chunks far smaller than the vocabulary: still the same matches
+    monkeypatch.setattr(lk, "MAX_AUTOMATON_BYTES", 12)
+    chunked = rows(lk.extract_terms(texts, "t", vocab, "term", "m").select("id", "m"))
+    assert chunked == regex
+
+
+def test_automata_path_random(spark, monkeypatch):
+    import random
+    rnd = random.Random(3)
+    words = sorted({"".join(rnd.choice("ABCD") for _ in range(rnd.randint(1, 4)))
+                    for _ in range(30)})
+    texts = spark.createDataFrame(
+        [(i, "".join(rnd.choice("ABCD ") for _ in range(rnd.randint(0, 50)))) for i in range(60)]
+        + [(60, None), (61, "")], "id int, t string")
+    vocab = spark.createDataFrame([(w,) for w in words], "term string")
+    regex = rows(lk.extract_terms(texts, "t", vocab, "term", "m").select("id", "m"))
+    monkeypatch.setattr(lk, "MAX_REGEX_TERMS", 1)
+    monkeypatch.setattr(lk, "MAX_AUTOMATON_BYTES", 40)
+    auto = rows(lk.extract_terms(texts, "t", vocab, "term", "m").select("id", "m"))
+    assert [(i, m or []) for i, m in regex] == auto
 
 
 def test_attach_by_crosswalk_na_path(spark):  # K8
