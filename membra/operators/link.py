@@ -85,11 +85,12 @@ def _greedy(pdf):
                          "__term": taken})
 
 
-def _chunks(vocab: DataFrame, term: str) -> list[list[str]]:
-    """Split the vocabulary into first-character groups, packed into chunks
-    whose term bytes stay under MAX_AUTOMATON_BYTES.  A group that is too big
-    alone is split further on its next character, and so on."""
-    chunks: list[list[str]] = []
+def _chunk_conditions(vocab: DataFrame, term: str) -> list[Column]:
+    """Split the vocabulary into leading-character groups packed into chunks
+    whose term bytes stay under MAX_AUTOMATON_BYTES (a group too big alone is
+    split on its next character, a single long term is a chunk of its own).
+    Only group sizes reach the driver; each chunk is returned as a filter."""
+    chunks: list[list[tuple[str, int]]] = []
 
     def split(df: DataFrame, depth: int) -> None:
         pre = F.substring(F.col(term), 1, depth)
@@ -104,22 +105,20 @@ def _chunks(vocab: DataFrame, term: str) -> list[list[str]]:
             if cur and cur_b + r["b"] > MAX_AUTOMATON_BYTES:
                 chunks.append(cur)
                 cur, cur_b = [], 0
-            cur.append(r["p"])
+            cur.append((r["p"], depth))
             cur_b += r["b"]
         if cur:
             chunks.append(cur)
-        chunk_prefix.update({p: depth for c in chunks for p in c if p not in chunk_prefix})
 
-    chunk_prefix: dict[str, int] = {}
     split(vocab.select(term).distinct(), 1)
-    out = []
+    conds = []
     for c in chunks:
-        conds = [F.substring(F.col(term), 1, chunk_prefix[p]) == p for p in c]
-        cond = conds[0]
-        for e in conds[1:]:
-            cond = cond | e
-        out.append([r[0] for r in vocab.filter(cond).select(term).distinct().collect()])
-    return out
+        cond = None
+        for p, depth in c:
+            e = F.substring(F.col(term), 1, depth) == p
+            cond = e if cond is None else cond | e
+        conds.append(cond)
+    return conds
 
 
 def _extract_with_automata(texts: DataFrame, text: str, vocab: DataFrame, term: str,
@@ -127,19 +126,27 @@ def _extract_with_automata(texts: DataFrame, text: str, vocab: DataFrame, term:
     """Exact leftmost-longest extraction for a vocabulary of any size.
 
     The vocabulary is cut into chunks by leading characters, each under
-    MAX_AUTOMATON_BYTES, so only a bounded chunk is ever shipped to the tasks.
-    Each chunk proposes its longest term per start position; the union is
-    reduced per text in one grouped pass that takes, left to right, the
-    longest proposal at each free position (leftmost-longest, non-overlapping).
-    A text's candidates are bounded by its length.  Texts are keyed by a SHA-256
-    digest plus length."""
+    MAX_AUTOMATON_BYTES.  Chunks are processed one after the other: only the
+    current chunk is held by the driver and shipped to the tasks, and its
+    candidates (the longest term per start position of each text) are written
+    to the shared checkpoint folder before the next chunk is read.  One
+    grouped pass per text over all candidates then takes, left to right, the
+    longest proposal at each free position (leftmost-longest, non-overlapping);
+    a text's candidates are bounded by its length.  Texts are keyed by a
+    SHA-256 digest plus length."""
+    from ..session import shared_dir
+
+    spark = texts.sparkSession
     key = F.struct(F.sha2(F.col(text), 256), F.length(F.col(text)))
     docs = texts.select(key.alias("__key"), F.col(text).alias("__text")).dropDuplicates(["__key"])
     cand_schema = "__key struct<col1: string, col2: int>, __start int, __term string"
-    cands = None
-    for chunk in _chunks(vocab, term):
-        c = docs.mapInPandas(_longest_starts(chunk), cand_schema)
-        cands = c if cands is None else cands.unionByName(c)
+    cand_dir = shared_dir(spark, "vocabulary-candidates")
+    for cond in _chunk_conditions(vocab, term):
+        chunk = [r[0] for r in vocab.filter(cond).select(term).distinct().collect()]
+        (docs.mapInPandas(_longest_starts(chunk), cand_schema)
+         .write.mode("append").parquet(cand_dir))
+        del chunk
+    cands = spark.read.schema(cand_schema).parquet(cand_dir)
     picked = cands.groupBy("__key").applyInPandas(_greedy, cand_schema)
     lists = picked.groupBy("__key").agg(
         F.sort_array(F.collect_list(F.struct("__start", "__term"))).getField("__term")
