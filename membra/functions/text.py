@@ -59,9 +59,14 @@ def canonical_name_b(c) -> Column:
     return out
 
 
-def clean_roles(c) -> Column:
-    """Role-string cleanup (X18).  Like the reference it can fuse neighbours:
-    "Chair;Ranking Minority" -> "ChairRanking Minority"."""
+def clean_roles(c, strict: bool = True) -> Column:
+    """Role-string cleanup (X18).  ``strict`` keeps the reference's result,
+    which fuses neighbours ("Chair;Ranking Minority" -> "ChairRanking
+    Minority", Q4); ``strict=False`` drops the "Other" entries and empty
+    pieces but keeps the separators ("Chair;Ranking Minority")."""
+    if not strict:
+        parts = F.filter(F.split(_c(c), ";", -1), lambda t: (t != "Other") & (t != ""))
+        return F.array_join(parts, ";")
     out = _c(c)
     for step in ROLE_CLEANUP_STEPS:
         out = replace_all(out, step)
@@ -78,8 +83,12 @@ def repair_set_string(c) -> Column:
     return na_text(out)
 
 
-def strip_collapsed_na(c) -> Column:
-    """K8 cleanup: remove every edge ``NA`` then the first inner ``;NA;``."""
+def strip_collapsed_na(c, strict: bool = True) -> Column:
+    """K8 cleanup: remove every edge ``NA`` then the first inner ``;NA;``
+    (``strict``, Q14: later inner ones stay); ``strict=False`` removes every
+    ``NA`` entry."""
+    if not strict:
+        return F.array_join(F.filter(F.split(_c(c), ";", -1), lambda t: t != "NA"), ";")
     return replace_first(replace_all(_c(c), COLLAPSED_EDGE_NA), COLLAPSED_INNER_NA, ";")
 
 

@@ -20,6 +20,16 @@ def value_counts(df: DataFrame, keys: Sequence, name: str = "n", sort: bool = Tr
     return out.orderBy(F.desc(name), *[k for k in out.columns if k != name]) if sort else out
 
 
+def dims(df: DataFrame) -> tuple[int, int]:
+    """``dim(x)`` (A12): (rows, columns); the row count is one aggregate job."""
+    return df.count(), len(df.columns)
+
+
+def columns_starting_with(df: DataFrame, prefix: str) -> list[str]:
+    """``starts_with(prefix)`` (P5), resolved from the schema on the driver."""
+    return [c for c in df.columns if c.startswith(prefix)]
+
+
 def null_counts(df: DataFrame, col: str, name: str = "n") -> DataFrame:
     """``count(is.na(col))`` (A3)."""
     return value_counts(df, [F.col(col).isNull().alias(f"is_na_{col}")], name)

@@ -147,3 +147,12 @@ def test_trie_pattern_matches_alternation(spark):
                     .alias("m"))
     trie = df.select("i", F.regexp_extract_all("t", F.lit(X.trie_pattern(terms)), 0).alias("m"))
     assert rows(alt) == rows(trie)
+
+
+def test_non_strict_variants(spark):  # Q4, Q14
+    got = one(spark, X.clean_roles("x", strict=False),
+              [("Chair;Ranking Minority",), ("Other;Chair;;Other",)], "x string")
+    assert got == ["Chair;Ranking Minority", "Chair"]
+    got = one(spark, X.strip_collapsed_na("x", strict=False), [("NA;A;NA;B;NA;C;NA",)],
+              "x string")
+    assert got == ["A;B;C"]
