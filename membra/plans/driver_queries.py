@@ -505,7 +505,7 @@ def _combined(spark: SparkSession, sf: str) -> DataFrame:
 def attach_by_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
     """Attach brand lists to each member-period through its groups."""
     p = table(spark, sf, "part")
-    cw = p.filter(F.col("p_size") <= 10).select(
+    cw = p.select(
         F.upper("p_type").alias("committees"),
         F.concat(F.substring("p_type", 1, 3), F.lit("-"),
                  (F.col("p_size") / 10).cast("int").cast("string")).alias("acronym")).distinct()

@@ -545,7 +545,7 @@ OVERSIGHT = f"""{COMBINED},
 cw AS (SELECT DISTINCT upper(p_type) AS cw_term,
               substr(p_type, 1, 3) || '-' || CAST(CAST(trunc(p_size / 10) AS INTEGER) AS VARCHAR)
                 AS acronym
-       FROM part WHERE p_size <= 10),
+       FROM part),
 parts0 AS (
   SELECT icpsr, congress, bioguide,
          unnest(string_split_regex(committees, ';|\\|')) AS term,
