@@ -190,7 +190,8 @@ def vocabulary_coverage(texts: DataFrame, text: str, vocab: DataFrame, term: str
 
 def attach_by_crosswalk(df: DataFrame, keys: Sequence[str], set_col: str, order: Sequence[str],
                         crosswalk: DataFrame, cw_term: str, cw_attr: str,
-                        out_attr: str = "oversight", sep: str = ";|\\|") -> DataFrame:
+                        out_attr: str = "oversight", sep: str = ";|\\|",
+                        dedupe: bool = True) -> DataFrame:
     """K8: split a set column, attach crosswalk attributes per term, and
     re-collapse per group ``keys``: the group's unique terms and all attached
     attributes (NULL printed as NA, duplicates kept), each with edge NAs and
@@ -219,7 +220,10 @@ def attach_by_crosswalk(df: DataFrame, keys: Sequence[str], set_col: str, order:
          .alias("__set"),
         strip_collapsed_na(F.array_join(F.col("__l").getField("a"), ";")).alias(out_attr))
     res = join_on(df, per, keys, "left")
-    return res.withColumn(set_col, F.col("__set")).drop("__set").distinct()
+    res = res.withColumn(set_col, F.col("__set")).drop("__set")
+    # ``distinct`` as in the reference; ``dedupe=False`` when the rows of a
+    # group differ in a column other than ``set_col`` by construction
+    return res.distinct() if dedupe else res
 
 
 # ---------------------------------------------------------------------------

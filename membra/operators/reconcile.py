@@ -100,12 +100,15 @@ def discrepancies(df: DataFrame, a: str, b: str, sort: Sequence = ()) -> DataFra
 
 def role_flags(df: DataFrame, titles: str = "titles", positions: str = "positions",
                a_set: str = "committees_sw", b_set: str = "committees_unitedstates",
-               out: str = "committees") -> DataFrame:
+               out: str = "committees", dedupe: bool = True) -> DataFrame:
     """Role flags from role text and the union of both sources' sets (K9).
 
     Text columns are NULL-filled first (``replace_na``); the union is
     ``str_c(a, b, sep = ";")`` with the first edge separator removed, squished,
-    "" -> NULL; flags are NULL when the union is NULL.  Duplicate rows go.
+    "" -> NULL; flags are NULL when the union is NULL.  Duplicate rows go
+    (``dedupe``); a caller whose rows are unique by construction - e.g. the
+    output of :func:`reconcile`, one row per key and person - can skip that
+    shuffle with ``dedupe=False``, since no column is dropped here.
     """
     filled = df
     for c in (titles, positions, a_set, b_set):
@@ -123,7 +126,7 @@ def role_flags(df: DataFrame, titles: str = "titles", positions: str = "position
                .withColumn("chair", if_else3(F.col(out).isNull(), F.lit(None), F.col("chair")))
                .withColumn("ranking_minority",
                            if_else3(F.col(out).isNull(), F.lit(None), F.col("ranking_minority"))))
-    return flagged.distinct()
+    return flagged.distinct() if dedupe else flagged
 
 
 def same_person_twice(df: DataFrame, person_keys: Sequence[str], id_a: str, id_b: str,

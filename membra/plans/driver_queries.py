@@ -86,8 +86,10 @@ def discrepancy_report(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def role_flags(spark: SparkSession, sf: str) -> DataFrame:
-    """K9: chair / ranking flags from role text and the combined group set."""
-    return rc.role_flags(two_source_reconcile(spark, sf))
+    """K9: chair / ranking flags from role text and the combined group set.
+    The reconcile output has one row per (member, period, person), so the
+    reference's ``distinct`` cannot remove anything and is skipped."""
+    return rc.role_flags(two_source_reconcile(spark, sf), dedupe=False)
 
 
 
@@ -498,7 +500,7 @@ def vocabulary_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _combined(spark: SparkSession, sf: str) -> DataFrame:
-    flagged = rc.role_flags(two_source_reconcile(spark, sf))
+    flagged = rc.role_flags(two_source_reconcile(spark, sf), dedupe=False)
     return flagged.withColumn("committees", repair_set_string("committees"))
 
 
@@ -509,8 +511,10 @@ def attach_by_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
         F.upper("p_type").alias("committees"),
         F.concat(F.substring("p_type", 1, 3), F.lit("-"),
                  (F.col("p_size") / 10).cast("int").cast("string")).alias("acronym")).distinct()
+    # rows of one (member, period) differ in ``bioguide``, so the reference's
+    # final ``distinct`` cannot remove anything and is skipped
     return lk.attach_by_crosswalk(_combined(spark, sf), ["icpsr", "congress"], "committees",
-                                  ["bioguide"], cw, "committees", "acronym")
+                                  ["bioguide"], cw, "committees", "acronym", dedupe=False)
 
 
 # ---------------------------------------------------------------------------
