@@ -34,11 +34,10 @@ def vocabulary(df: DataFrame, set_col: str, sep: str = ";",
 
 
 def _collect_terms(vocab: DataFrame, term: str) -> list[str] | None:
-    """The vocabulary as a list when it is small enough for one pattern."""
-    n = vocab.count()
-    if n > MAX_REGEX_TERMS:
-        return None
-    return [r[0] for r in vocab.select(term).collect()]
+    """The vocabulary as a list when it is small enough for one pattern: a
+    single job that never brings more than MAX_REGEX_TERMS + 1 terms back."""
+    got = [r[0] for r in vocab.select(term).limit(MAX_REGEX_TERMS + 1).collect()]
+    return None if len(got) > MAX_REGEX_TERMS else got
 
 
 def _longest_starts(terms: list[str]):
