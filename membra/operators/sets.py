@@ -61,33 +61,12 @@ def collapse_unique_multi(df: DataFrame, keys: Sequence[str], values: dict[str,
     ``keep_na=False`` is ``collapse_unique``: NULL, "NA" and "" are dropped and
     an empty group gives "".  ``keep_na=True`` is ``unique() |> paste(collapse)``:
     NULL is printed as "NA" and kept.  Values keep the order of their first
-    appearance by ``order`` (ties: binary order of the value).
-
-    Plan: stack the value columns, pre-aggregate ``min(order)`` per
-    (group, column, value) - map-side combined - then collect the distinct
-    values per group.  Two shuffles, whatever the number of columns.
+    appearance by ``order`` (ties: binary order of the value).  One
+    :func:`group_sets` pass (two shuffles, whatever the number of columns).
     """
-    keys = list(keys)
-    names = list(values)
-    seps = sep if isinstance(sep, dict) else {n: sep for n in names}
-    stacked = df.select(
-        *keys, _c(order).alias("__o"),
-        F.explode(F.array(*[F.struct(F.lit(i).alias("i"), values[n].cast("string").alias("v"))
-                            for i, n in enumerate(names)])).alias("__s"))
-    v = F.col("__s.v")
-    if keep_na:
-        v = na_text(v)
-    pre = (stacked.groupBy(*keys, F.col("__s.i").alias("__i"), v.alias("__v"))
-           .agg(F.min("__o").alias("__o")))
-    aggs = []
-    for i, n in enumerate(names):
-        keep = (F.col("__i") == i)
-        if not keep_na:
-            keep = keep & ~is_na_like(F.col("__v"))
-        pairs = F.collect_list(F.when(keep, F.struct(F.col("__o").alias("o"),
-                                                     F.col("__v").alias("v"))))
-        aggs.append(_sorted_join(pairs, seps[n]).alias(n))
-    return pre.groupBy(*keys).agg(*aggs)
+    seps = sep if isinstance(sep, dict) else {n: sep for n in values}
+    mode = "unique_na" if keep_na else "unique"
+    return group_sets(df, keys, {n: (v, mode, seps[n]) for n, v in values.items()}, order)
 
 
 def collapse_unique(df: DataFrame, keys: Sequence[str], value, order, sep: str = ";",
