@@ -7,9 +7,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..functions.semantics import if_else3, is_na_like, na_text, squish
+from ..functions.semantics import if_else3, na_text, squish
 from ..functions.text import strip_collapsed_na, trie_pattern
 from .joins import exists_flag, join_on
 
