@@ -62,21 +62,16 @@ def _c(c) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
-def range_ladder(code, ladder: Sequence[tuple], start=None, first_sets_start: bool = False) -> Column:
-    """Apply ``ifelse(lo <= code & code <= hi, label, previous)`` in order.
-
-    A NULL code gives NULL (R's ``ifelse``).  With ``first_sets_start`` the
-    first rung is ``ifelse(cond, label, start)`` - the leadership form, whose
-    misses are ``start``; otherwise misses keep ``start`` (the position form,
-    NULL by default).
-    """
+def range_ladder(code, ladder: Sequence[tuple], start=None) -> Column:
+    """Apply ``ifelse(lo <= code & code <= hi, label, previous)`` rung by rung,
+    starting from ``start``.  A NULL code makes the first test NULL, so the
+    result is NULL (R's ``ifelse``); codes outside every range keep ``start``
+    (NULL for the position ladder, "All Others" for the leadership one)."""
     s = _c(code)
     out = F.lit(start).cast("string")
     for label, lo, hi in ladder:
         cond = s >= lo if hi is None else ((s >= lo) & (s <= hi))
         out = if_else3(cond, F.lit(label), out)
-    if not first_sets_start:
-        out = F.when(s.isNull(), F.lit(None).cast("string")).otherwise(out)
     return out
 
 
@@ -89,7 +84,7 @@ def position_of(code) -> Column:
 def leadership_of(code) -> Column:
     """Ladder B (P20): misses are "All Others"; 61-63 ends as Minority Whip
     because the later rung overrides (kept as in the reference)."""
-    return range_ladder(code, LEADERSHIP_LADDER, LEADERSHIP_START, first_sets_start=True)
+    return range_ladder(code, LEADERSHIP_LADDER, LEADERSHIP_START)
 
 
 def leadership_flags(df: DataFrame, leadership: str = "leadership_position",
