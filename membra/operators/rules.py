@@ -134,9 +134,9 @@ def exclude_pairs(df: DataFrame, pairs, a: str, b: str, strict: bool = True) ->
     too (N2).  ``strict=False`` drops exact pair matches only.
 
     ``pairs`` is a list of (x, y) literals - one filter expression - or a
-    DataFrame with columns ``x``, ``y`` (non-NULL), decomposed into equi
-    anti-joins by which side of the row is NULL, so it scales with any
-    number of pairs.
+    DataFrame with columns ``x``, ``y`` (non-NULL), applied in one pass with
+    equi-joins against the distinct pairs and the distinct values of each
+    side, so it scales with any number of pairs.
     """
     A, B = F.col(a), F.col(b)
     if not isinstance(pairs, DataFrame):
@@ -147,15 +147,26 @@ def exclude_pairs(df: DataFrame, pairs, a: str, b: str, strict: bool = True) ->
                 t = F.coalesce(t, F.lit(True))
             keep = t if keep is None else keep & t
         return df if keep is None else df.filter(keep)
-    px = pairs.select(F.col("x").alias("__x"), F.col("y").alias("__y"))
-    both = df.filter(A.isNotNull() & B.isNotNull()).join(
-        px, (A == F.col("__x")) & (B == F.col("__y")), "left_anti")
+    # One pass: flag each row by equi-joins against the distinct pairs and the
+    # distinct first / second values.
+    px = pairs.select(F.col("x").alias("__x"), F.col("y").alias("__y")).distinct()
+    tagged = df.join(px.withColumn("__hit_xy", F.lit(True)),
+                     (A == F.col("__x")) & (B == F.col("__y")), "left").drop("__x", "__y")
     if not strict:
-        return both.unionByName(df.filter(A.isNull() | B.isNull()))
-    a_null = df.filter(A.isNull() & B.isNotNull()).join(
-        px.select("__y").distinct(), B == F.col("__y"), "left_anti")
-    b_null = df.filter(A.isNotNull() & B.isNull()).join(
-        px.select("__x").distinct(), A == F.col("__x"), "left_anti")
-    any_pair = px.limit(1).select(F.lit(1).alias("__one"))
-    none_null = df.filter(A.isNull() & B.isNull()).join(any_pair, F.lit(True), "left_anti")
-    return both.unionByName(a_null).unionByName(b_null).unionByName(none_null)
+        return tagged.filter(F.col("__hit_xy").isNull()).drop("__hit_xy")
+    xs = px.select(F.col("__x").alias("__xa")).distinct().withColumn("__hit_x", F.lit(True))
+    ys = px.select(F.col("__y").alias("__ya")).distinct().withColumn("__hit_y", F.lit(True))
+    # whether any pair exists is one bounded check (at most one row comes back)
+    any_pair = F.lit(px.limit(1).count() > 0)
+    tagged = (tagged.join(xs, A == F.col("__xa"), "left")
+              .join(ys, B == F.col("__ya"), "left"))
+    hit_xy, hit_x, hit_y = (F.col("__hit_xy").isNotNull(), F.col("__hit_x").isNotNull(),
+                            F.col("__hit_y").isNotNull())
+    # R drops a row when some pair test is TRUE or NULL: an exact pair; a NULL
+    # first value with a listed second; a listed first with a NULL second; or
+    # both NULL while any pair exists.
+    drop = (hit_xy
+            | (A.isNull() & B.isNotNull() & hit_y)
+            | (A.isNotNull() & B.isNull() & hit_x)
+            | (A.isNull() & B.isNull() & any_pair))
+    return tagged.filter(~drop).drop("__hit_xy", "__xa", "__hit_x", "__ya", "__hit_y")
