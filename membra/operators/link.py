@@ -172,11 +172,18 @@ def extract_terms(texts: DataFrame, text: str, vocab: DataFrame, term: str = "te
 
 
 def vocabulary_crosswalk(texts: DataFrame, text: str, vocab: DataFrame, term: str = "term",
-                         keep: Sequence[str] = (), out: str = "term") -> DataFrame:
+                         keep: Sequence[str] = (), out: str = "term",
+                         keep_text: bool = True) -> DataFrame:
     """K7: (term, attributes, text) for every vocabulary term in each text,
-    ``unnest`` + ``distinct``; texts without a hit drop out."""
+    ``unnest`` + ``distinct``; texts without a hit drop out.  With
+    ``keep_text=False`` the text itself is not carried into the ``distinct``
+    (use it when ``keep`` already identifies the text), so long texts are
+    never shuffled."""
     m = extract_terms(texts, text, vocab, term, "__m")
-    return m.select(*keep, F.col(text), F.explode("__m").alias(out)).distinct()
+    cols = [*keep, F.col(text)] if keep_text else list(keep)
+    # dedupe inside each text first: a short term can match thousands of
+    # times in one long text, the crosswalk needs it once
+    return m.select(*cols, F.explode(F.array_distinct("__m")).alias(out)).distinct()
 
 
 def vocabulary_coverage(texts: DataFrame, text: str, vocab: DataFrame, term: str = "term",
@@ -255,7 +262,9 @@ def resolve_names(df: DataFrame, row_keys: Sequence[str], text: str, period: str
     max_n = d.select(F.max(F.size(F.split("__alias", " ")))).first()[0] or 1
     norm = normalize_alias(text)
     grams = F.flatten(F.array(*[_ngrams(norm, n) for n in range(1, max_n + 1)]))
-    g = df.select(*row_keys, F.col(period).alias("__p"), F.explode(grams).alias("__g"))
+    # a phrase repeated in one text meets the dictionary once
+    g = df.select(*row_keys, F.col(period).alias("__p"),
+                  F.explode(F.array_distinct(grams)).alias("__g"))
     hits = g.join(d, (F.col("__g") == F.col("__alias"))
                   & (F.col("__dp").isNull() | (F.col("__dp") == F.col("__p"))))
     matched = hits.select(*row_keys, *dict_cols).distinct()

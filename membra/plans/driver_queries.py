@@ -490,7 +490,7 @@ def vocabulary_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
     """Every part-name word found in each (upper-cased) document."""
     d = table(spark, sf, "documents").select("doc_id", "source", F.upper("text").alias("text"))
     return lk.vocabulary_crosswalk(d, "text", _part_vocabulary(spark, sf), "term",
-                                   keep=["doc_id", "source"]).drop("text")
+                                   keep=["doc_id", "source"], keep_text=False)
 
 
 def vocabulary_coverage(spark: SparkSession, sf: str) -> DataFrame:
