@@ -149,10 +149,26 @@ def _rename_keep(df: DataFrame, names, keep: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`").alias(n) for c, n in zip(body, names)], keep)
 
 
+def corrections_for_overlay(corrections: DataFrame, strict: bool = True) -> DataFrame:
+    """The correction table as the overlay reads it.  ``strict`` keeps the
+    reference: the set text is used as written, "0" (= none) included (Q18).
+    ``strict=False`` turns "0" into NULL and canonicalises the set, so padded
+    entries such as "TRANSPORTATION " match the crosswalk later (Q19)."""
+    corr = corrections.select("congress", "icpsr",
+                              F.col("committees").alias("committees_us_correct"))
+    if strict:
+        return corr
+    c = F.col("committees_us_correct")
+    return corr.withColumn("committees_us_correct",
+                           st.normalize_set_string(F.when(c != "0", c)))
+
+
 def merge_sources(legacy: DataFrame, members: DataFrame, corrections: DataFrame,
                   oversight_data: DataFrame, roster: DataFrame, missing_ids: DataFrame,
-                  order: str = "row_number") -> dict[str, DataFrame]:
-    """Entry 3: both sources -> combined member-period table and reports."""
+                  order: str = "row_number", strict: bool = True) -> dict[str, DataFrame]:
+    """Entry 3: both sources -> combined member-period table and reports.
+    ``strict=False`` applies the documented fixes of the correction overlay
+    (see :func:`corrections_for_overlay`)."""
     sw = st.group_sets(legacy, ["icpsr", "congress", "chamber"],
                        {"committees": ("committees", "unique_na"),
                         "positions": ("position", "unique_na")}, order)
@@ -167,7 +183,7 @@ def merge_sources(legacy: DataFrame, members: DataFrame, corrections: DataFrame,
         st.agg_normalized("committees_unitedstates").alias("committees_unitedstates"),
         st.agg_paste("titles", "titles").alias("titles"))
     merged = rc.reconcile(sw_clean, us_clean, ["icpsr", "congress"])
-    corr = corrections.select("congress", "icpsr", F.col("committees").alias("committees_us_correct"))
+    corr = corrections_for_overlay(corrections, strict)
     merged = ru.overlay(merged, corr, ["icpsr", "congress"], "committees_unitedstates",
                         "committees_us_correct")
     merged = ru.exclude_pairs(merged, lg.EXCLUDED_ID_PAIRS, "icpsr", "bioguide")

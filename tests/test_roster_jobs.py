@@ -125,3 +125,14 @@ def test_rule_table_loads(spark):
     assert rules.count() == 187
     assert rules.filter(~F.col("active")).count() == 3
     assert rules.filter(F.col("target") == "icpsr").count() == 185
+
+
+def test_corrections_strict_and_fixed(spark):  # Q18, Q19
+    corr = spark.createDataFrame([(116, 1, "0"), (116, 2, "TRANSPORTATION | ENERGY")],
+                                 "congress int, icpsr int, committees string")
+    strict = {r["icpsr"]: r["committees_us_correct"]
+              for r in rj.corrections_for_overlay(corr).collect()}
+    fixed = {r["icpsr"]: r["committees_us_correct"]
+             for r in rj.corrections_for_overlay(corr, strict=False).collect()}
+    assert strict == {1: "0", 2: "TRANSPORTATION | ENERGY"}
+    assert fixed == {1: None, 2: "ENERGY;TRANSPORTATION"}
