@@ -132,8 +132,10 @@ def role_flags(df: DataFrame, titles: str = "titles", positions: str = "position
 def same_person_twice(df: DataFrame, person_keys: Sequence[str], id_a: str, id_b: str,
                       out_cols: dict[str, str] | None = None) -> DataFrame:
     """Identity conflict audit (K12, first form): a person-period that appears
-    more than once, where the two ids disagree (NULL comparisons drop)."""
-    counted = add_count(df, list(person_keys), "n")
+    more than once, where the two ids disagree (NULL comparisons drop).
+    A person-period holds a handful of rows, so the count is a window over
+    the input (read once) rather than an aggregate joined back."""
+    counted = add_count(df, list(person_keys), "n", method="window")
     hits = counted.filter((F.col("n") > 1) & (F.col(id_a) != F.col(id_b)))
     cols = out_cols or {c: c for c in list(person_keys) + [id_a, id_b]}
     return hits.select(*[F.col(src).alias(dst) for dst, src in cols.items()]).distinct()

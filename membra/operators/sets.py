@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.semantics import is_na_like, na_text, squish
@@ -34,8 +34,16 @@ def join_back(df: DataFrame, agg: DataFrame, keys: Sequence[str], how: str = "le
     return join_on(df, agg, list(keys), how)
 
 
-def add_count(df: DataFrame, keys: Sequence[str], name: str = "n") -> DataFrame:
-    """dplyr ``add_count``: group size on every row."""
+def add_count(df: DataFrame, keys: Sequence[str], name: str = "n",
+              method: str = "join") -> DataFrame:
+    """dplyr ``add_count``: group size on every row.
+
+    ``method="join"`` (default) counts with a map-side-combined aggregate and
+    joins it back - safe for hot keys (AQE splits skewed join partitions) but
+    the input is evaluated twice.  ``method="window"`` reads the input once;
+    use it when groups are small by construction (e.g. one person-period)."""
+    if method == "window":
+        return df.withColumn(name, F.count(F.lit(1)).over(Window.partitionBy(*keys)))
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias(name))
     return join_back(df, counts, keys)
 
