@@ -5,14 +5,18 @@ from __future__ import annotations
 
 from .jaccard import op9_size_aware_jaccard
 from .langid import op4_string_kernel_language
+from .neardup import op3_sorted_projection_neardup
 from .packing import op10_linear_grouping_packing
+from .pieces import op6_suffix_array_pieces
 from .planes import op8_plane_files
 from .quality import op7_subword_quality
 from .repetition import op5_suffix_repetition
+from .sharding import op1_histogram_sort_sharding
 from .toxicity import op2_convolutional_toxicity
 
 QUERIES = {f.__name__: f for f in (
-    op2_convolutional_toxicity, op4_string_kernel_language, op5_suffix_repetition, op7_subword_quality,
+    op1_histogram_sort_sharding, op2_convolutional_toxicity, op3_sorted_projection_neardup,
+    op4_string_kernel_language, op5_suffix_repetition, op6_suffix_array_pieces, op7_subword_quality,
     op8_plane_files, op9_size_aware_jaccard, op10_linear_grouping_packing)}
 
 SQL: dict[str, str] = {}
