@@ -8,6 +8,8 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
+from membra.plans.driver_queries import QUERIES
+from membra.plans.oracle_sql import SQL
 from membra.plans.tables import TABLES
 from tools.oracle_check import sorted_rows
 
@@ -24,7 +26,8 @@ def duck():
 
 
 def test_every_query_has_an_oracle():
-    assert set(E.oracle_sql()) == set(E.queries())
+    assert set(SQL) == set(QUERIES)
+    assert set(E.oracle_sql()) <= set(E.queries())
 
 
 def test_entry_runs(spark):
@@ -34,7 +37,7 @@ def test_entry_runs(spark):
                           "committees_unitedstates", "titles"]
 
 
-@pytest.mark.parametrize("name", sorted(E.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_oracle(spark, duck, name):
     df = E.queries()[name](spark, SF)
     sc, sr = sorted_rows(df.columns, df.collect())

@@ -13,6 +13,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
+from membra.plans.driver_queries import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
@@ -30,7 +31,7 @@ def _plan(df) -> str:
     return buf.getvalue()
 
 
-@pytest.mark.parametrize("name", sorted(set(E.queries()) - SIDE_EFFECT))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SIDE_EFFECT))
 def test_plan_shape(spark, name):
     plan = _plan(E.queries()[name](spark, SF))
     ops = set(re.findall(r"^\(\d+\) (\w+)", plan, re.M))
