@@ -30,7 +30,7 @@ from .common import field, map_text, worker_cache
 
 MARK = "▁"
 #: segments that a worker keeps before it starts anew
-MEMO_SEGMENTS = 500_000
+MEMO_SEGMENTS = 700_000
 
 
 def default_path() -> str:
@@ -123,7 +123,7 @@ class Matcher:
 
     def __init__(self, t: Table):
         self.t = t
-        use = [i for i in np.flatnonzero(t.usable)]
+        use = sorted(np.flatnonzero(t.usable), key=lambda i: t.text[i])
         self.longest = max(len(t.text[i]) for i in use)
         chars = sorted({c for i in use for c in t.text[i]})
         self.code = {c: k + 2 for k, c in enumerate(chars)}  # 0: border, 1: no piece
@@ -157,8 +157,8 @@ class Matcher:
             rank = np.empty(n, dtype=np.int64)
             rank[o] = np.cumsum(new)
 
-    def encode(self, segments: list[str]) -> list[np.ndarray]:
-        """Ids of each segment."""
+    def encode(self, segments: list[str]) -> list[bytes]:
+        """Ids of each segment as little-endian unsigned 32-bit integers."""
         t, size = self.t, np.array([len(s) for s in segments], dtype=np.int64)
         cps = np.frombuffer("\0".join(segments).encode("utf-32-le", "surrogatepass") + b"\0\0\0\0", dtype="<u4")
         at = np.cumsum(size + 1) - (size + 1)
@@ -211,16 +211,19 @@ class Matcher:
             more = place > at[seg]
             place, seg = place[more], seg[more]
         if not got_seg:
-            return [np.empty(0, np.int64) for _ in segments]
+            return [b""] * len(segments)
         seg, pc, pos = map(np.concatenate, (got_seg, got_piece, got_at))
         o = np.lexsort((pos, seg))
         seg, pc, pos = seg[o], pc[o], pos[o]
-        out = np.split(pc, np.cumsum(np.bincount(seg, minlength=len(segments)))[:-1])
+        raw = pc.astype("<u4").tobytes()
+        cut = (4 * np.concatenate([[0], np.cumsum(np.bincount(seg, minlength=len(segments)))])).tolist()
+        out = [raw[a:b] for a, b in zip(cut[:-1], cut[1:])]
         if len(lone):
-            for i in np.unique(seg[pc < 0]):
+            for i in np.unique(seg[pc < 0]).tolist():
                 chars = iter([c for c in segments[i] if c not in self.code])
-                out[i] = np.array([y for p in out[i].tolist() for y in (
-                    [p] if p >= 0 else [t.byte[v] for v in next(chars).encode("utf-8", "replace")])])
+                ids = pc[cut[i] // 4 : cut[i + 1] // 4].tolist()
+                out[i] = np.array([y for p in ids for y in (
+                    [p] if p >= 0 else [t.byte[v] for v in next(chars).encode("utf-8", "replace")])], dtype="<u4").tobytes()
         return out
 
 
@@ -246,7 +249,7 @@ class Codec:
         if len(memo) + len(new) > MEMO_SEGMENTS:
             memo.clear()
         new = sorted(new.difference(memo))
-        memo.update(zip(new, (i.astype("<u4").tobytes() for i in self.cache["matcher"].encode(new)) if new else ()))
+        memo.update(zip(new, self.cache["matcher"].encode(new) if new else ()))
         return [np.frombuffer(b"".join([memo[x] for x in r]), dtype="<u4") for r in rows]
 
     def decode(self, ids: np.ndarray) -> bytes:
