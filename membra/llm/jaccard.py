@@ -45,7 +45,7 @@ SMALL_MAX = 14
 #: counters a task keeps, and the share of sets from which a member is hot
 COUNTERS, HOT_SHARE = 50_000, 0.01
 #: members that a task gathers before it sends them on
-GATHER = 1_500_000
+GATHER = 800_000
 #: rounds of single comparisons, and sets in one chunk of a list, for the rest
 ROUNDS, LIST_CHUNK = 3, 20_000
 _M48 = np.uint64((1 << 48) - 1)
@@ -408,7 +408,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     that repeat an id get a row each; links of any of them count for the id.
     Extra columns are not read; an empty table gives an empty one."""
     spark = docs.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"))
     table = staged(_sets(src), "sets")
     rows = table.where("n is not null")
