@@ -45,7 +45,7 @@ def _histogram(rows: DataFrame, spans: list[_Open], probes: int) -> dict[int, li
     """For each span its cells in order: (bytes, least and greatest key)."""
     spans_at = sorted(range(len(spans)), key=lambda i: spans[i].start())
     nth = _place([spans[i].start() for i in spans_at], 0, len(spans), "h", "d")
-    pick = lambda values: F.element_at(F.array(*[F.lit(v).cast("long") for v in values]), nth)
+    pick = lambda values: F.get(F.array(*[F.lit(v).cast("long") for v in values]), nth - 1)
     inner = [spans[i] for i in spans_at]
     fixed = pick([0 if s.h is None else 1 for s in inner]) == 1
     key = F.when(fixed, F.col("d")).otherwise(F.col("h"))
