@@ -150,6 +150,6 @@ def _place(cuts: list[tuple[int, int]], lo: int, hi: int, h: str, d: str):
 def op1_histogram_sort_sharding(spark, sf_dir) -> DataFrame:
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     crc = F.crc32(F.coalesce(F.col("text"), F.lit("")).cast("binary")).alias("text_crc32")
-    out = shard_by_bytes(docs.select("doc_id", "text"))
-    return out.select("doc_id", "size", crc, F.lit("bytes").alias("law"), "shard", "slot",
+    out = shard_by_bytes(docs.select("doc_id", "text", crc))
+    return out.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
                       F.lit(None).cast("int").alias("grown_shard"))
