@@ -15,12 +15,14 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 CHUNK_ROWS = 512
+BATCH_ROWS, BATCH_BYTES = 1_000, 16 << 20
 
 
 # ---------------------------------------------------------------- staged tables
@@ -63,23 +65,31 @@ def fresh(df: DataFrame, base: str) -> str:
 
 
 # ---------------------------------------------------------------- Arrow chunks
-def _binary(col: pa.Array) -> list:
-    return col.to_pylist()
+def bounded_batches(df: DataFrame) -> DataFrame:
+    """``df``, its session set to hand tasks at most ``BATCH_ROWS`` rows and
+    ``BATCH_BYTES`` at once (lower settings stay), so long texts fit in memory."""
+    conf = df.sparkSession.conf
+    for name, most in (("maxRecordsPerBatch", BATCH_ROWS), ("maxBytesPerBatch", BATCH_BYTES)):
+        name = "spark.sql.execution.arrow." + name
+        have = conf.get(name, None)
+        if have is None or not have.isdigit() or not 0 < int(have) <= most:
+            conf.set(name, str(most))
+    return df
 
 
 def chunks(batch: pa.RecordBatch, column: str, max_bytes: int = CHUNK_BYTES,
            max_rows: int = CHUNK_ROWS) -> Iterator[tuple[int, list]]:
     """(first row, texts as bytes or None) of each chunk of a batch."""
-    texts = batch.column(batch.schema.get_field_index(column)).to_pylist()
+    col = batch.column(batch.schema.get_field_index(column))
+    sizes = pc.fill_null(pc.binary_length(col), 0).to_pylist()
     at, size = 0, 0
-    for i, t in enumerate(texts):
-        n = len(t) if t is not None else 0
+    for i, n in enumerate(sizes):
         if i > at and (size + n > max_bytes or i - at >= max_rows):
-            yield at, texts[at:i]
+            yield at, col.slice(at, i - at).to_pylist()
             at, size = i, 0
         size += n
-    if at < len(texts):
-        yield at, texts[at:]
+    if at < len(sizes):
+        yield at, col.slice(at).to_pylist()
 
 
 def map_text(df: DataFrame, text_col: str, carry: list[str], fields: list[T.StructField],
@@ -108,7 +118,7 @@ def map_text(df: DataFrame, text_col: str, carry: list[str], fields: list[T.Stru
                 cols += [pa.array(v, type=k) for v, k in zip(got, kinds)]
                 yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return src.mapInArrow(run, schema)
+    return bounded_batches(src).mapInArrow(run, schema)
 
 
 def arrow_type(t: T.DataType) -> pa.DataType:

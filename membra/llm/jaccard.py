@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, chunks, mix, quoted, staged
+from .common import Words, bounded_batches, chunks, mix, quoted, staged
 from .components import components
 
 N_GRAM, PERCENT = 5, 80
@@ -135,7 +135,7 @@ def _sets(docs: DataFrame) -> DataFrame:
                 [pa.array(seen.n[often]), pa.array(seen.key[often].view(np.int64)), pa.nulls(k, pa.int64()),
                  pa.nulls(k, pa.list_(pa.int64()))], names=["doc_id", "set_id", "n", "members"])
 
-    return docs.mapInArrow(run, "doc_id long, set_id long, n long, members array<long>")
+    return bounded_batches(docs).mapInArrow(run, "doc_id long, set_id long, n long, members array<long>")
 
 
 # ---------------------------------------------------------------- small sets
@@ -260,7 +260,7 @@ def _send(docs: DataFrame, hot: np.ndarray, least: int, parts: int) -> DataFrame
         if held:
             yield out(flush())
 
-    return docs.select("doc_id", "text").mapInArrow(run, "part int, payload binary")
+    return bounded_batches(docs.select("doc_id", "text")).mapInArrow(run, "part int, payload binary")
 
 
 def _count(blocks: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import arrow_type, chunks, quoted, staged
+from .common import bounded_batches, chunks, quoted, staged
 from .tokens import Encoder, default_path
 
 CAPACITY, END_ID = 2048, 0
@@ -250,7 +250,7 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
                      pa.array(start.astype(np.int64)), pa.array(length.astype(np.int64)), pa.array(crc, pa.int64())],
                     names=["doc_id", "piece", "start", "length", "ids_crc32"])
 
-    return src.mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    return bounded_batches(src).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
 
 
 def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import chunks, quoted, shared_path
+from .common import bounded_batches, chunks, quoted, shared_path
 from .tokens import Encoder, default_path
 
 MAGIC = b"MBPLANE1"
@@ -192,7 +192,7 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
                 [pa.array([part], pa.int32()), pa.array([f"{folder}/{name}"]), pa.array([n_docs]), pa.array([n_tokens])],
                 names=MANIFEST.names)
 
-    return sorted(src.mapInArrow(run, MANIFEST).collect(), key=lambda r: r["part"])
+    return sorted(bounded_batches(src).mapInArrow(run, MANIFEST).collect(), key=lambda r: r["part"])
 
 
 def read(spark: SparkSession, manifest: list) -> DataFrame:
