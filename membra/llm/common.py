@@ -138,6 +138,13 @@ def worker_cache(name: str) -> dict:
     return mod.__dict__.setdefault(name, {})
 
 
+def release_memos() -> None:
+    """Frees what token encoders keep in this worker; other operators call it."""
+    held = sys.modules.get("_membra_worker_cache")
+    for k in [k for k in (held.__dict__ if held else ()) if k.startswith(("ids:", "pieces:"))]:
+        del held.__dict__[k]
+
+
 # ---------------------------------------------------------------- words and hashes
 _P = np.uint64(0x9E3779B97F4A7C15)
 _PINV = np.uint64(pow(0x9E3779B97F4A7C15, -1, 1 << 64))

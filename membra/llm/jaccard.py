@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bounded_batches, chunks, mix, quoted, staged
+from .common import Words, bounded_batches, chunks, mix, quoted, release_memos, staged
 from .components import components
 
 N_GRAM, PERCENT = 5, 80
@@ -114,6 +114,7 @@ def _sets(docs: DataFrame) -> DataFrame:
     null ``n``, frequent members (set_id) and their counts (doc_id)."""
 
     def run(batches):
+        release_memos()
         seen, rows = _Counters(), 0
         for b in batches:
             for at, texts in chunks(b, "text"):
@@ -208,6 +209,7 @@ def _send(docs: DataFrame, hot: np.ndarray, least: int, parts: int) -> DataFrame
     """Blocks (part, payload) of the members of sets of at least ``least``."""
 
     def run(batches):
+        release_memos()
         held: list = []
 
         def flush():
@@ -267,6 +269,7 @@ def _count(blocks: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
     """Blocks (part, payload) by set of the members that two or more sets hold."""
 
     def run(batches):
+        release_memos()
         raw = [p for b in batches for p in b.column(1).to_pylist()]
         if not raw:
             return
@@ -311,6 +314,7 @@ def _candidates(blocks: DataFrame, parts: int) -> DataFrame:
     """Sets with enough shared members: set_id, n, shared members, prefix."""
 
     def run(batches):
+        release_memos()
         raw = [p for b in batches for p in b.column(1).to_pylist()]
         if not raw:
             return
@@ -408,7 +412,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     that repeat an id get a row each; links of any of them count for the id.
     Extra columns are not read; an empty table gives an empty one."""
     spark = docs.sparkSession
-    parts = 2 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"))
     table = staged(_sets(src), "sets")
     rows = table.where("n is not null")

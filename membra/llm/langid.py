@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_of, field, map_text, quoted, sample_by, worker_cache
+from .common import bucket_of, field, map_text, quoted, release_memos, sample_by, worker_cache
 
 #: hash table of each n-gram order, n = 1, 2, 3
 SIZES = (256, 4096, 16384)
@@ -107,6 +107,7 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: list[st
     langs, weights = model
 
     def score(texts):
+        release_memos()
         names, conf = [], []
         for i in range(0, len(texts), 128):
             p, letters = presence(texts[i : i + 128])

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bucket_of, byte_values, field, map_text, mix, quoted, sample_by
+from .common import Words, bucket_of, byte_values, field, map_text, mix, quoted, release_memos, sample_by
 
 #: hashed rows for words, and for n-grams; vector size
 WORD_ROWS, GRAM_ROWS, DIM = 1 << 14, 1 << 14, 12
@@ -163,6 +163,7 @@ def predict(docs: DataFrame, model: tuple[np.ndarray, float, float], carry: list
     value, slope, offset = model
 
     def score(texts):
+        release_memos()
         ids, docs_ = features(texts)
         n = np.bincount(docs_, minlength=len(texts))
         s = np.bincount(docs_, weights=value[ids], minlength=len(texts)) / np.maximum(n, 1)

@@ -18,7 +18,7 @@ import numpy as np
 from .common import Words, worker_cache
 
 #: words, and words without punctuation, that a worker keeps before it starts anew
-MEMO_WORDS, MEMO_CORES = 1_500_000, 400_000
+MEMO_WORDS, MEMO_CORES = 1_500_000, 300_000
 _TAIL = ".,;:!?"
 
 
