@@ -48,6 +48,8 @@ COUNTERS, HOT_SHARE = 50_000, 0.01
 GATHER = 800_000
 #: rounds of single comparisons, and sets in one chunk of a list, for the rest
 ROUNDS, LIST_CHUNK = 3, 20_000
+#: sets on either side of a cell in which what is left is compared
+CELL = 1_000
 _M48 = np.uint64((1 << 48) - 1)
 
 
@@ -379,29 +381,82 @@ def _list_links(sets: DataFrame) -> DataFrame:
             x = F.struct("set_id", "n", "shared", "c").alias("x")
             pairs = here.select("t", x).join(one, "t").where("x.c != y.c").where(_possible("x", "y"))
             pairs = pairs.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
+            found = _verified(pairs, sets)
         else:
-            pairs = _rest(here)
-        found = staged(_verified(pairs, sets), "links")
+            found = _rest(here, sets)
+        found = staged(found, "links")
         links = found if links is None else links.unionByName(found)
         if r < ROUNDS:
             label = components(links, "a", "b")
     return links
 
 
-def _rest(here: DataFrame) -> DataFrame:
-    """All pairs across components that share a list, each once: for every set
-    outside its list's largest component, the sets of its lists are united."""
+def _rest(here: DataFrame, sets: DataFrame) -> DataFrame:
+    """(a, b): links among all pairs across components that share a list.
+
+    For every set outside its list's largest component the sets of its lists
+    are united to one array; it then meets those sets in cells of about
+    ``CELL`` on either side, which give links, not pairs."""
     most = here.groupBy("t", "c").count().groupBy("t").agg(F.max_by("c", F.struct("count", "c")).alias("top"))
     here = here.join(most, "t")
-    cell = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("count") / LIST_CHUNK)).alias("cell")
-    lists = here.groupBy("t", cell).agg(F.collect_list(F.struct("set_id", "n", "shared", "c")).alias("ys"))
+    part = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("count") / LIST_CHUNK)).alias("part")
+    lists = here.groupBy("t", part).agg(F.collect_list(F.struct("set_id", "n", "shared", "c")).alias("ys"))
     some = here.where("c != top").select("t", F.struct("set_id", "n", "shared", "c").alias("x"))
-    joined = some.join(lists, "t").select("x", F.expr(
+    joined = some.join(lists, "t").select("x.set_id", F.expr(
         f"""transform(filter(ys, y -> y.c != x.c and 100 * least(x.shared, y.shared) >=
             {PERCENT} * (x.n + y.n - least(x.shared, y.shared))), y -> y.set_id)""").alias("ys"))
-    united = joined.where("size(ys) > 0").groupBy("x").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))
-    pairs = united.select(F.col("x.set_id").alias("x"), F.explode("ys").alias("y"))
-    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    united = joined.where("size(ys) > 0").groupBy("set_id").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))
+    united = staged(united, "rest")
+    cells = 1 + here.select("set_id").distinct().count() // CELL
+    rows = 1 + united.count() // CELL
+
+    def split(batches):
+        for b in batches:
+            got = []
+            for x, ys in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                y = np.array(ys, dtype=np.int64)
+                cell = (mix(y.view(np.uint64)) % np.uint64(cells)).astype(np.int64)
+                row = int(mix(np.array([x], dtype=np.int64).view(np.uint64))[0] % np.uint64(rows))
+                got += [(int(c), row, x, y[cell == c]) for c in np.unique(cell)]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()),
+                 pa.array([g[2] for g in got], pa.int64()), pa.array([g[3] for g in got], pa.list_(pa.int64()))],
+                names=["cell", "row", "set_id", "ys"])
+
+    def number(batches):
+        for b in batches:
+            cell = mix(np.asarray(b.column(0)).view(np.uint64)) % np.uint64(cells)
+            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int64)), *b.columns], names=["cell", "set_id", "n", "members"])
+
+    kind = "set_id long, n long, members array<long>"
+    xs = united.mapInArrow(split, "cell long, row long, set_id long, ys array<long>").join(
+        sets.select("set_id", "n", "members"), "set_id").select("cell", "row", "set_id", "n", "members", "ys")
+    ys = (sets.select("set_id", "n", "members").join(here.select("set_id").distinct(), "set_id", "left_semi").mapInArrow(number, "cell long, " + kind)
+          .withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)).cast("array<bigint>"))))
+    return xs.groupBy("cell", "row").cogroup(ys.groupBy("cell", "row")).applyInArrow(_meet, "a long, b long").distinct()
+
+
+def _meet(x: pa.Table, y: pa.Table) -> pa.Table:
+    """Links between the sets of a cell and those that are to meet them."""
+    a, b = [], []
+    if len(x) and len(y):
+        order = np.argsort(y.column("set_id").to_numpy())
+        y = y.take(pa.array(order)).combine_chunks()
+        ids, size = y.column("set_id").to_numpy(), y.column("n").to_numpy()
+        lists = y.column("members").combine_chunks()
+        at, member = lists.offsets.to_numpy(), lists.flatten().to_numpy()
+        at = at - at[0]
+        for who, n, own, meet in zip(*(x.column(c).to_pylist() for c in ("set_id", "n", "members", "ys"))):
+            own, k = np.sort(np.array(own, dtype=np.int64)), np.searchsorted(ids, np.array(meet, dtype=np.int64))
+            count = at[k + 1] - at[k]
+            first = np.cumsum(count) - count
+            some = member[np.repeat(at[k] - first, count) + np.arange(count.sum())]
+            hit = own[np.minimum(np.searchsorted(own, some), len(own) - 1)] == some
+            common = np.add.reduceat(hit, first, dtype=np.int64)
+            good = k[100 * common >= PERCENT * (n + size[k] - common)]
+            a += [who] * len(good)
+            b += ids[good].tolist()
+    return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 
 
 def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
