@@ -68,7 +68,7 @@ def shingle_sets(texts: list, n_gram: int = N_GRAM) -> tuple[np.ndarray, np.ndar
     acc = h.copy()
     full = np.arange(len(h)) + n_gram <= w.first[w.doc + 1]
     for j in range(1, n_gram):
-        k = len(h) - j
+        k = max(0, len(h) - j)
         acc[:k] = mix(acc[:k] * np.uint64(0x100000001B3) + h[j:])
     got, doc = [acc[full]], [w.doc[full]]
     for size in range(1, n_gram):  # fewer words: the whole sequence
