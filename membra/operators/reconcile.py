@@ -24,7 +24,7 @@ COMBINED_EDGE_SEPARATOR = "^;|;$"
 
 
 def legacy_side(rows: DataFrame, member: str, period: str, sub: str, group, role, order,
-                groups_out: str = "committees_sw", roles_out: str = "positions") -> DataFrame:
+                groups_out: str = "groups_a", roles_out: str = "positions") -> DataFrame:
     """Source A at the join grain (K5, first half).
 
     Per (member, period, sub): the ordered unique roles with NA kept (A6) and
@@ -41,7 +41,7 @@ def legacy_side(rows: DataFrame, member: str, period: str, sub: str, group, role
 
 
 def roster_side(rows: DataFrame, member: str, period: str, person: str, group, title, order,
-                groups_out: str = "committees_unitedstates", titles_out: str = "titles") -> DataFrame:
+                groups_out: str = "groups_b", titles_out: str = "titles") -> DataFrame:
     """Source B at the join grain (K5, second half): per (member, period,
     person) the canonical group set (A7) and the ordered unique titles (A5)."""
     return group_sets(rows, [member, period, person],
@@ -50,8 +50,8 @@ def roster_side(rows: DataFrame, member: str, period: str, person: str, group, t
 
 def reconcile_rows(rows: DataFrame, source: str, a_value, b_value, member: str, period: str,
                    a_sub: str, b_person: str, group, a_role, b_title, order,
-                   a_groups_out: str = "committees_sw", roles_out: str = "positions",
-                   b_groups_out: str = "committees_unitedstates", titles_out: str = "titles",
+                   a_groups_out: str = "groups_a", roles_out: str = "positions",
+                   b_groups_out: str = "groups_b", titles_out: str = "titles",
                    person_out: str = "bioguide") -> DataFrame:
     """K5 when both sources live in one row set (told apart by ``source``).
 
@@ -99,8 +99,8 @@ def discrepancies(df: DataFrame, a: str, b: str, sort: Sequence = ()) -> DataFra
 
 
 def role_flags(df: DataFrame, titles: str = "titles", positions: str = "positions",
-               a_set: str = "committees_sw", b_set: str = "committees_unitedstates",
-               out: str = "committees", dedupe: bool = True) -> DataFrame:
+               a_set: str = "groups_a", b_set: str = "groups_b",
+               out: str = "member_groups", dedupe: bool = True) -> DataFrame:
     """Role flags from role text and the union of both sources' sets (K9).
 
     Text columns are NULL-filled first (``replace_na``); the union is

@@ -118,7 +118,7 @@ def normalize_set_string(c) -> Column:
     return F.when(F.size(kept) == 0, F.lit(None)).otherwise(F.array_join(kept, ";"))
 
 
-def wide_lists(df: DataFrame, keys: Sequence[str], value, order, out: str = "committees",
+def wide_lists(df: DataFrame, keys: Sequence[str], value, order, out: str = "member_groups",
                n_columns: int = 9, prefix: str | None = None, sep: str = "|") -> DataFrame:
     """Grouped ``paste(collapse = "|")`` on every row, then a split into a fixed
     number of columns, filled from the left, extras dropped (K14: W2 + X8)."""

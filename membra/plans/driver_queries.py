@@ -81,8 +81,8 @@ def two_source_reconcile(spark: SparkSession, sf: str) -> DataFrame:
 
 def discrepancy_report(spark: SparkSession, sf: str) -> DataFrame:
     """Both sources present and different, by member then latest period."""
-    return rc.discrepancies(two_source_reconcile(spark, sf), "committees_sw",
-                            "committees_unitedstates", [F.col("icpsr"), F.desc("congress")])
+    return rc.discrepancies(two_source_reconcile(spark, sf), "groups_a",
+                            "groups_b", [F.col("icpsr"), F.desc("congress")])
 
 
 def role_flags(spark: SparkSession, sf: str) -> DataFrame:
@@ -398,9 +398,9 @@ def _corrections(spark: SparkSession, sf: str) -> DataFrame:
 def correction_overlay(spark: SparkSession, sf: str) -> DataFrame:
     """Corrections fill missing sets and add rows, never overwrite."""
     rows = assignments(spark, sf).filter(F.col("source") == "A")
-    base = normalize_set(rows, ["icpsr", "congress"], "committee", "committees_unitedstates")
+    base = normalize_set(rows, ["icpsr", "congress"], "committee", "groups_b")
     return ru.overlay(base, _corrections(spark, sf), ["icpsr", "congress"],
-                      "committees_unitedstates", "committees_us_correct")
+                      "groups_b", "committees_us_correct")
 
 
 # ---------------------------------------------------------------------------
@@ -420,7 +420,7 @@ def member_period_rollup(spark: SparkSession, sf: str) -> DataFrame:
     turn kinds, plus the number of roles of the conversation."""
     t = _turns(spark, sf)
     return st.member_period_rollup(t, "conv_id", "role",
-                                   {"committees": F.col("first_word"), "titles": F.col("kind")},
+                                   {"member_groups": F.col("first_word"), "titles": F.col("kind")},
                                    "turn")
 
 
@@ -501,20 +501,20 @@ def vocabulary_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 def _combined(spark: SparkSession, sf: str) -> DataFrame:
     flagged = rc.role_flags(two_source_reconcile(spark, sf), dedupe=False)
-    return flagged.withColumn("committees", repair_set_string("committees"))
+    return flagged.withColumn("member_groups", repair_set_string("member_groups"))
 
 
 def attach_by_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
     """Attach brand lists to each member-period through its groups."""
     p = table(spark, sf, "part")
     cw = p.select(
-        F.upper("p_type").alias("committees"),
+        F.upper("p_type").alias("member_groups"),
         F.concat(F.substring("p_type", 1, 3), F.lit("-"),
                  (F.col("p_size") / 10).cast("int").cast("string")).alias("acronym")).distinct()
     # rows of one (member, period) differ in ``bioguide``, so the reference's
     # final ``distinct`` cannot remove anything and is skipped
-    return lk.attach_by_crosswalk(_combined(spark, sf), ["icpsr", "congress"], "committees",
-                                  ["bioguide"], cw, "committees", "acronym", dedupe=False)
+    return lk.attach_by_crosswalk(_combined(spark, sf), ["icpsr", "congress"], "member_groups",
+                                  ["bioguide"], cw, "member_groups", "acronym", dedupe=False)
 
 
 # ---------------------------------------------------------------------------
@@ -570,14 +570,14 @@ GAP_MIN_PERIOD = 103
 
 def _roster_sets(spark: SparkSession, sf: str) -> DataFrame:
     members = attach_by_crosswalk(spark, sf).select(
-        "icpsr", "congress", "bioguide", "positions", "titles", "committees", "committees_sw",
-        "committees_unitedstates")
+        "icpsr", "congress", "bioguide", "positions", "titles", "member_groups", "groups_a",
+        "groups_b")
     return rp.roster_with_sets(_roster(spark, sf), members, ["icpsr", "congress"], "congress",
                                GAP_MIN_PERIOD)
 
 
 def _is_gap():
-    return rp.gap_condition("committees", "state_abbrev", "USA")
+    return rp.gap_condition("member_groups", "state_abbrev", "USA")
 
 
 def gap_report(spark: SparkSession, sf: str) -> DataFrame:
@@ -591,8 +591,8 @@ def gap_history(spark: SparkSession, sf: str) -> DataFrame:
     """All periods of members with a gap, with their sets."""
     out = rp.gap_history(_roster_sets(spark, sf), _is_gap(), "icpsr", [F.col("icpsr")])
     return out.select("chamber", "congress", "bioname", "icpsr", "state", "bioguide_id",
-                      "positions", "titles", "committees", "committees_sw",
-                      "committees_unitedstates")
+                      "positions", "titles", "member_groups", "groups_a",
+                      "groups_b")
 
 
 def identity_conflicts(spark: SparkSession, sf: str) -> DataFrame:
@@ -847,15 +847,15 @@ def naive_merge_overlap(spark: SparkSession, sf: str) -> DataFrame:
     member-period), keep pairs where both sets exist and differ, count them."""
     rows = assignments(spark, sf)
     a = st.group_sets(rows.filter(F.col("source") == "R"), ["icpsr", "congress", "chamber"],
-                      {"committees": ("committee", "unique_na")}, "ord")
-    a = a.withColumn("committees", F.regexp_replace("committees", r"\|", ";"))
+                      {"member_groups": ("committee", "unique_na")}, "ord")
+    a = a.withColumn("member_groups", F.regexp_replace("member_groups", r"\|", ";"))
     b = rc.roster_side(rows.filter(F.col("source") == "A"), "icpsr", "congress", "bioguide",
                        "committee", "title", "ord").drop("titles")
     naive = join_on(a, b, ["icpsr", "congress"], "full")
-    look = naive.dropna(subset=["committees", "committees_unitedstates"]).filter(
-        F.col("committees") != F.col("committees_unitedstates"))
-    return rp.value_counts(look, ["icpsr", "bioguide", "congress", "committees",
-                                  "committees_unitedstates"])
+    look = naive.dropna(subset=["member_groups", "groups_b"]).filter(
+        F.col("member_groups") != F.col("groups_b"))
+    return rp.value_counts(look, ["icpsr", "bioguide", "congress", "member_groups",
+                                  "groups_b"])
 
 
 def vocabulary_unmatched(spark: SparkSession, sf: str) -> DataFrame:

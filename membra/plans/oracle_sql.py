@@ -60,10 +60,10 @@ a_terms AS (
   SELECT DISTINCT icpsr, congress, {squish_sql('t')} AS t
   FROM a, unnest(string_split_regex(committee, '[;|]')) AS u(t)),
 a_sets AS (
-  SELECT icpsr, congress, string_agg(t, ';' ORDER BY t) AS committees_sw
+  SELECT icpsr, congress, string_agg(t, ';' ORDER BY t) AS groups_a
   FROM a_terms WHERE t IS NOT NULL AND t <> '' AND t <> 'NA' GROUP BY icpsr, congress),
 a_clean AS (
-  SELECT k.icpsr, k.congress, s.committees_sw,
+  SELECT k.icpsr, k.congress, s.groups_a,
          regexp_replace(regexp_replace(k.positions, ';Other|Other;|Other|;;', '', 'g'),
                         ';+', '', 'g') AS positions
   FROM (SELECT icpsr, congress, string_agg(positions, ';' ORDER BY chamber) AS positions
@@ -82,7 +82,7 @@ b_clean AS (
          (SELECT string_agg(t, ';' ORDER BY t) FROM b_terms x
            WHERE x.icpsr IS NOT DISTINCT FROM k.icpsr AND x.congress = k.congress
              AND x.bioguide = k.bioguide AND t IS NOT NULL AND t <> '' AND t <> 'NA')
-           AS committees_unitedstates,
+           AS groups_b,
          coalesce((SELECT string_agg(title, ';' ORDER BY o, title) FROM b_titles y
            WHERE y.icpsr IS NOT DISTINCT FROM k.icpsr AND y.congress = k.congress
              AND y.bioguide = k.bioguide), '') AS titles
@@ -90,7 +90,7 @@ b_clean AS (
 reconciled AS (
   SELECT coalesce(a_clean.icpsr, b_clean.icpsr) AS icpsr,
          coalesce(a_clean.congress, b_clean.congress) AS congress,
-         committees_sw, positions, bioguide, committees_unitedstates, titles
+         groups_a, positions, bioguide, groups_b, titles
   FROM a_clean FULL OUTER JOIN b_clean
     ON a_clean.icpsr IS NOT DISTINCT FROM b_clean.icpsr
    AND a_clean.congress IS NOT DISTINCT FROM b_clean.congress)"""
@@ -101,13 +101,13 @@ SQL["two_source_reconcile"] = f"WITH {RECONCILE.strip()} SELECT * FROM reconcile
 
 SQL["discrepancy_report"] = (
     f"WITH {RECONCILE.strip()} SELECT * FROM reconciled "
-    "WHERE committees_sw <> committees_unitedstates ORDER BY icpsr, congress DESC")
+    "WHERE groups_a <> groups_b ORDER BY icpsr, congress DESC")
 
 SQL["role_flags"] = f"""WITH {RECONCILE.strip()},
 filled AS (
-  SELECT icpsr, congress, coalesce(committees_sw, '') AS committees_sw,
+  SELECT icpsr, congress, coalesce(groups_a, '') AS groups_a,
          coalesce(positions, '') AS positions, bioguide,
-         coalesce(committees_unitedstates, '') AS committees_unitedstates,
+         coalesce(groups_b, '') AS groups_b,
          coalesce(titles, '') AS titles
   FROM reconciled),
 flagged AS (
@@ -116,14 +116,14 @@ flagged AS (
            OR regexp_matches(positions, 'Chair') THEN 1 ELSE 0 END AS chair0,
     CASE WHEN regexp_matches(titles, 'Ranking Member')
            OR regexp_matches(positions, 'Ranking Minority') THEN 1 ELSE 0 END AS rank0,
-    nullif({squish_sql("regexp_replace(committees_sw || ';' || committees_unitedstates, '^;|;$', '')")}, '')
-      AS committees
+    nullif({squish_sql("regexp_replace(groups_a || ';' || groups_b, '^;|;$', '')")}, '')
+      AS member_groups
   FROM filled)
-SELECT DISTINCT icpsr, congress, committees_sw, positions, bioguide, committees_unitedstates,
+SELECT DISTINCT icpsr, congress, groups_a, positions, bioguide, groups_b,
        titles,
-       CASE WHEN committees IS NULL THEN NULL ELSE chair0 END AS chair,
-       CASE WHEN committees IS NULL THEN NULL ELSE rank0 END AS ranking_minority,
-       committees
+       CASE WHEN member_groups IS NULL THEN NULL ELSE chair0 END AS chair,
+       CASE WHEN member_groups IS NULL THEN NULL ELSE rank0 END AS ranking_minority,
+       member_groups
 FROM flagged"""
 
 
@@ -383,14 +383,14 @@ base AS (
   SELECT k.icpsr, k.congress,
          (SELECT string_agg(t, ';' ORDER BY t) FROM terms x
            WHERE x.icpsr IS NOT DISTINCT FROM k.icpsr AND x.congress = k.congress
-             AND t IS NOT NULL AND t <> '' AND t <> 'NA') AS committees_unitedstates
+             AND t IS NOT NULL AND t <> '' AND t <> 'NA') AS groups_b
   FROM keys k),
 corr AS (
   SELECT DISTINCT {P_ORDER} AS congress, o_custkey AS icpsr,
          'CORRECTED;' || o_orderpriority AS committees_us_correct
   FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')
 SELECT coalesce(base.icpsr, corr.icpsr) AS icpsr, coalesce(base.congress, corr.congress) AS congress,
-       coalesce(base.committees_unitedstates, corr.committees_us_correct) AS committees_unitedstates
+       coalesce(base.groups_b, corr.committees_us_correct) AS groups_b
 FROM base FULL OUTER JOIN corr ON base.icpsr IS NOT DISTINCT FROM corr.icpsr
                               AND base.congress IS NOT DISTINCT FROM corr.congress"""
 
@@ -412,7 +412,7 @@ k AS (SELECT conv_id, role, kind AS v, min(turn) AS o FROM turns
 r AS (
   SELECT keys.conv_id, keys.role,
          coalesce((SELECT string_agg(v, ';' ORDER BY o, v) FROM w
-                   WHERE w.conv_id = keys.conv_id AND w.role = keys.role), '') AS committees,
+                   WHERE w.conv_id = keys.conv_id AND w.role = keys.role), '') AS member_groups,
          coalesce((SELECT string_agg(v, ';' ORDER BY o, v) FROM k
                    WHERE k.conv_id = keys.conv_id AND k.role = keys.role), '') AS titles
   FROM keys)
@@ -512,9 +512,9 @@ SELECT doc_id, len(regexp_extract_all(text, (SELECT re FROM pat))) > 0 AS matche
 
 COMBINED = f"""{RECONCILE.strip()},
 filled AS (
-  SELECT icpsr, congress, coalesce(committees_sw, '') AS committees_sw,
+  SELECT icpsr, congress, coalesce(groups_a, '') AS groups_a,
          coalesce(positions, '') AS positions, bioguide,
-         coalesce(committees_unitedstates, '') AS committees_unitedstates,
+         coalesce(groups_b, '') AS groups_b,
          coalesce(titles, '') AS titles
   FROM reconciled),
 flagged AS (
@@ -523,17 +523,17 @@ flagged AS (
            OR regexp_matches(positions, 'Chair') THEN 1 ELSE 0 END AS chair0,
     CASE WHEN regexp_matches(titles, 'Ranking Member')
            OR regexp_matches(positions, 'Ranking Minority') THEN 1 ELSE 0 END AS rank0,
-    nullif({squish_sql("regexp_replace(committees_sw || ';' || committees_unitedstates, '^;|;$', '')")}, '')
+    nullif({squish_sql("regexp_replace(groups_a || ';' || groups_b, '^;|;$', '')")}, '')
       AS committees0
   FROM filled),
 combined AS (
-  SELECT DISTINCT icpsr, congress, committees_sw, positions, bioguide, committees_unitedstates,
+  SELECT DISTINCT icpsr, congress, groups_a, positions, bioguide, groups_b,
        titles,
        CASE WHEN committees0 IS NULL THEN NULL ELSE chair0 END AS chair,
        CASE WHEN committees0 IS NULL THEN NULL ELSE rank0 END AS ranking_minority,
        coalesce(regexp_replace(regexp_replace(regexp_replace(regexp_replace(committees0,
            '\\|', ';', 'g'), 'TURAL RESOURCES', ';NATURAL RESOURCES', 'g'), ';NA;', ';', 'g'),
-           ';NA$|^NA;', '', 'g'), 'NA') AS committees
+           ';NA$|^NA;', '', 'g'), 'NA') AS member_groups
   FROM flagged)"""
 
 
@@ -548,8 +548,8 @@ cw AS (SELECT DISTINCT upper(p_type) AS cw_term,
        FROM part),
 parts0 AS (
   SELECT icpsr, congress, bioguide,
-         unnest(string_split_regex(committees, ';|\\|')) AS term,
-         unnest(generate_series(1, len(string_split_regex(committees, ';|\\|')))) AS pos
+         unnest(string_split_regex(member_groups, ';|\\|')) AS term,
+         unnest(generate_series(1, len(string_split_regex(member_groups, ';|\\|')))) AS pos
   FROM combined),
 parts AS (SELECT icpsr, congress, bioguide, term, min(pos) AS pos FROM parts0 GROUP BY ALL),
 hits AS (SELECT p.*, cw.acronym FROM parts p LEFT JOIN cw ON p.term = cw.cw_term),
@@ -567,9 +567,9 @@ per AS (
            AS oversight
   FROM first_t t GROUP BY t.icpsr, t.congress),
 oversight AS (
-  SELECT DISTINCT c.icpsr, c.congress, c.committees_sw, c.positions, c.bioguide,
-         c.committees_unitedstates, c.titles, c.chair, c.ranking_minority,
-         per.committees_new AS committees, per.oversight
+  SELECT DISTINCT c.icpsr, c.congress, c.groups_a, c.positions, c.bioguide,
+         c.groups_b, c.titles, c.chair, c.ranking_minority,
+         per.committees_new AS member_groups, per.oversight
   FROM combined c LEFT JOIN per ON c.icpsr IS NOT DISTINCT FROM per.icpsr
                                AND c.congress IS NOT DISTINCT FROM per.congress)"""
 
@@ -612,12 +612,12 @@ roster AS (
 GAPS = f"""{OVERSIGHT},
 {ROSTER.strip()},
 j AS (
-  SELECT r.*, m.bioguide, m.positions, m.titles, m.committees
+  SELECT r.*, m.bioguide, m.positions, m.titles, m.member_groups
   FROM (SELECT * FROM roster WHERE congress > 103) r
   LEFT JOIN oversight m ON r.icpsr IS NOT DISTINCT FROM m.icpsr
                        AND r.congress IS NOT DISTINCT FROM m.congress),
 gaps0 AS (SELECT * FROM j WHERE state_abbrev <> 'USA'
-                             AND (committees IS NULL OR committees IN ('', ';'))),
+                             AND (member_groups IS NULL OR member_groups IN ('', ';'))),
 missing AS (SELECT DISTINCT congress, bioguide_id FROM roster WHERE no_id),
 gaps AS (SELECT g.*, EXISTS (SELECT 1 FROM missing x WHERE x.congress = g.congress
                                                    AND x.bioguide_id = g.bioguide_id)
@@ -628,7 +628,7 @@ SQL["gap_report"] = (f"WITH {GAPS} SELECT chamber, congress, bioname, icpsr, sta
 
 SQL["gap_history"] = f"""WITH {GAPS}
 SELECT r.chamber, r.congress, r.bioname, r.icpsr, r.state, r.bioguide_id, m.positions, m.titles,
-       m.committees, m.committees_sw, m.committees_unitedstates
+       m.member_groups, m.groups_a, m.groups_b
 FROM (SELECT * FROM roster WHERE congress > 103) r
 LEFT JOIN oversight m ON r.icpsr IS NOT DISTINCT FROM m.icpsr
                      AND r.congress IS NOT DISTINCT FROM m.congress
@@ -760,17 +760,17 @@ a_c AS (
   FROM (SELECT icpsr, congress, chamber, coalesce(committee, 'NA') AS v, ord FROM a)
   GROUP BY ALL),
 a_cs AS (SELECT icpsr, congress, chamber,
-                replace(string_agg(v, ';' ORDER BY o, v), '|', ';') AS committees
+                replace(string_agg(v, ';' ORDER BY o, v), '|', ';') AS member_groups
          FROM a_c GROUP BY ALL),
 naive AS (
   SELECT coalesce(x.icpsr, y.icpsr) AS icpsr, coalesce(x.congress, y.congress) AS congress,
-         x.committees, y.bioguide, y.committees_unitedstates
+         x.member_groups, y.bioguide, y.groups_b
   FROM a_cs x FULL OUTER JOIN b_clean y
     ON x.icpsr IS NOT DISTINCT FROM y.icpsr AND x.congress IS NOT DISTINCT FROM y.congress)
-SELECT icpsr, bioguide, congress, committees, committees_unitedstates, count(*) AS n
+SELECT icpsr, bioguide, congress, member_groups, groups_b, count(*) AS n
 FROM naive
-WHERE committees IS NOT NULL AND committees_unitedstates IS NOT NULL
-  AND committees <> committees_unitedstates
+WHERE member_groups IS NOT NULL AND groups_b IS NOT NULL
+  AND member_groups <> groups_b
 GROUP BY ALL"""
 
 SQL["vocabulary_unmatched"] = f"""

@@ -36,10 +36,10 @@ from ..sources import files as fl
 from ..sources import snapshots as snap
 
 SNAPSHOT_MEMBER_KEYS = ["name", "bioguide", "title", "icpsr", "party", "rank"]
-LEGACY_COLUMNS = ["congress", "stewarticpsr", "name", "statenumber", "cd", "party",
+LEGACY_COLUMNS = ["congress", "source_code", "name", "statenumber", "cd", "party",
                   "seniorstatus", "chamber", "commcode", "committeename", "assigneddate",
                   "terminationdate", "partystatus"]
-LEGACY_NUMERIC = ["congress", "stewarticpsr", "cd", "party", "seniorstatus", "commcode", "icpsr"]
+LEGACY_NUMERIC = ["congress", "source_code", "cd", "party", "seniorstatus", "commcode", "icpsr"]
 LEGACY_FRONT = ["icpsr", "name", "congress", "chamber", "committee", "prestige",
                 "prestige_chair", "leadership_position", "position", "chair_of", "seniorstatus",
                 "assigneddate", "terminationdate"]
@@ -70,18 +70,18 @@ def membership_history(spark, snapshot_dir: str, partitioned: bool = False,
     }
 
 
-def members_committees(per_congress: DataFrame, committees: DataFrame,
+def members_committees(per_congress: DataFrame, member_groups: DataFrame,
                        legislators_current: DataFrame, legislators_historical: DataFrame,
                        dictionary: DataFrame) -> dict[str, DataFrame]:
     """Entry 1b.  ``dictionary`` is the dated alias table (alias, period, icpsr,
     chamber) that replaces the external name matcher."""
-    dim = committees.select("thomas_id", F.col("name").alias("committee"), "type")
+    dim = member_groups.select("thomas_id", F.col("name").alias("committee"), "type")
     cm = left_join_dim_dropna(per_congress, dim, ["thomas_id"], "committee")
     c = cm.withColumn("committee", canonical_name_a("committee"))
     mc = st.member_period_rollup(
         c, "bioguide", "congress",
-        {"name": F.col("name"), "committees": F.col("committee"), "titles": F.col("title")},
-        "ord", sep={"name": "|", "committees": ";", "titles": ";"})
+        {"name": F.col("name"), "member_groups": F.col("committee"), "titles": F.col("title")},
+        "ord", sep={"name": "|", "member_groups": ";", "titles": ";"})
     legislators = legislators_current.unionByName(legislators_historical,
                                                   allowMissingColumns=True).distinct()
     mc = join_on(mc.withColumn("bioguide_id", F.col("bioguide")), legislators, ["bioguide_id"],
@@ -115,31 +115,31 @@ def legacy_assignments(spark, house: DataFrame, senate: DataFrame,
     scd = _rename_keep(senate, fl.SENATE_SHEET_NAMES, order)
     scd = (scd.withColumn("cd", F.lit(0)).withColumn("chamber", F.lit("Senate"))
            .select(*LEGACY_COLUMNS, order))
-    stew = hcd.unionByName(scd).withColumn("icpsr", F.col("stewarticpsr"))
+    sheet_rows = hcd.unionByName(scd).withColumn("icpsr", F.col("source_code"))
     # as.numeric: non-numbers become NULL.  Done before the recode (the
     # reference casts after it); a rule never matches a NULL code either way.
     for c in LEGACY_NUMERIC:
-        stew = stew.withColumn(c, F.col(c).try_cast("int"))
+        sheet_rows = sheet_rows.withColumn(c, F.col(c).try_cast("int"))
     rules = recode_rules if recode_rules is not None else lg.id_recode_rules(spark)
-    stew = ru.recode(stew, rules, {"src_code": "stewarticpsr", "name": "name"},
+    sheet_rows = ru.recode(sheet_rows, rules, {"src_code": "source_code", "name": "name"},
                      {"icpsr": "icpsr", "party": "party", "name": "name"},
                      {"period": "congress", "status": "partystatus"})
-    stew = ru.apply_patches(stew, lg.seniority_subset_patches())
-    stew = stew.withColumn("yearelected", election_year_of("congress"))
-    stew = stew.withColumn("ICPSRYear", paste("icpsr", "yearelected", sep=""))
-    stew = (stew.withColumn("assigneddate", F.col("assigneddate").try_cast("date"))
+    sheet_rows = ru.apply_patches(sheet_rows, lg.seniority_subset_patches())
+    sheet_rows = sheet_rows.withColumn("yearelected", election_year_of("congress"))
+    sheet_rows = sheet_rows.withColumn("ICPSRYear", paste("icpsr", "yearelected", sep=""))
+    sheet_rows = (sheet_rows.withColumn("assigneddate", F.col("assigneddate").try_cast("date"))
                 .withColumn("terminationdate", F.col("terminationdate").try_cast("date")))
-    stew = ru.apply_patches(stew, lg.party_patches())
-    stew = stew.withColumn("committee", canonical_name_b("committeename"))
-    stew = ru.apply_patches(stew, lg.seniority_date_patches() + lg.date_patches())
-    stew = classify_roles(stew, "seniorstatus", "committee", "partystatus")
-    stew = st.wide_lists(stew, ["icpsr", "ICPSRYear"], "committee", order, out="committees",
+    sheet_rows = ru.apply_patches(sheet_rows, lg.party_patches())
+    sheet_rows = sheet_rows.withColumn("committee", canonical_name_b("committeename"))
+    sheet_rows = ru.apply_patches(sheet_rows, lg.seniority_date_patches() + lg.date_patches())
+    sheet_rows = classify_roles(sheet_rows, "seniorstatus", "committee", "partystatus")
+    sheet_rows = st.wide_lists(sheet_rows, ["icpsr", "ICPSRYear"], "committee", order, out="member_groups",
                          n_columns=9, prefix="committee")
-    stew = stew.withColumn("committeename", F.upper("committeename"))
-    stew = spell_features(stew, "icpsr", "committee", "assigneddate", "position")
-    stew = stew.filter(F.col("congress").isNotNull())
-    rest = [c for c in stew.columns if c not in LEGACY_FRONT]
-    return stew.select(*LEGACY_FRONT, *rest)
+    sheet_rows = sheet_rows.withColumn("committeename", F.upper("committeename"))
+    sheet_rows = spell_features(sheet_rows, "icpsr", "committee", "assigneddate", "position")
+    sheet_rows = sheet_rows.filter(F.col("congress").isNotNull())
+    rest = [c for c in sheet_rows.columns if c not in LEGACY_FRONT]
+    return sheet_rows.select(*LEGACY_FRONT, *rest)
 
 
 def _rename_keep(df: DataFrame, names, keep: str) -> DataFrame:
@@ -155,7 +155,7 @@ def corrections_for_overlay(corrections: DataFrame, strict: bool = True) -> Data
     ``strict=False`` turns "0" into NULL and canonicalises the set, so padded
     entries such as "TRANSPORTATION " match the crosswalk later (Q19)."""
     corr = corrections.select("congress", "icpsr",
-                              F.col("committees").alias("committees_us_correct"))
+                              F.col("member_groups").alias("committees_us_correct"))
     if strict:
         return corr
     c = F.col("committees_us_correct")
@@ -170,45 +170,45 @@ def merge_sources(legacy: DataFrame, members: DataFrame, corrections: DataFrame,
     ``strict=False`` applies the documented fixes of the correction overlay
     (see :func:`corrections_for_overlay`)."""
     sw = st.group_sets(legacy, ["icpsr", "congress", "chamber"],
-                       {"committees": ("committees", "unique_na"),
+                       {"member_groups": ("member_groups", "unique_na"),
                         "positions": ("position", "unique_na")}, order)
-    sw = sw.withColumn("committees", replace_all("committees", r"\|", ";"))
+    sw = sw.withColumn("member_groups", replace_all("member_groups", r"\|", ";"))
     sw_clean = sw.groupBy("icpsr", "congress").agg(
-        st.agg_normalized("committees").alias("committees_sw"),
+        st.agg_normalized("member_groups").alias("groups_a"),
         st.agg_paste("positions", "chamber").alias("positions"))
     sw_clean = sw_clean.withColumn("positions", clean_roles("positions"))
     us = members.select("icpsr", "bioguide", "congress", "titles",
-                        F.col("committees").alias("committees_unitedstates")).distinct()
+                        F.col("member_groups").alias("groups_b")).distinct()
     us_clean = us.groupBy("icpsr", "congress", "bioguide").agg(
-        st.agg_normalized("committees_unitedstates").alias("committees_unitedstates"),
+        st.agg_normalized("groups_b").alias("groups_b"),
         st.agg_paste("titles", "titles").alias("titles"))
     merged = rc.reconcile(sw_clean, us_clean, ["icpsr", "congress"])
     corr = corrections_for_overlay(corrections, strict)
-    merged = ru.overlay(merged, corr, ["icpsr", "congress"], "committees_unitedstates",
+    merged = ru.overlay(merged, corr, ["icpsr", "congress"], "groups_b",
                         "committees_us_correct")
     merged = ru.exclude_pairs(merged, lg.EXCLUDED_ID_PAIRS, "icpsr", "bioguide")
-    discrepancies = rc.discrepancies(merged, "committees_sw", "committees_unitedstates",
+    discrepancies = rc.discrepancies(merged, "groups_a", "groups_b",
                                      [F.col("icpsr"), F.desc("congress")])
     flagged = rc.role_flags(merged)
-    flagged = flagged.withColumn("committees", repair_set_string("committees"))
-    vocab = lk.vocabulary(flagged, "committees")
-    d1 = (oversight_data.select(F.col("Reporting Committees").alias("committees"),
+    flagged = flagged.withColumn("member_groups", repair_set_string("member_groups"))
+    vocab = lk.vocabulary(flagged, "member_groups")
+    d1 = (oversight_data.select(F.col("Reporting Committees").alias("member_groups"),
                                 "department_agency_acronym")
-          .filter(F.col("committees").isNotNull())
-          .withColumn("committees", F.upper("committees")))
+          .filter(F.col("member_groups").isNotNull())
+          .withColumn("member_groups", F.upper("member_groups")))
     crosswalk = lk.vocabulary_crosswalk(
-        d1.withColumnRenamed("committees", "committeesACUS"), "committeesACUS", vocab, "term",
-        keep=["department_agency_acronym"], out="committees")
+        d1.withColumnRenamed("member_groups", "committeesACUS"), "committeesACUS", vocab, "term",
+        keep=["department_agency_acronym"], out="member_groups")
     coverage = lk.vocabulary_coverage(
         lk.vocabulary(oversight_data.filter(F.col("Reporting Committees").isNotNull()),
                       "Reporting Committees").select(F.upper("term").alias("ACUS_reporting_committee")),
         "ACUS_reporting_committee", vocab, "term", "in_combined_committee_membership_data")
-    oversight = lk.attach_by_crosswalk(flagged, ["icpsr", "congress"], "committees", ["bioguide"],
-                                       crosswalk, "committees", "department_agency_acronym")
+    oversight = lk.attach_by_crosswalk(flagged, ["icpsr", "congress"], "member_groups", ["bioguide"],
+                                       crosswalk, "member_groups", "department_agency_acronym")
     oversight = ru.exclude_pairs(oversight, lg.EXCLUDED_ID_PAIRS, "icpsr", "bioguide")
     joined = rp.roster_with_sets(roster, oversight, ["icpsr", "congress"], "congress",
                                  MIN_ROSTER_PERIOD).distinct()
-    is_gap = rp.gap_condition("committees", "state_abbrev", EXCLUDED_STATE)
+    is_gap = rp.gap_condition("member_groups", "state_abbrev", EXCLUDED_STATE)
     missing = rp.gap_report(joined, is_gap, missing_ids.select(
         "congress", F.col("bioguide").alias("bioguide_id")), ["congress", "bioguide_id"])
     conflicts = rc.same_person_twice(

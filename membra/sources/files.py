@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 # header of the fourth column is named ``...4`` as R names it.
 CORRECTIONS_SCHEMA = (
     "congress int, chamber string, bioname string, `...4` string, icpsr int, "
-    "committees string, chair int, ranking_minority int, district_code int, "
+    "member_groups string, chair int, ranking_minority int, district_code int, "
     "state_abbrev string, state string, pop2010 int, majority int, presidents_party int, "
     "party string, first_cong int, first_year int, notes string")
 # The committed gap report.
@@ -21,12 +21,12 @@ GAP_REPORT_SCHEMA = ("chamber string, congress int, bioname string, icpsr int, s
 MISSING_ID_SCHEMA = "congress int, bioguide string, full_name string, wikipedia_id string"
 # Positional names of the legacy House spreadsheet (20) and Senate one (21).
 HOUSE_SHEET_NAMES = (
-    "congress", "commcode", "stewarticpsr", "name", "partystatus", "partyrank", "party",
+    "congress", "commcode", "source_code", "name", "partystatus", "partyrank", "party",
     "assigneddate", "terminationdate", "seniorstatus", "committeeseniority", "committeeperiod",
     "assignmentstatusatend", "assignmentstatusnext", "ac", "committeename", "statenumber", "cd",
     "state.name", "notes")
 SENATE_SHEET_NAMES = (
-    "congress", "commcode", "stewarticpsr", "name", "partystatus", "partyrank", "party",
+    "congress", "commcode", "source_code", "name", "partystatus", "partyrank", "party",
     "assigneddate", "terminationdate", "X", "seniorstatus", "committeeseniority",
     "committeeperiod", "assignmentstatusatend", "assignmentstatusnext", "ac", "committeename",
     "statenumber", "cd", "state.name", "notes")

@@ -33,8 +33,8 @@ def test_every_query_has_an_oracle():
 def test_entry_runs(spark):
     df = E.entry(spark)
     assert df.count() > 0
-    assert df.columns == ["icpsr", "congress", "committees_sw", "positions", "bioguide",
-                          "committees_unitedstates", "titles"]
+    assert df.columns == ["icpsr", "congress", "groups_a", "positions", "bioguide",
+                          "groups_b", "titles"]
 
 
 @pytest.mark.parametrize("name", sorted(QUERIES))

@@ -91,15 +91,15 @@ def test_typed_csv_positional_stage_and_report(spark):
     d = tempfile.mkdtemp(prefix="membra-csv-")
     p = os.path.join(d, "corr.csv")
     with open(p, "w", encoding="utf-8") as f:
-        f.write('congress,chamber,bioname,,icpsr,committees\n'
+        f.write('congress,chamber,bioname,,icpsr,member_groups\n'
                 '116,House,"SMITH, Ann",,101,"A | B|C"\n'
                 '116,House,"JONES, Bob",,NA,0\n')
     schema = ("congress int, chamber string, bioname string, `...4` string, icpsr int, "
-              "committees string")
+              "member_groups string")
     df = fl.read_csv_typed(spark, p, schema)
     assert "...4" in df.columns
     assert rows(df.withColumnRenamed("...4", "blank"), "bioname", "blank", "icpsr",
-                "committees") == [
+                "member_groups") == [
         ("JONES, Bob", None, None, "0"), ("SMITH, Ann", None, 101, "A | B|C")]
     renamed = fl.rename_positional(df, ["a", "b", "c", "d", "e", "f"])
     assert renamed.columns == ["a", "b", "c", "d", "e", "f"]

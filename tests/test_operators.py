@@ -92,9 +92,9 @@ def test_collapse_all_keeps_duplicates(spark):
 
 def test_wide_lists(spark):  # K14
     df = spark.createDataFrame([(1, 1, "A"), (1, 2, "B")], "k int, o int, v string")
-    out = st.wide_lists(df, ["k"], "v", "o", out="committees", n_columns=3)
+    out = st.wide_lists(df, ["k"], "v", "o", out="member_groups", n_columns=3)
     r = out.orderBy("o").first()
-    assert (r["committees"], r["committee1"], r["committee2"], r["committee3"]) == \
+    assert (r["member_groups"], r["member_group1"], r["member_group2"], r["member_group3"]) == \
         ("A|B", "A", "B", None)
 
 
@@ -152,8 +152,8 @@ def test_reconcile_paths_agree(spark):  # K5
     two = rc.reconcile(a, b, ["m", "p"])
     assert rows(one) == rows(two.select(*one.columns))
     got = {r["m"]: r for r in one.collect()}
-    assert got[1]["committees_sw"] == "BUDGET;ECON" and got[1]["positions"] == "ChairNA"
-    assert got[None]["committees_unitedstates"] == "RULES" and got[None]["positions"] == ""
+    assert got[1]["groups_a"] == "BUDGET;ECON" and got[1]["positions"] == "ChairNA"
+    assert got[None]["groups_b"] == "RULES" and got[None]["positions"] == ""
 
 
 def test_vocabulary_regex_and_automaton_agree(spark, monkeypatch):  # K7
@@ -189,11 +189,11 @@ def test_automata_path_random(spark, monkeypatch):
 
 def test_attach_by_crosswalk_na_path(spark):  # K8
     df = spark.createDataFrame([(1, 116, "b1", "A;B;A"), (1, 116, "b2", "C|A")],
-                               "icpsr int, congress int, bioguide string, committees string")
+                               "icpsr int, congress int, bioguide string, member_groups string")
     cw = spark.createDataFrame([("A", "X1"), ("A", "X2"), ("C", "Y")], "t string, a string")
-    out = lk.attach_by_crosswalk(df, ["icpsr", "congress"], "committees", ["bioguide"], cw,
+    out = lk.attach_by_crosswalk(df, ["icpsr", "congress"], "member_groups", ["bioguide"], cw,
                                  "t", "a")
-    got = {r["bioguide"]: (r["committees"], r["oversight"]) for r in out.collect()}
+    got = {r["bioguide"]: (r["member_groups"], r["oversight"]) for r in out.collect()}
     assert got["b1"] == ("A;B;C", "X1;X2;Y;X1;X2")
 
 
@@ -219,9 +219,9 @@ def test_gap_report_and_history(spark):  # K11
     roster = spark.createDataFrame(
         [(1, 110, "N1", "b1"), (1, 111, "N1", "b1"), (2, 110, "USA", "b2"), (3, 110, None, "b3")],
         "icpsr int, congress int, state_abbrev string, bioguide_id string")
-    sets = spark.createDataFrame([(1, 111, "A")], "icpsr int, congress int, committees string")
+    sets = spark.createDataFrame([(1, 111, "A")], "icpsr int, congress int, member_groups string")
     joined = rp.roster_with_sets(roster, sets, ["icpsr", "congress"], "congress", 102)
-    cond = rp.gap_condition("committees", "state_abbrev", "USA")
+    cond = rp.gap_condition("member_groups", "state_abbrev", "USA")
     missing = spark.createDataFrame([(110, "b1")], "congress int, bioguide_id string")
     gaps = rp.gap_report(joined, cond, missing, ["congress", "bioguide_id"])
     assert rows(gaps, "icpsr", "congress", "icpsr_missing") == [(1, 110, True)]

@@ -33,7 +33,7 @@ def test_whole_workflow(spark):
     assert hist["quarantine"].count() == 1
     assert hist["per_congress"].count() == 4
 
-    committees = spark.createDataFrame(
+    member_groups = spark.createDataFrame(
         [("HSWM", "House Committee on Ways and Means", "house"),
          ("SSVA", "Senate Committee on Veterans' Affairs", "senate")],
         "thomas_id string, name string, type string")
@@ -46,11 +46,11 @@ def test_whole_workflow(spark):
                                 "wikipedia_id string")
     dictionary = spark.createDataFrame([("Bob Jones", None, 202, "House")],
                                        "alias string, period int, icpsr int, chamber string")
-    mc = rj.members_committees(hist["per_congress"], committees, cur, old, dictionary)
+    mc = rj.members_committees(hist["per_congress"], member_groups, cur, old, dictionary)
     got = {(r["bioguide"], r["congress"]): r for r in mc["members_committees"].collect()}
-    assert got[("S000001", 116)]["committees"] == "WAYS" and got[("S000001", 116)]["icpsr"] == 101
+    assert got[("S000001", 116)]["member_groups"] == "WAYS" and got[("S000001", 116)]["icpsr"] == 101
     assert got[("J000002", 116)]["icpsr"] == 202
-    assert got[("Y000003", 116)]["committees"] == "VETERANS"
+    assert got[("Y000003", 116)]["member_groups"] == "VETERANS"
     assert mc["unresolved"].count() == 1
 
     def sheet(names, rows):
@@ -66,19 +66,19 @@ def test_whole_workflow(spark):
         return r
 
     house = sheet(HOUSE_SHEET_NAMES, [
-        hrow(congress="106", commcode="142", stewarticpsr="15001", name="Bartlett, Steve",
+        hrow(congress="106", commcode="142", source_code="15001", name="Bartlett, Steve",
              partystatus="1", party="200", assigneddate="1999-01-06", seniorstatus="12",
              committeename="Ways and Means") + [1],
-        hrow(congress="106", commcode="142", stewarticpsr="14873", name="Hoyer, Steny",
+        hrow(congress="106", commcode="142", source_code="14873", name="Hoyer, Steny",
              partystatus="2", party="100", assigneddate="1999-01-06", seniorstatus="25",
              committeename="House Administration") + [2],
-        hrow(congress="113", commcode="100", stewarticpsr="29999", name="Schiff, Adam",
+        hrow(congress="113", commcode="100", source_code="29999", name="Schiff, Adam",
              partystatus="2", party="x", assigneddate="2013-01-03", seniorstatus="0",
              committeename="Budget") + [3],
     ])
     s = [None] * len(SENATE_SHEET_NAMES)
     s[SENATE_SHEET_NAMES.index("congress")] = "113"
-    s[SENATE_SHEET_NAMES.index("stewarticpsr")] = "40001"
+    s[SENATE_SHEET_NAMES.index("source_code")] = "40001"
     s[SENATE_SHEET_NAMES.index("name")] = "Wyden, Ron"
     s[SENATE_SHEET_NAMES.index("committeename")] = "Energy and Natural Resources"
     s[SENATE_SHEET_NAMES.index("assigneddate")] = "2013-01-03"
@@ -95,7 +95,7 @@ def test_whole_workflow(spark):
     assert legacy.columns[:4] == ["icpsr", "name", "congress", "chamber"]
 
     corrections = spark.createDataFrame([(116, 303, "FINANCE")],
-                                        "congress int, icpsr int, committees string")
+                                        "congress int, icpsr int, member_groups string")
     oversight = spark.createDataFrame([("House Ways and Means; Budget", "TREAS")],
                                       "`Reporting Committees` string, department_agency_acronym string")
     roster = spark.createDataFrame(
@@ -108,8 +108,8 @@ def test_whole_workflow(spark):
     out = rj.merge_sources(legacy, mc["members_committees"], corrections, oversight, roster,
                            missing_ids)
     comb = {r["icpsr"]: r for r in out["combined"].collect()}
-    assert comb[303]["committees_unitedstates"] == "FINANCE"
-    assert comb[15002]["committees_sw"] == "WAYS"
+    assert comb[303]["groups_b"] == "FINANCE"
+    assert comb[15002]["groups_a"] == "WAYS"
     assert [r["icpsr"] for r in out["missing_committees"].collect()] == [404]
     assert out["oversight"].filter(F.col("icpsr") == 101).first()["oversight"] == "TREAS"
 
@@ -129,7 +129,7 @@ def test_rule_table_loads(spark):
 
 def test_corrections_strict_and_fixed(spark):  # Q18, Q19
     corr = spark.createDataFrame([(116, 1, "0"), (116, 2, "TRANSPORTATION | ENERGY")],
-                                 "congress int, icpsr int, committees string")
+                                 "congress int, icpsr int, member_groups string")
     strict = {r["icpsr"]: r["committees_us_correct"]
               for r in rj.corrections_for_overlay(corr).collect()}
     fixed = {r["icpsr"]: r["committees_us_correct"]
