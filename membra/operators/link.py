@@ -150,7 +150,12 @@ def _extract_with_automata(texts: DataFrame, text: str, vocab: DataFrame, term:
         F.sort_array(F.collect_list(F.struct("__start", "__term"))).getField("__term")
         .alias(out))
     res = join_on(texts.withColumn("__key", key), lists, ["__key"], "left").drop("__key")
-    return res.withColumn(out, F.coalesce(F.col(out), F.array().cast("array<string>")))
+    return res.withColumn(out, F.coalesce(F.col(out), _no_match(text)))
+
+
+def _no_match(text: str) -> Column:
+    """No term in a text: an empty array; a NULL text: NULL."""
+    return F.when(F.col(text).isNotNull(), F.array().cast("array<string>"))
 
 
 def extract_terms(texts: DataFrame, text: str, vocab: DataFrame, term: str = "term",
@@ -161,12 +166,14 @@ def extract_terms(texts: DataFrame, text: str, vocab: DataFrame, term: str = "te
     first: documented change Q7).  Small vocabularies become one prefix-tree
     regex evaluated by ``regexp_extract_all`` on the JVM; larger ones use
     chunked Aho-Corasick automata (no size cap, see ``_extract_with_automata``).
+    Both give the same arrays: a NULL text gives NULL, an empty text or an
+    empty vocabulary an empty array.
     """
     terms = _collect_terms(vocab, term)
     if terms is None:
         return _extract_with_automata(texts, text, vocab, term, out)
     if not terms:
-        return texts.withColumn(out, F.array().cast("array<string>"))
+        return texts.withColumn(out, _no_match(text))
     pattern = trie_pattern(terms)
     return texts.withColumn(out, F.regexp_extract_all(F.col(text), F.lit(pattern), 0))
 
@@ -188,27 +195,38 @@ def vocabulary_crosswalk(texts: DataFrame, text: str, vocab: DataFrame, term: st
 
 def vocabulary_coverage(texts: DataFrame, text: str, vocab: DataFrame, term: str = "term",
                         out: str = "matched") -> DataFrame:
-    """K7 coverage (F9): does each text contain any vocabulary term?"""
+    """K7 coverage (F9): does each text contain any vocabulary term?  NULL for
+    a NULL text."""
     m = extract_terms(texts, text, vocab, term, "__m")
-    return m.withColumn(out, F.size("__m") > 0).drop("__m")
+    return m.withColumn(out, F.when(F.col("__m").isNotNull(), F.size("__m") > 0)).drop("__m")
 
 
 def attach_by_crosswalk(df: DataFrame, keys: Sequence[str], set_col: str, order: Sequence[str],
                         crosswalk: DataFrame, cw_term: str, cw_attr: str,
                         out_attr: str = "oversight", sep: str = ";|\\|",
-                        dedupe: bool = True) -> DataFrame:
+                        dedupe: bool = True, person: str | None = None) -> DataFrame:
     """K8: split a set column, attach crosswalk attributes per term, and
     re-collapse per group ``keys``: the group's unique terms and all attached
     attributes (NULL printed as NA, duplicates kept), each with edge NAs and
     the first inner ``;NA;`` removed.  Term order is (row ``order``, position
-    in the set); attributes of one term follow in binary order.
+    in the set); attributes of one term follow in binary order.  An attribute
+    comes as often as the crosswalk holds it for the term (once a text).
+
+    By default all rows without an id (the first key) are one group a period,
+    as in the reference; its list is copied to each of them, so the output
+    grows with the square of that group.  With ``person`` given, such rows
+    group by that column instead.
     """
+    shown = df.columns
     keys = list(keys)
+    if person is not None:
+        df = df.withColumn("__person", F.when(F.col(keys[0]).isNull(), F.col(person)))
+        keys.append("__person")
     rowo = F.struct(*[F.col(c) for c in order])
     terms = df.select(*keys, rowo.alias("__r"),
                       F.posexplode_outer(F.array_distinct(F.split(F.col(set_col), sep, -1)))
                       .alias("__p", "__t"))
-    cw = crosswalk.select(F.col(cw_term).alias("__t2"), F.col(cw_attr).alias("__a")).distinct()
+    cw = crosswalk.select(F.col(cw_term).alias("__t2"), F.col(cw_attr).alias("__a"))
     hits = terms.join(cw, F.col("__t").eqNullSafe(F.col("__t2")), "left")
     ordk = F.struct(F.col("__r").alias("r"), F.col("__p").alias("p"))
     # One sorted list per group: array_distinct of its terms keeps each
@@ -225,7 +243,7 @@ def attach_by_crosswalk(df: DataFrame, keys: Sequence[str], set_col: str, order:
          .alias("__set"),
         strip_collapsed_na(F.array_join(F.col("__l").getField("a"), ";")).alias(out_attr))
     res = join_on(df, per, keys, "left")
-    res = res.withColumn(set_col, F.col("__set")).drop("__set")
+    res = res.withColumn(set_col, F.col("__set")).select(*shown, out_attr)
     # ``distinct`` as in the reference; ``dedupe=False`` when the rows of a
     # group differ in a column other than ``set_col`` by construction
     return res.distinct() if dedupe else res
@@ -272,10 +290,11 @@ def resolve_names(df: DataFrame, row_keys: Sequence[str], text: str, period: str
 
 
 def fill_missing_ids(df: DataFrame, id_col: str, resolved: DataFrame, keys: Sequence[str],
-                     new_id: str, out: str) -> DataFrame:
+                     new_id: str, out: str, extra: Sequence[str] = ()) -> DataFrame:
     """Full join the resolved ids on ``keys`` and keep an existing id:
-    ``out = coalesce(new_id, id_col)``."""
-    fix = resolved.filter(F.col(new_id).isNotNull()).select(*keys, new_id).distinct()
+    ``out = coalesce(new_id, id_col)``.  ``extra`` columns of ``resolved`` come
+    along."""
+    fix = resolved.filter(F.col(new_id).isNotNull()).select(*keys, new_id, *extra).distinct()
     j = join_on(df, fix, list(keys), "full")
     return j.withColumn(out, F.coalesce(F.col(new_id), F.col(id_col)))
 

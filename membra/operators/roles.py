@@ -8,8 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import if_else3, in_set, paste
-from .joins import exists_flag
-from .sets import add_group_min
+from .joins import join_on
 
 # ---------------------------------------------------------------------------
 # Fixed values (code ranges and labels of the two legacy role ladders)
@@ -130,9 +129,11 @@ def spell_features(df: DataFrame, member: str = "icpsr", group: str = "committee
     """First assignment date and year per (member, group), the date of a
     chair assignment, and whether the member ever chaired that group."""
     out = df.withColumn("member_committee", paste(member, group))
-    out = add_group_min(out, ["member_committee"], assigned, "firstassigneddate")
+    is_chair = F.col(position) == CHAIR_LABEL
+    per = out.groupBy("member_committee").agg(
+        F.min(assigned).alias("firstassigneddate"),
+        F.max(F.coalesce(is_chair, F.lit(False))).alias("__chaired"))
+    out = join_on(out, per, ["member_committee"], "left")
     out = out.withColumn("firstassigned", F.year("firstassigneddate"))
-    out = out.withColumn("assignedchairdate",
-                         F.when(F.col(position) == CHAIR_LABEL, F.col(assigned).cast("date")))
-    chairs = out.filter(F.col(position) == CHAIR_LABEL).select("member_committee")
-    return exists_flag(out, chairs, ["member_committee"], "chair_since_2007")
+    out = out.withColumn("assignedchairdate", F.when(is_chair, F.col(assigned).cast("date")))
+    return out.withColumn("chair_since_2007", F.col("__chaired")).drop("__chaired")

@@ -408,20 +408,23 @@ def correction_overlay(spark: SparkSession, sf: str) -> DataFrame:
 # ---------------------------------------------------------------------------
 def _turns(spark: SparkSession, sf: str) -> DataFrame:
     c = table(spark, sf, "conversations")
-    first = F.regexp_replace(F.element_at(F.split("text", " "), 1), "[.,;:!?]", "")
     return c.select(
-        "conv_id", "turn", "role", first.alias("first_word"),
+        "conv_id", "turn", "role", "text",
         F.when(F.length("text") > 200, F.lit("long"))
          .when(F.length("text") < 20, F.lit(None)).otherwise(F.lit("short")).alias("kind"))
 
 
 def member_period_rollup(spark: SparkSession, sf: str) -> DataFrame:
-    """K4/A5: per (conversation, role) the ordered unique first words and
-    turn kinds, plus the number of roles of the conversation."""
-    t = _turns(spark, sf)
+    """K4/A5: per (conversation, role) the ordered unique words of its whole
+    turns and the turn kinds, plus the number of roles of the conversation."""
+    words = _turns(spark, sf).select(
+        "conv_id", "turn", "role", "kind", F.posexplode_outer(F.split("text", " ")).alias("pos", "w"))
+    t = words.select(
+        "conv_id", "role", "kind", F.regexp_replace("w", "[.,;:!?]", "").alias("word"),
+        F.struct("turn", F.coalesce(F.col("pos"), F.lit(0)).alias("pos")).alias("ord"))
     return st.member_period_rollup(t, "conv_id", "role",
-                                   {"member_groups": F.col("first_word"), "titles": F.col("kind")},
-                                   "turn")
+                                   {"member_groups": F.col("word"), "titles": F.col("kind")},
+                                   "ord")
 
 
 def collapse_keep_na(spark: SparkSession, sf: str) -> DataFrame:
@@ -505,16 +508,19 @@ def _combined(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def attach_by_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
-    """Attach brand lists to each member-period through its groups."""
+    """Attach brand lists to each member-period through its groups;
+    rows without an id group by person (Q5)."""
     p = table(spark, sf, "part")
+    # two crosswalk texts (odd and even sizes) can name one acronym for a group
     cw = p.select(
-        F.upper("p_type").alias("member_groups"),
+        F.upper("p_type").alias("member_groups"), (F.col("p_size") % 2).alias("text"),
         F.concat(F.substring("p_type", 1, 3), F.lit("-"),
                  (F.col("p_size") / 10).cast("int").cast("string")).alias("acronym")).distinct()
     # rows of one (member, period) differ in ``bioguide``, so the reference's
     # final ``distinct`` cannot remove anything and is skipped
     return lk.attach_by_crosswalk(_combined(spark, sf), ["icpsr", "congress"], "member_groups",
-                                  ["bioguide"], cw, "member_groups", "acronym", dedupe=False)
+                                  ["bioguide"], cw, "member_groups", "acronym", dedupe=False,
+                                  person="bioguide")
 
 
 # ---------------------------------------------------------------------------
@@ -565,7 +571,7 @@ def _roster(spark: SparkSession, sf: str) -> DataFrame:
 GAP_COLUMNS = ["chamber", "congress", "bioname", "icpsr", "state", "bioguide_id", "icpsr_missing"]
 
 
-GAP_MIN_PERIOD = 103
+GAP_MIN_PERIOD = 102
 
 
 def _roster_sets(spark: SparkSession, sf: str) -> DataFrame:
@@ -748,43 +754,49 @@ QUERIES = {
 # Snapshot files: landing, batch ingest with quarantine, streaming
 # ---------------------------------------------------------------------------
 # Fixed values of the analogy: days of the month whose snapshot is written
-# broken, and how.
-BROKEN_DAYS = {7: "duplicate key", 14: "unparsable", 21: "empty or not a mapping",
-               28: "member not a mapping"}
+# broken in one of its parts, and how (only where quarantine is asked for).
+BROKEN_DAYS = {7: "duplicate key", 14: "unparsable", 21: "empty or not a mapping"}
+# Day of the month whose groups each hold a member written as bare text.
+BARE_TEXT_DAY = 28
 
+# Events per document: a version's events are split over as many part files
+# (each a complete YAML document) as this needs, and one more.
+EVENTS_PER_DOCUMENT = 50_000
 
-# A version's events are split over this many part files (each a complete
-# YAML document), so no single task writes or decodes a whole version.
-LANDING_SALT = 4
 
-
-def land_event_snapshots(spark: SparkSession, sf: str, path: str) -> None:
+def land_event_snapshots(spark: SparkSession, sf: str, path: str, broken: bool = False) -> None:
     """One snapshot version per event day: YAML documents ``{event_type:
     [member, ...]}`` with one flow-style member per event, written by Spark
-    into ``path/file_name=<version>/salt=<k>/part-*``.  Rows of a version are
-    salted over ``LANDING_SALT`` documents by event id, so a hot day never
-    lands in one task.  Four days are written broken on purpose - in every part."""
-    e = table(spark, sf, "events")
-    day = F.col("ts").cast("date")
-    named = e.select(
-        "event_id", "event_type", "user_id", "value", F.dayofmonth(day).alias("dom"),
-        version_file_name(SNAPSHOT_PREFIX, day, F.md5(day.cast("string"))).alias("file_name"),
-        F.pmod(F.xxhash64("event_id"), F.lit(LANDING_SALT)).alias("salt"))
+    into ``path/file_name=<version>/salt=<k>/part-*``.  The number of documents
+    of a version follows from its events, so no document grows with the data.
+    With ``broken`` one part of the versions of ``BROKEN_DAYS`` is bad."""
+    e = table(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
+    days = e.groupBy("day").agg(F.ceil(F.count(F.lit(1)) / EVENTS_PER_DOCUMENT).alias("n"),
+                                F.min("event_id").alias("first_id"))
+    parts = F.col("n") + 1
+    salt = F.pmod(F.xxhash64("event_id"), parts)
+    named = join_on(e, days, ["day"], "inner").select(
+        "event_id", "event_type", "user_id", "value", F.dayofmonth("day").alias("dom"),
+        version_file_name(SNAPSHOT_PREFIX, F.col("day"),
+                          F.md5(F.col("day").cast("string"))).alias("file_name"),
+        salt.alias("salt"),
+        (F.lit(broken) & (salt == F.pmod(F.xxhash64("first_id"), parts))).alias("bad_part"))
     named = named.repartition("file_name", "salt")
     w = Window.partitionBy("file_name", "salt", "event_type").orderBy("event_id")
     rn = F.row_number().over(w)
     title = F.when(F.col("value") > 50, F.lit(", title: Chair")).otherwise(F.lit(""))
+    rank = F.when(F.col("value") > 90, F.lit(", rank: 1")).otherwise(F.lit(""))
     member = F.concat(F.lit("- {name: 'User "), F.col("user_id").cast("string"),
                       F.lit("', bioguide: U"), F.lpad(F.col("user_id").cast("string"), 6, "0"),
-                      F.lit(", icpsr: "), F.col("user_id").cast("string"), title, F.lit("}"))
+                      F.lit(", icpsr: "), F.col("user_id").cast("string"), title, rank, F.lit("}"))
     head = F.concat(F.col("event_type"), F.lit(":\n"))
     first = rn == 1
     dom = F.col("dom")
-    line = (F.when(dom == 28, F.concat(F.when(first, head).otherwise(F.lit("")),
-                                       F.lit("- just text")))
-             .when(dom == 21, F.lit("# removed"))
-             .when((dom == 7) & first, F.concat(head, member, F.lit("\n"), head, member))
-             .when((dom == 14) & first, F.concat(head, member, F.lit("\n  ]bad: [")))
+    bad = F.col("bad_part")
+    line = (F.when(bad & (dom == 21), F.lit("# removed"))
+             .when(bad & (dom == 7) & first, F.concat(head, member, F.lit("\n"), head, member))
+             .when(bad & (dom == 14) & first, F.concat(head, member, F.lit("\n  ]bad: [")))
+             .when(first & (dom == BARE_TEXT_DAY), F.concat(head, F.lit("- just text\n"), member))
              .otherwise(F.concat(F.when(first, head).otherwise(F.lit("")), member)))
     lines = named.select("file_name", "salt", "event_type", "event_id", line.alias("line"))
     (lines.sortWithinPartitions("file_name", "salt", "event_type", "event_id")
@@ -792,36 +804,48 @@ def land_event_snapshots(spark: SparkSession, sf: str, path: str) -> None:
      .partitionBy("file_name", "salt").text(path))
 
 
-MEMBER_KEYS = ["name", "bioguide", "icpsr", "title"]
+MEMBER_KEYS = ["name", "bioguide", "icpsr", "title", "rank", "value"]
 
 
 def _members_from_decoded(decoded: DataFrame) -> DataFrame:
     m = snap.member_rows(decoded, MEMBER_KEYS)
     return snap.per_period_distinct(
-        m.withColumn("icpsr", F.col("icpsr").try_cast("bigint")),
-        ["congress", "name", "bioguide", "thomas_id", "title", "icpsr"])
+        m.withColumns({c: F.col(c).try_cast("bigint") for c in ("icpsr", "rank")}),
+        ["congress", "name", "bioguide", "thomas_id", "title", "icpsr", "rank", "value"])
 
 
-def _landed(spark: SparkSession, sf: str) -> str:
+def _landed(spark: SparkSession, sf: str, broken: bool = False) -> str:
     path = shared_dir(spark, "landing")
-    land_event_snapshots(spark, sf, path)
+    land_event_snapshots(spark, sf, path, broken)
     return path
 
 
+def _decoded(spark: SparkSession, sf: str, broken: bool = False) -> DataFrame:
+    """The decoded files as a written table: they are parsed once."""
+    files = snap.list_snapshots(spark, _landed(spark, sf, broken), partitioned=True)
+    path = shared_dir(spark, "decoded")
+    snap.decode_snapshots(files).write.parquet(path)
+    return spark.read.schema(snap.DECODED_SCHEMA).parquet(path)
+
+
 def snapshot_members(spark: SparkSession, sf: str) -> DataFrame:
-    """K1 from files: list, decode (bad files set aside), stack, distinct per period."""
-    files = snap.list_snapshots(spark, _landed(spark, sf), partitioned=True)
-    return _members_from_decoded(snap.decode_snapshots(files))
+    """K1 from files: list, decode, stack, distinct per period."""
+    return _members_from_decoded(_decoded(spark, sf))
 
 
 def quarantine_bad_files(spark: SparkSession, sf: str) -> DataFrame:
     """S3: the snapshot files set aside, with the kind of failure."""
-    files = snap.list_snapshots(spark, _landed(spark, sf), partitioned=True)
-    q = snap.quarantine(snap.decode_snapshots(files))
+    q = snap.quarantine(_decoded(spark, sf, broken=True))
     return q.select("source_file",
                     F.split("reason", ":").getItem(0).alias("reason_kind")).distinct()
 
 
+def quarantine_kept_versions(spark: SparkSession, sf: str) -> DataFrame:
+    """S3: members per version that stays; a version with one bad part goes whole."""
+    m = snap.member_rows(_decoded(spark, sf, broken=True), ["name"])
+    return m.filter("name is not null").groupBy("source_file").agg(F.count(F.lit(1)).alias("n"))
+
+
 def snapshot_stream(spark: SparkSession, sf: str) -> DataFrame:
     """S10 incremental: the same landing folder drained by a Structured
     Streaming query (availableNow) into a Parquet member table."""
@@ -835,6 +859,7 @@ def snapshot_stream(spark: SparkSession, sf: str) -> DataFrame:
 QUERIES.update({
     "snapshot_members": snapshot_members,
     "quarantine_bad_files": quarantine_bad_files,
+    "quarantine_kept_versions": quarantine_kept_versions,
     "snapshot_stream": snapshot_stream,
 })
 

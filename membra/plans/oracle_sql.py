@@ -396,8 +396,7 @@ FROM base FULL OUTER JOIN corr ON base.icpsr IS NOT DISTINCT FROM corr.icpsr
 
 TURNS = """
 turns AS (
-  SELECT conv_id, turn, role,
-         regexp_replace(string_split(text, ' ')[1], '[.,;:!?]', '', 'g') AS first_word,
+  SELECT conv_id, turn, role, text,
          CASE WHEN length(text) > 200 THEN 'long' WHEN length(text) < 20 THEN NULL
               ELSE 'short' END AS kind
   FROM conversations)"""
@@ -405,8 +404,13 @@ turns AS (
 SQL["member_period_rollup"] = f"""
 WITH {TURNS.strip()},
 keys AS (SELECT DISTINCT conv_id, role FROM turns),
-w AS (SELECT conv_id, role, first_word AS v, min(turn) AS o FROM turns
-      WHERE first_word IS NOT NULL AND first_word <> '' AND first_word <> 'NA' GROUP BY ALL),
+words AS (
+  SELECT conv_id, role, turn, unnest(string_split(text, ' ')) AS word,
+         generate_subscripts(string_split(text, ' '), 1) AS pos FROM turns),
+w0 AS (SELECT conv_id, role, regexp_replace(word, '[.,;:!?]', '', 'g') AS v,
+              turn * 10000000 + pos AS p FROM words),
+w AS (SELECT conv_id, role, v, min(p) AS o FROM w0
+      WHERE v IS NOT NULL AND v <> '' AND v <> 'NA' GROUP BY ALL),
 k AS (SELECT conv_id, role, kind AS v, min(turn) AS o FROM turns
       WHERE kind IS NOT NULL AND kind <> '' AND kind <> 'NA' GROUP BY ALL),
 r AS (
@@ -542,36 +546,39 @@ def _strip_na(x: str) -> str:
 
 
 OVERSIGHT = f"""{COMBINED},
-cw AS (SELECT DISTINCT upper(p_type) AS cw_term,
+cw AS (SELECT DISTINCT upper(p_type) AS cw_term, p_size % 2 AS cw_text,
               substr(p_type, 1, 3) || '-' || CAST(CAST(trunc(p_size / 10) AS INTEGER) AS VARCHAR)
                 AS acronym
        FROM part),
 parts0 AS (
-  SELECT icpsr, congress, bioguide,
+  SELECT icpsr, congress, bioguide, CASE WHEN icpsr IS NULL THEN bioguide END AS person,
          unnest(string_split_regex(member_groups, ';|\\|')) AS term,
          unnest(generate_series(1, len(string_split_regex(member_groups, ';|\\|')))) AS pos
   FROM combined),
-parts AS (SELECT icpsr, congress, bioguide, term, min(pos) AS pos FROM parts0 GROUP BY ALL),
+parts AS (SELECT icpsr, congress, bioguide, person, term, min(pos) AS pos FROM parts0 GROUP BY ALL),
 hits AS (SELECT p.*, cw.acronym FROM parts p LEFT JOIN cw ON p.term = cw.cw_term),
 first_t AS (
   SELECT * FROM (
-    SELECT icpsr, congress, term, bioguide, pos,
-           row_number() OVER (PARTITION BY icpsr, congress, term
+    SELECT icpsr, congress, person, term, bioguide, pos,
+           row_number() OVER (PARTITION BY icpsr, congress, person, term
                               ORDER BY bioguide NULLS FIRST, pos) AS rn
     FROM parts) WHERE rn = 1),
 per AS (
-  SELECT t.icpsr, t.congress,
+  SELECT t.icpsr, t.congress, t.person,
          {_strip_na("string_agg(t.term, ';' ORDER BY t.bioguide NULLS FIRST, t.pos)")} AS committees_new,
          (SELECT {_strip_na("string_agg(coalesce(h.acronym, 'NA'), ';' ORDER BY h.bioguide NULLS FIRST, h.pos, coalesce(h.acronym, 'NA'))")}
-          FROM hits h WHERE h.icpsr IS NOT DISTINCT FROM t.icpsr AND h.congress = t.congress)
+          FROM hits h WHERE h.icpsr IS NOT DISTINCT FROM t.icpsr AND h.congress = t.congress
+                            AND h.person IS NOT DISTINCT FROM t.person)
            AS oversight
-  FROM first_t t GROUP BY t.icpsr, t.congress),
+  FROM first_t t GROUP BY t.icpsr, t.congress, t.person),
 oversight AS (
   SELECT DISTINCT c.icpsr, c.congress, c.groups_a, c.positions, c.bioguide,
          c.groups_b, c.titles, c.chair, c.ranking_minority,
          per.committees_new AS member_groups, per.oversight
   FROM combined c LEFT JOIN per ON c.icpsr IS NOT DISTINCT FROM per.icpsr
-                               AND c.congress IS NOT DISTINCT FROM per.congress)"""
+                               AND c.congress IS NOT DISTINCT FROM per.congress
+                               AND (CASE WHEN c.icpsr IS NULL THEN c.bioguide END)
+                                   IS NOT DISTINCT FROM per.person)"""
 
 SQL["attach_by_crosswalk"] = f"WITH {OVERSIGHT} SELECT * FROM oversight"
 
@@ -613,7 +620,7 @@ GAPS = f"""{OVERSIGHT},
 {ROSTER.strip()},
 j AS (
   SELECT r.*, m.bioguide, m.positions, m.titles, m.member_groups
-  FROM (SELECT * FROM roster WHERE congress > 103) r
+  FROM (SELECT * FROM roster WHERE congress > 102) r
   LEFT JOIN oversight m ON r.icpsr IS NOT DISTINCT FROM m.icpsr
                        AND r.congress IS NOT DISTINCT FROM m.congress),
 gaps0 AS (SELECT * FROM j WHERE state_abbrev <> 'USA'
@@ -629,7 +636,7 @@ SQL["gap_report"] = (f"WITH {GAPS} SELECT chamber, congress, bioname, icpsr, sta
 SQL["gap_history"] = f"""WITH {GAPS}
 SELECT r.chamber, r.congress, r.bioname, r.icpsr, r.state, r.bioguide_id, m.positions, m.titles,
        m.member_groups, m.groups_a, m.groups_b
-FROM (SELECT * FROM roster WHERE congress > 103) r
+FROM (SELECT * FROM roster WHERE congress > 102) r
 LEFT JOIN oversight m ON r.icpsr IS NOT DISTINCT FROM m.icpsr
                      AND r.congress IS NOT DISTINCT FROM m.congress
 WHERE r.icpsr IN (SELECT icpsr FROM gaps)
@@ -740,8 +747,12 @@ SNAPSHOT_MEMBERS = f"""
 WITH {SNAP.strip()}
 SELECT DISTINCT {period_sql('d')} AS congress, 'User ' || CAST(user_id AS VARCHAR) AS name,
        'U' || lpad(CAST(user_id AS VARCHAR), 6, '0') AS bioguide, event_type AS thomas_id,
-       CASE WHEN value > 50 THEN 'Chair' END AS title, CAST(user_id AS BIGINT) AS icpsr
-FROM snap WHERE day(d) NOT IN (7, 14, 21, 28)"""
+       CASE WHEN value > 50 THEN 'Chair' END AS title, CAST(user_id AS BIGINT) AS icpsr,
+       CASE WHEN value > 90 THEN CAST(1 AS BIGINT) END AS rank, CAST(NULL AS VARCHAR) AS value
+FROM snap
+UNION
+SELECT {period_sql('d')}, NULL, NULL, event_type, NULL, NULL, NULL, 'just text'
+FROM snap WHERE day(d) = 28"""
 
 SQL["snapshot_members"] = SNAPSHOT_MEMBERS
 SQL["snapshot_stream"] = SNAPSHOT_MEMBERS
@@ -750,9 +761,12 @@ SQL["quarantine_bad_files"] = f"""
 WITH {SNAP.strip()}
 SELECT DISTINCT source_file,
        CASE day(d) WHEN 7 THEN 'duplicate key' WHEN 14 THEN 'unparsable'
-                   WHEN 21 THEN 'empty or not a mapping' ELSE 'member not a mapping' END
-         AS reason_kind
-FROM snap WHERE day(d) IN (7, 14, 21, 28)"""
+                   WHEN 21 THEN 'empty or not a mapping' END AS reason_kind
+FROM snap WHERE day(d) IN (7, 14, 21)"""
+
+SQL["quarantine_kept_versions"] = f"""
+WITH {SNAP.strip()}
+SELECT source_file, count(*) AS n FROM snap WHERE day(d) NOT IN (7, 14, 21) GROUP BY source_file"""
 
 SQL["naive_merge_overlap"] = f"""WITH {RECONCILE.strip()},
 a_c AS (

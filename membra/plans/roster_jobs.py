@@ -35,11 +35,13 @@ from ..session import checkpoint
 from ..sources import files as fl
 from ..sources import snapshots as snap
 
+# Member keys that always are columns; other keys of the snapshots follow.
 SNAPSHOT_MEMBER_KEYS = ["name", "bioguide", "title", "icpsr", "party", "rank"]
 LEGACY_COLUMNS = ["congress", "source_code", "name", "statenumber", "cd", "party",
                   "seniorstatus", "chamber", "commcode", "committeename", "assigneddate",
                   "terminationdate", "partystatus"]
-LEGACY_NUMERIC = ["congress", "source_code", "cd", "party", "seniorstatus", "commcode", "icpsr"]
+LEGACY_NUMERIC = ["congress", "source_code", "cd", "party", "seniorstatus", "commcode", "icpsr",
+                  "partystatus"]
 LEGACY_FRONT = ["icpsr", "name", "congress", "chamber", "committee", "prestige",
                 "prestige_chair", "leadership_position", "position", "chair_of", "seniorstatus",
                 "assigneddate", "terminationdate"]
@@ -48,7 +50,7 @@ EXCLUDED_STATE = "USA"
 
 
 def membership_history(spark, snapshot_dir: str, partitioned: bool = False,
-                       keys=SNAPSHOT_MEMBER_KEYS) -> dict[str, DataFrame]:
+                       keys=None) -> dict[str, DataFrame]:
     """Entry 1a: every snapshot file -> one row per (file, group, member).
 
     The decoded files are checkpointed once (reliable checkpoint in the
@@ -56,7 +58,7 @@ def membership_history(spark, snapshot_dir: str, partitioned: bool = False,
     read them."""
     files = snap.list_snapshots(spark, snapshot_dir, partitioned=partitioned)
     decoded = checkpoint(snap.decode_snapshots(files))
-    members = snap.member_rows(decoded, list(keys))
+    members = snap.member_rows(decoded, keys, always=tuple(SNAPSHOT_MEMBER_KEYS))
     ordk = F.struct("source_file", "group_pos", "member_pos")
     per_congress = (members.groupBy("congress", "name", "bioguide", "thomas_id", "title", "icpsr")
                     .agg(F.min(ordk).alias("ord")))
@@ -95,7 +97,8 @@ def members_committees(per_congress: DataFrame, member_groups: DataFrame,
                                 dictionary, "alias", "period", ["icpsr", "chamber"])
     fix = resolved.filter(F.col("icpsr").isNotNull()).select("icpsr", "bioguide", "congress",
                                                              "chamber")
-    out = lk.fill_missing_ids(mc, "icpsr_id", fix, ["bioguide", "congress"], "icpsr", "icpsr")
+    out = lk.fill_missing_ids(mc, "icpsr_id", fix, ["bioguide", "congress"], "icpsr", "icpsr",
+                              extra=["chamber"])
     return {
         "members_committees": out,
         "unresolved": resolved.filter(F.col("icpsr").isNull()),
@@ -116,10 +119,11 @@ def legacy_assignments(spark, house: DataFrame, senate: DataFrame,
     scd = (scd.withColumn("cd", F.lit(0)).withColumn("chamber", F.lit("Senate"))
            .select(*LEGACY_COLUMNS, order))
     sheet_rows = hcd.unionByName(scd).withColumn("icpsr", F.col("source_code"))
-    # as.numeric: non-numbers become NULL.  Done before the recode (the
-    # reference casts after it); a rule never matches a NULL code either way.
-    for c in LEGACY_NUMERIC:
-        sheet_rows = sheet_rows.withColumn(c, F.col(c).try_cast("int"))
+    # as.numeric: "113.0" is 113, non-numbers become NULL.  Done before the
+    # recode (the reference casts after it); a rule never matches a NULL code
+    # either way.
+    sheet_rows = sheet_rows.withColumns(
+        {c: F.col(c).try_cast("double").try_cast("int") for c in LEGACY_NUMERIC})
     rules = recode_rules if recode_rules is not None else lg.id_recode_rules(spark)
     sheet_rows = ru.recode(sheet_rows, rules, {"src_code": "source_code", "name": "name"},
                      {"icpsr": "icpsr", "party": "party", "name": "name"},
@@ -168,7 +172,8 @@ def merge_sources(legacy: DataFrame, members: DataFrame, corrections: DataFrame,
                   order: str = "row_number", strict: bool = True) -> dict[str, DataFrame]:
     """Entry 3: both sources -> combined member-period table and reports.
     ``strict=False`` applies the documented fixes of the correction overlay
-    (see :func:`corrections_for_overlay`)."""
+    (see :func:`corrections_for_overlay`) and attaches agencies to rows without
+    an id per person instead of pooling them (Q5)."""
     sw = st.group_sets(legacy, ["icpsr", "congress", "chamber"],
                        {"member_groups": ("member_groups", "unique_na"),
                         "positions": ("position", "unique_na")}, order)
@@ -201,10 +206,11 @@ def merge_sources(legacy: DataFrame, members: DataFrame, corrections: DataFrame,
         keep=["department_agency_acronym"], out="member_groups")
     coverage = lk.vocabulary_coverage(
         lk.vocabulary(oversight_data.filter(F.col("Reporting Committees").isNotNull()),
-                      "Reporting Committees").select(F.upper("term").alias("ACUS_reporting_committee")),
+                      "Reporting Committees", excluded=()).select(F.upper("term").alias("ACUS_reporting_committee")),
         "ACUS_reporting_committee", vocab, "term", "in_combined_committee_membership_data")
     oversight = lk.attach_by_crosswalk(flagged, ["icpsr", "congress"], "member_groups", ["bioguide"],
-                                       crosswalk, "member_groups", "department_agency_acronym")
+                                       crosswalk, "member_groups", "department_agency_acronym",
+                                       person=None if strict else "bioguide")
     oversight = ru.exclude_pairs(oversight, lg.EXCLUDED_ID_PAIRS, "icpsr", "bioguide")
     joined = rp.roster_with_sets(roster, oversight, ["icpsr", "congress"], "congress",
                                  MIN_ROSTER_PERIOD).distinct()

@@ -3,13 +3,16 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.utils import is_remote
 
 TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem", "events",
           "documents", "embeddings", "pages", "benchmark", "labels", "conversations")
 
-# Fixed value: inputs at least this large are spread over the cluster's cores
-# when the files yield fewer scan partitions than cores.
+# Inputs of this size range are spread over the cluster's cores
+# when the files yield fewer scan partitions than cores.  Only the number of
+# partitions changes; larger tables are never shuffled for it.
 SPREAD_MIN_BYTES = 8 * 1024 * 1024
+SPREAD_MAX_BYTES = 1024 * 1024 * 1024
 
 
 def _input_bytes(spark: SparkSession, path: str) -> int:
@@ -26,17 +29,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     A large table stored as very few row groups scans in very few tasks, and
     everything up to the first shuffle would then run on one core.  Such a
     table is spread round-robin over the default parallelism (Catalyst still
-    prunes columns and pushes filters below the repartition).  On a cluster
-    reading many files the scan already has more partitions than cores, and
-    this is a no-op.
+    prunes columns and pushes filters below the repartition).  A table over
+    ``SPREAD_MAX_BYTES`` keeps its scan partitions, however many cores there
+    are.
     """
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     df = spark.read.parquet(path)
-    try:
+    if is_remote():  # Spark Connect: no view of the scan's partitions
+        return df
+    if SPREAD_MIN_BYTES <= _input_bytes(spark, path) <= SPREAD_MAX_BYTES:
         cores = spark.sparkContext.defaultParallelism
-        few = df.rdd.getNumPartitions() < cores
-        if few and _input_bytes(spark, path) >= SPREAD_MIN_BYTES:
+        if df.rdd.getNumPartitions() < cores:
             df = df.repartition(cores)
-    except Exception:  # noqa: BLE001 - sessions without RDD/JVM access (Spark Connect)
-        pass
     return df

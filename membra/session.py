@@ -7,7 +7,6 @@ passes in; :func:`get_spark` is only a convenience for scripts and tests.
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -48,8 +47,9 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     """A fresh folder under the cluster's shared checkpoint location.
 
     The location comes from ``spark.checkpoint.dir`` (or the context's
-    checkpoint dir).  Only when neither is set - local runs and tests - a
-    private temporary folder is created and registered as checkpoint dir.
+    checkpoint dir).  Where neither is set it is a folder under the session's
+    warehouse, which driver and executors share as well; it is registered as
+    checkpoint dir.  Never a machine-local temporary folder.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -59,11 +59,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
         except Exception:  # noqa: BLE001 - no JVM handle (Spark Connect)
             base = None
     if not base:
-        base = tempfile.mkdtemp(prefix="membra-ckpt-")
-        try:
-            spark.sparkContext.setCheckpointDir(base)
-        except Exception:  # noqa: BLE001
-            pass
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_membra"
+        spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 
 

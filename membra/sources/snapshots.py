@@ -3,8 +3,9 @@
 A snapshot file is a YAML document ``{group_id: [member, ...], ...}`` whose
 file name carries the version date.  Files are read whole (one row per file,
 so a file is never split across tasks), decoded in ``mapInPandas`` - the only
-Python step - and everything after that is DataFrame code.  A file that
-fails any check is dropped *whole* and reported in a quarantine table.
+Python step - and everything after that is DataFrame code.  A version that
+fails any check in any of its part files is dropped *whole*; its bad parts are
+reported in a quarantine table.
 """
 
 from __future__ import annotations
@@ -32,8 +33,12 @@ DECODED_SCHEMA = T.StructType([
 ])
 
 
-def name_pattern_for(prefix: str) -> str:
-    return "^" + prefix + r"-\d{4}-\d{2}-\d{2}(-[a-f0-9]{7,40}).*\.ya?ml$"
+# Columns of ``member_rows`` besides the member keys; a member key of the same
+# name gets the suffix ``_member``.
+ROW_COLUMNS = ("snapshot_date", "congress", "source_file", "source_path", "thomas_id",
+               "group_pos", "member_pos")
+# The column of a member written as bare text instead of a mapping.
+BARE_TEXT_KEY = "value"
 
 
 def list_snapshots(spark: SparkSession, path: str, name_pattern: str = SNAPSHOT_NAME_PATTERN,
@@ -73,8 +78,9 @@ def decode_document(text: str | None, file_name: str):
     Returns ``(ok, reason, rows)`` where rows are
     ``(group_id, group_pos, member_pos, {key: text})``.  Checks: a date in the
     file name, valid YAML, no duplicate map keys (PyYAML would silently keep
-    the last one), a non-empty mapping at the top, members that are mappings.
-    NULL or empty groups give no rows.
+    the last one), a non-empty mapping at the top.  A member written as bare
+    text is a row with the one key ``value``.  NULL members and NULL or empty
+    groups give no rows.
     """
     import re
 
@@ -118,8 +124,10 @@ def decode_document(text: str | None, file_name: str):
         if not isinstance(members, list):
             members = [members]
         for mpos, m in enumerate(members):
+            if m is None:
+                continue
             if not isinstance(m, dict):
-                return False, f"member not a mapping: member {mpos} of group {gid!s}", []
+                m = {BARE_TEXT_KEY: m}
             rows.append((str(gid), gpos, mpos, {str(k): _scalar_text(v) for k, v in m.items()}))
     return True, None, rows
 
@@ -151,23 +159,34 @@ def quarantine(decoded: DataFrame) -> DataFrame:
     return decoded.filter(~F.col("ok")).select("source_file", "source_path", "reason")
 
 
-def member_rows(decoded: DataFrame, keys: list[str] | None = None) -> DataFrame:
-    """Good rows in the reference's column order: snapshot_date, congress,
-    source_file, source_path, member keys..., thomas_id (S4: a key missing in
-    a file is NULL there - the union by name of all files).
+def whole_versions(decoded: DataFrame) -> DataFrame:
+    """S3: rows of the versions none of whose part files is bad.  The bad
+    versions are few, so the anti-join costs no shuffle of the rows; ``decoded``
+    is read twice and should be a written or checkpointed table."""
+    bad = decoded.filter(~F.col("ok")).select(F.col("source_file").alias("__bad")).distinct()
+    return decoded.filter(F.col("ok")).join(bad, F.col("source_file") == F.col("__bad"),
+                                            "left_anti")
 
-    ``keys`` lists the member keys to project; by default the distinct keys
-    found in the data (a small set, collected once).
+
+def member_rows(decoded: DataFrame, keys: list[str] | None = None,
+                always: tuple[str, ...] = ()) -> DataFrame:
+    """Rows of whole versions in the reference's column order: snapshot_date,
+    congress, source_file, source_path, member keys..., thomas_id (S4: a key
+    missing in a file is NULL there - the union by name of all files).
+
+    ``keys`` lists the member keys to project; by default ``always`` and then
+    the other distinct keys found in the data (column names, collected once).
     """
-    good = decoded.filter(F.col("ok"))
+    good = whole_versions(decoded)
     if keys is None:
-        keys = sorted(r[0] for r in good.select(F.explode(F.map_keys("member"))).distinct()
-                      .collect())
+        found = good.select(F.explode(F.map_keys("member"))).distinct().collect()
+        keys = [*always, *sorted({r[0] for r in found} - set(always))]
     d = snapshot_date_of("source_file")
     return good.select(
         d.alias("snapshot_date"), period_of(d).alias("congress"),
         "source_file", "source_path",
-        *[F.col("member")[k].alias(k) for k in keys],
+        *[F.col("member")[k].alias(k + "_member" if k.lower() in ROW_COLUMNS else k)
+          for k in keys],
         "thomas_id", "group_pos", "member_pos")
 
 

@@ -32,12 +32,14 @@ def test_decode_document_cases():
         "": "empty or not a mapping",
         "# nothing\n": "empty or not a mapping",
         "- a\n- b\n": "empty or not a mapping",
-        "A:\n- just text\n": "member not a mapping",
         "A:\n- {name: x, name: y}\n": "duplicate key",
     }
     for text, kind in cases.items():
         ok, reason, r = snap.decode_document(text, "committee-membership-2020-12-07-abcdef1.yaml")
         assert not ok and reason.startswith(kind) and r == [], (text, reason)
+    ok, _, r = snap.decode_document("A:\n- just text\n- {name: x}\n-\n",
+                                    "committee-membership-2020-12-07-abcdef1.yaml")
+    assert ok and [m for _, _, _, m in r] == [{"value": "just text"}, {"name": "x"}]
     ok, reason, _ = snap.decode_document(GOOD, "committee-membership-latest.yaml")
     assert not ok and reason.startswith("no date")
 
@@ -70,6 +72,26 @@ def test_plain_folder_listing_and_members(spark):
                          key=repr)
 
 
+def test_one_bad_part_takes_the_whole_version(spark):
+    d = tempfile.mkdtemp(prefix="membra-parts-")
+    docs = {("committee-membership-2021-01-05-aaaaaaa.yaml", 0): GOOD,
+            ("committee-membership-2021-01-05-aaaaaaa.yaml", 1): "HSAG: [\n",
+            ("committee-membership-2021-02-05-bbbbbbb.yaml", 0):
+                "HSAG:\n- {name: Z, start_date: 2021-01-03, congress: x}\n",
+            ("committee-membership-2021-02-05-bbbbbbb.yaml", 1): "SSFI:\n- bare\n"}
+    for (name, k), text in docs.items():
+        p = os.path.join(d, f"file_name={name}", f"salt={k}")
+        os.makedirs(p)
+        _write(p, "part-0.txt", text)
+    decoded = snap.decode_snapshots(snap.list_snapshots(spark, d, partitioned=True))
+    assert rows(snap.quarantine(decoded), "source_file") == [
+        ("committee-membership-2021-01-05-aaaaaaa.yaml",)]
+    m = snap.member_rows(decoded, always=("name", "title"))
+    assert rows(m, "thomas_id", "name", "title", "start_date", "congress_member", "value") == sorted(
+        [("HSAG", "Z", None, "2021-01-03", "x", None), ("SSFI", None, None, None, None, "bare")],
+        key=repr)
+
+
 def test_stream_is_incremental(spark):
     landing = tempfile.mkdtemp(prefix="membra-land-")
     sink, ckpt = landing + "-sink", landing + "-ckpt"

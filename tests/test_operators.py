@@ -184,7 +184,14 @@ def test_automata_path_random(spark, monkeypatch):
     monkeypatch.setattr(lk, "MAX_REGEX_TERMS", 1)
     monkeypatch.setattr(lk, "MAX_AUTOMATON_BYTES", 40)
     auto = rows(lk.extract_terms(texts, "t", vocab, "term", "m").select("id", "m"))
-    assert [(i, m or []) for i, m in regex] == auto
+    assert regex == auto
+    assert dict(auto)[60] is None and dict(auto)[61] == []
+    for limit in (1, 2_000):  # NULL text: unknown, whatever the matcher
+        monkeypatch.setattr(lk, "MAX_REGEX_TERMS", limit)
+        cov = dict(rows(lk.vocabulary_coverage(texts, "t", vocab).select("id", "matched")))
+        assert cov[60] is None and cov[61] is False
+    none = vocab.limit(0)
+    assert dict(rows(lk.extract_terms(texts, "t", none, "term", "m").select("id", "m")))[60] is None
 
 
 def test_attach_by_crosswalk_na_path(spark):  # K8
@@ -197,6 +204,21 @@ def test_attach_by_crosswalk_na_path(spark):  # K8
     assert got["b1"] == ("A;B;C", "X1;X2;Y;X1;X2")
 
 
+def test_attach_by_crosswalk_texts_and_persons(spark):  # K8: Q13, Q5
+    schema = "icpsr int, congress int, bioguide string, member_groups string"
+    df = spark.createDataFrame([(1, 116, "b1", "A"), (None, 116, "b2", "A"),
+                                (None, 116, "b3", "C")], schema)
+    cw = spark.createDataFrame([("A", "X", "text 1"), ("A", "X", "text 2"), ("C", "Y", "text 1")],
+                               "t string, a string, text string")
+    args = (["icpsr", "congress"], "member_groups", ["bioguide"], cw, "t", "a")
+    pooled = {r["bioguide"]: r["oversight"] for r in lk.attach_by_crosswalk(df, *args).collect()}
+    assert pooled == {"b1": "X;X", "b2": "X;X;Y", "b3": "X;X;Y"}
+    out = lk.attach_by_crosswalk(df, *args, person="bioguide")
+    assert out.columns == ["icpsr", "congress", "bioguide", "member_groups", "oversight"]
+    assert {r["bioguide"]: r["oversight"] for r in out.collect()} == {
+        "b1": "X;X", "b2": "X;X", "b3": "Y"}
+
+
 def test_resolve_names_left_semantics(spark):  # J16
     people = spark.createDataFrame([(1, 110, "Sen. John  SMITH (politician)"),
                                     (2, 110, "Nobody Here"), (3, 111, "jane doe")],

@@ -49,7 +49,7 @@ def test_whole_workflow(spark):
     mc = rj.members_committees(hist["per_congress"], member_groups, cur, old, dictionary)
     got = {(r["bioguide"], r["congress"]): r for r in mc["members_committees"].collect()}
     assert got[("S000001", 116)]["member_groups"] == "WAYS" and got[("S000001", 116)]["icpsr"] == 101
-    assert got[("J000002", 116)]["icpsr"] == 202
+    assert got[("J000002", 116)]["icpsr"] == 202 and got[("J000002", 116)]["chamber"] == "House"
     assert got[("Y000003", 116)]["member_groups"] == "VETERANS"
     assert mc["unresolved"].count() == 1
 
@@ -66,8 +66,8 @@ def test_whole_workflow(spark):
         return r
 
     house = sheet(HOUSE_SHEET_NAMES, [
-        hrow(congress="106", commcode="142", source_code="15001", name="Bartlett, Steve",
-             partystatus="1", party="200", assigneddate="1999-01-06", seniorstatus="12",
+        hrow(congress="106.0", commcode="142", source_code="15001.0", name="Bartlett, Steve",
+             partystatus="1.0", party="200", assigneddate="1999-01-06", seniorstatus="12",
              committeename="Ways and Means") + [1],
         hrow(congress="106", commcode="142", source_code="14873", name="Hoyer, Steny",
              partystatus="2", party="100", assigneddate="1999-01-06", seniorstatus="25",
@@ -87,6 +87,7 @@ def test_whole_workflow(spark):
     legacy = rj.legacy_assignments(spark, house, senate)
     got = {r["name"]: r for r in legacy.collect()}
     assert got["Bartlett, Steve"]["icpsr"] == 15002          # id recode rule
+    assert got["Bartlett, Steve"]["congress"] == 106 and got["Bartlett, Steve"]["majority"] == 1
     assert got["Bartlett, Steve"]["chair"] == 1 and got["Bartlett, Steve"]["prestige"] == 1
     assert got["Hoyer, Steny"]["seniorstatus"] == 21        # subset patch on the recoded id
     assert got["Schiff, Adam"]["party"] == 100              # party patch; "x" -> NULL first
