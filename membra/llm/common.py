@@ -8,6 +8,8 @@ memory follows the longest text and never the size of the table.
 
 from __future__ import annotations
 
+import ctypes
+import ctypes.util
 import sys
 import types
 import uuid
@@ -139,10 +141,22 @@ def worker_cache(name: str) -> dict:
 
 
 def release_memos() -> None:
-    """Frees what token encoders keep in this worker; other operators call it."""
+    """Frees what token encoders keep in this worker; other operators call it.
+    What earlier tasks freed goes back to the system once a memo is dropped."""
     held = sys.modules.get("_membra_worker_cache")
-    for k in [k for k in (held.__dict__ if held else ()) if k.startswith(("ids:", "pieces:"))]:
+    names = [k for k in (held.__dict__ if held else ()) if k.startswith(("ids:", "pieces:"))]
+    for k in names:
         del held.__dict__[k]
+    if names:
+        return_free_memory()
+
+
+def return_free_memory() -> None:
+    """Hands unused memory of Arrow's pool and the C library back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(ctypes.util.find_library("c")), "malloc_trim", None)
+    if trim is not None:  # glibc only
+        trim(0)
 
 
 # ---------------------------------------------------------------- words and hashes

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bounded_batches, chunks, mix, quoted, release_memos, staged
+from .common import Words, bounded_batches, chunks, mix, quoted, release_memos, return_free_memory, staged
 from .components import components
 
 N_GRAM, PERCENT = 5, 80
@@ -45,7 +45,7 @@ SMALL_MAX = 14
 #: counters a task keeps, and the share of sets from which a member is hot
 COUNTERS, HOT_SHARE = 50_000, 0.01
 #: members that a task gathers before it sends them on
-GATHER = 800_000
+GATHER = 400_000
 #: rounds of single comparisons, and sets in one chunk of a list, for the rest
 ROUNDS, LIST_CHUNK = 3, 20_000
 #: sets on either side of a cell in which what is left is compared
@@ -272,6 +272,7 @@ def _count(blocks: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
 
     def run(batches):
         release_memos()
+        return_free_memory()
         raw = [p for b in batches for p in b.column(1).to_pylist()]
         if not raw:
             return
@@ -467,7 +468,7 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     that repeat an id get a row each; links of any of them count for the id.
     Extra columns are not read; an empty table gives an empty one."""
     spark = docs.sparkSession
-    parts = 3 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = 6 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"))
     table = staged(_sets(src), "sets")
     rows = table.where("n is not null")
