@@ -46,6 +46,9 @@ SMALL_MAX = 14
 COUNTERS, HOT_SHARE = 50_000, 0.01
 #: members that a task gathers before it sends them on
 GATHER = 400_000
+#: members for each partition of the large sets' exchanges, and the most such
+#: partitions as a multiple of spark.sql.shuffle.partitions (their least number)
+PART_MEMBERS, MOST_PARTS = 100_000, 6
 #: rounds of single comparisons, and sets in one chunk of a list, for the rest
 ROUNDS, LIST_CHUNK = 3, 20_000
 #: sets on either side of a cell in which what is left is compared
@@ -468,12 +471,13 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     that repeat an id get a row each; links of any of them count for the id.
     Extra columns are not read; an empty table gives an empty one."""
     spark = docs.sparkSession
-    parts = 6 * int(spark.conf.get("spark.sql.shuffle.partitions"))
     src = docs.select(quoted(id_col).cast("long").alias("doc_id"), quoted(text_col).cast("binary").alias("text"))
     table = staged(_sets(src), "sets")
     rows = table.where("n is not null")
     nodes = rows.where("n > 0 and doc_id is not null")
-    n_docs = nodes.count()
+    n_docs, n_members = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    least_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = max(least_parts, min(MOST_PARTS * least_parts, -(-n_members // PART_MEMBERS)))
     often = table.where("n is null").groupBy("set_id").agg(F.sum("doc_id").alias("k")).where(
         F.col("k") >= max(2.0, HOT_SHARE / 2 * n_docs))
     hot = np.sort(np.array([r[0] for r in often.select("set_id").collect()], dtype=np.int64).view(np.uint64))
