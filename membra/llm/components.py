@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 
 from .common import staged
 
+#: least files of a round, and the edges for each where there are more
+LEAST_FILES, FILE_EDGES = 12, 20_000
+
 
 def _mark(e: DataFrame) -> tuple:
     return tuple(e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("a", "b").cast("decimal(38,0)")), F.lit(0))).first())
@@ -27,12 +30,11 @@ def components(edges: DataFrame, a: str, b: str) -> DataFrame:
     while mark[0]:
         both = e.unionByName(e.select(F.col("b").alias("a"), F.col("a").alias("b")))
         low = both.groupBy(F.col("a").alias("u")).agg(F.min("b").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = e.join(low, e["a"] == low["u"]).select(F.col("m").alias("a"), "b").distinct()
+        large = e.join(low, e["a"] == low["u"]).select(F.col("m").alias("a"), "b")  # repeats go below
         low = large.groupBy(F.col("b").alias("u")).agg(F.min("a").alias("m"))
-        near = large.join(low, large["b"] == low["u"])
-        new = (near.select("m", F.col("a").alias("x")).unionByName(near.select("m", F.col("u").alias("x")))
-               .where("m < x").select(F.col("m").alias("a"), F.col("x").alias("b")).distinct())
-        new = staged(new, "edges")
+        near = large.join(low, large["b"] == low["u"]).select("m", F.explode(F.array("a", "u")).alias("x"))
+        new = near.where("m < x").select(F.col("m").alias("a"), F.col("x").alias("b")).distinct()
+        new = staged(new.coalesce(max(LEAST_FILES, mark[0] // FILE_EDGES)), "edges")
         before, mark = mark, _mark(new)
         e = new
         if mark == before:
