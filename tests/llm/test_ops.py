@@ -77,6 +77,28 @@ def test_near_duplicates_against_brute_force(spark):
     assert all(got[i]["n_links"] == 0 and got[i]["component_id"] == i for i in (900, 901, 902, 903, 904))
 
 
+def test_near_duplicates_in_dense_groups_against_brute_force(spark, monkeypatch):
+    """Groups larger than a window, over several blocks: no link is lost."""
+    monkeypatch.setattr(neardup, "BLOCK", 700)
+    monkeypatch.setattr(neardup, "OWN", 100, raising=False)
+    rng = np.random.default_rng(5)
+    base = rng.normal(size=(4, 64))
+    base /= np.linalg.norm(base, axis=1)[:, None]
+    x = np.concatenate([base[0] + rng.normal(size=(3000, 64)) * 0.0227] + [b + rng.normal(size=(150, 64)) * 0.015 for b in base[1:]])
+    rows = [(i, v.tolist(), 1) for i, v in enumerate(x)]
+    got = {r["vec_id"]: r for r in neardup.near_duplicates(spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")).collect()}
+    u = x / np.linalg.norm(x, axis=1)[:, None]
+    assert 0.966 < (u[:3000] @ u[:3000].T).mean() < 0.970
+    link = u @ u.T >= 0.98
+    np.fill_diagonal(link, False)
+    comp = np.arange(len(x))
+    for _ in range(50):
+        comp = np.minimum(comp, np.where(link, comp[None], len(x)).min(1))
+    assert [got[i]["n_links"] for i in range(len(x))] == link.sum(1).tolist()
+    assert [got[i]["component_id"] for i in range(len(x))] == comp.tolist()
+    assert [got[i]["kept"] for i in range(len(x))] == (comp == np.arange(len(x))).tolist()
+
+
 def test_repetition_against_brute_force(docs):
     for r in repetition.apply_rules(docs.where("doc_id is not null"), ["doc_id", "lang"]).collect():
         w = WORD.findall(TEXTS[r["doc_id"]] or "")
