@@ -9,8 +9,9 @@ on all that its predecessor kept and a lost executor repeats one stage.
     go.
 2.  quality: subword-embedding classifier, learned from the labels of its
     input's documents; predicted low quality goes.
-3.  near_duplicates: n-gram Jaccard join; of each group the document with the
-    smallest id stays.  A document without a word is a group of its own.
+3.  near_duplicates: n-gram Jaccard join of the rows, whatever their ids; of
+    each group the row with the smallest id and text hash stays.  A document
+    without a word is a group of its own.
 4.  packing: best-fit packing into sequences of 2,048 tokens; its rows are
     the pieces with their places.
 
@@ -24,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from membra.llm import jaccard, langid, packing, quality
-from membra.llm.common import fresh, staged
+from membra.llm.common import fresh, quoted, staged
 
 
 def _plain(docs: DataFrame, names: tuple[str, ...]) -> tuple[DataFrame, dict[str, str]]:
@@ -49,13 +50,18 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, the one with the smallest id (rows without
-    an id stay; of rows that repeat an id one stays)."""
-    found = jaccard.join(docs)
-    name = fresh(docs, "__id")
-    keep = found.where(F.col("doc_id") == F.col("component_id")).select(F.col("doc_id").alias(name)).distinct()
-    some = docs.where("doc_id is not null").join(keep, F.col("doc_id") == F.col(name), "left_semi").dropDuplicates(["doc_id"])
-    return some.unionByName(docs.where("doc_id is null"))
+    """One row of each group of near copies: the smallest id (null last), then
+    text hash.  Rows are numbered first, so rows that repeat an id or have
+    none are compared by their own texts."""
+    name = fresh(docs, "__row")
+    rows = staged(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    found = jaccard.join(rows, name).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
+    plain = [quoted(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]  # a map has no hash
+    order = rows.select(F.col(name).alias("row"), F.struct(
+        F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.xxhash64("text").alias("text"),
+        F.xxhash64(*plain).alias("all"), F.col(name).alias("number")).alias("place"))
+    keep = found.join(order, "row").groupBy("component").agg(F.min("place")["number"].alias(name))
+    return rows.join(keep.select(name), name, "left_semi").select(*[quoted(c) for c in docs.columns])
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -173,3 +173,17 @@ def test_pipeline_stages_on_the_small_tables(spark):
     assert 0 < len(kept) < docs.count()
     first = P.language(spark, docs, sf)
     assert first.columns == docs.columns and first.count() == docs.where("text is not null").count()
+
+
+def test_pipeline_near_duplicates_of_repeated_and_missing_ids(spark):
+    import corpus_pipeline as P
+
+    a, b, c = (" ".join(f"{w}{i}" for i in range(60)) for w in ("north", "south", "west"))
+    near = a + " and"
+    rows = [(1, a), (1, b), (2, near), (3, b), (None, c), (None, c), (None, near), (4, "so"), (4, "so"), (5, ""), (6, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    got = P.near_duplicates(spark, docs, "")
+    assert got.columns == docs.columns
+    want = [(1, a), (1, b), (None, c), (4, "so"), (5, ""), (6, None)]
+    assert sorted(map(tuple, got.collect()), key=repr) == sorted(want, key=repr)
+    assert P.near_duplicates(spark, docs.limit(0), "").count() == 0
