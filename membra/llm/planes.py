@@ -160,12 +160,14 @@ def write(docs: DataFrame, folder: str, id_col: str = "doc_id", text_col: str =
     ascending document order (one row a file, the only thing the driver sees).
 
     Null texts count as empty and hold the end id alone; rows without an id
-    come first; rows with the same id are ordered by text.  An empty table
-    gives no file.  Other columns are not read.
+    come first; rows with the same id are ordered by their text's xxhash64,
+    then by text.  An empty table gives no file.  Other columns are not read.
     """
     path = path or default_path()
     src = (docs.select(quoted(id_col).cast("long").alias("id"), quoted(text_col).cast("binary").alias("text"))
-           .repartitionByRange("id", "text").sortWithinPartitions("id", "text"))
+           .withColumn("hash", F.xxhash64("text")))
+    # ranges by two longs, so no text reaches the driver with the sample
+    src = src.repartitionByRange("id", "hash").sortWithinPartitions("id", "hash", "text").select("id", "text")
 
     def run(batches):
         sink = out = None

@@ -129,6 +129,17 @@ def test_plane_files_round_trip(spark, docs, kind):
     assert planes.read(spark, planes.write(docs.limit(0), shared_path(spark, "planes"))).count() == 0
 
 
+def test_plane_files_order_repeated_ids_by_text_hash(spark):
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(planes.default_path())
+    docs = spark.createDataFrame([(i, f"text {k} of {i}" * (k % 3 + 1)) for i in (5, 2) for k in range(40)], "doc_id long, text string").repartition(4)
+    got = [(r["doc_id"], r["ids_crc32"]) for r in planes.read(spark, planes.write(docs, shared_path(spark, "planes"))).orderBy("start").collect()]
+    want = [(r["doc_id"], zlib.crc32(np.array(tok.encode(r["text"], add_special_tokens=False).ids + [2], dtype="<u4").tobytes()))
+            for r in sorted(docs.withColumn("h", F.xxhash64(F.col("text").cast("binary"))).collect(), key=lambda r: (r["doc_id"], r["h"]))]
+    assert got == want
+
+
 def test_pieces_equal_the_library(docs):
     import sentencepiece
 
