@@ -23,10 +23,12 @@ import zlib
 from dataclasses import dataclass
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from .common import field, map_text, worker_cache
+from .common import bounded_batches, field, fresh, map_text, quoted, worker_cache
 
 MARK = "▁"
 #: segments that a worker keeps before it starts anew
@@ -168,7 +170,7 @@ class Matcher:
         order = self.suffixes(code)
         wide = np.zeros((n, self.longest), dtype=">u2")
         ended = np.zeros(n, dtype=bool)
-        for j in range(self.longest):
+        for j in range(min(self.longest, n)):  # few short segments can be shorter than a piece
             c = np.zeros(n, dtype=np.uint16)
             c[: n - j] = code[j:]
             ended |= c == 0
@@ -228,15 +230,13 @@ class Matcher:
 
 
 class Codec:
-    """``encode(texts)`` and ``decode(ids)`` with memoised segments."""
+    """``encode(texts)`` with memoised segments."""
 
     def __init__(self, table: Table, name: str):
         self.t = table
         self.cache = worker_cache("pieces:" + name)
         if "matcher" not in self.cache:
             self.cache |= {"matcher": Matcher(table), "memo": {}}
-            bytes_of = {i: bytes([b]) for b, i in enumerate(table.byte)}
-            self.cache["bytes"] = [bytes_of.get(i, s.replace(MARK, " ").encode()) for i, s in enumerate(table.text)]
         self.split = re.compile(f"{MARK}*[^{MARK}]+|{MARK}+" if not table.crosses else "(?s).+")
 
     def encode(self, texts: list) -> list[np.ndarray]:
@@ -252,10 +252,46 @@ class Codec:
         memo.update(zip(new, self.cache["matcher"].encode(new) if new else ()))
         return [np.frombuffer(b"".join([memo[x] for x in r]), dtype="<u4") for r in rows]
 
-    def decode(self, ids: np.ndarray) -> bytes:
-        pieces = self.cache["bytes"]
-        out = b"".join([pieces[i] for i in ids.tolist()])
-        return out[1:] if self.t.prefix and out[:1] == b" " else out
+
+def _piece_bytes(table: Table) -> list[bytes]:
+    bytes_of = {i: bytes([b]) for b, i in enumerate(table.byte)}
+    return [bytes_of.get(i, s.replace(MARK, " ").encode()) for i, s in enumerate(table.text)]
+
+
+def decode(rows: DataFrame, carry: list[str], ids_col: str = "ids", text_name: str = "text", path: str | None = None) -> DataFrame:
+    """``carry`` plus the text that each row's ids stand for.
+
+    No ids give an empty text; null ids, and ids with a null or a number that
+    no piece has, a null one.  Bytes that aren't UTF-8 become U+FFFD.  A
+    carried column named like the text gives way to it."""
+    table = load(path or default_path())
+    part, prefix = pa.array(_piece_bytes(table), pa.large_binary()), table.prefix
+    carry = [c for c in carry if c.lower() != text_name.lower()]
+    tmp = "__ids"
+    while tmp in {c.lower() for c in carry}:
+        tmp += "_"
+    src = rows.select(*[quoted(c).alias(c) for c in carry], quoted(ids_col).cast("array<bigint>").alias(tmp))
+
+    def texts(col) -> list:
+        flat, fine = col.flatten(), np.asarray(col.is_valid())
+        ids = np.asarray(flat.fill_null(-1), dtype=np.int64)
+        size = np.asarray(col.value_lengths().fill_null(0), dtype=np.int64)
+        wrong = (ids < 0) | (ids >= len(part))
+        fine[np.repeat(np.arange(len(col)), size)[wrong]] = False
+        found = part.take(pa.array(np.where(wrong, 0, ids)))
+        at = np.frombuffer(found.buffers()[1], np.int64)[: len(ids) + 1] if len(ids) else np.zeros(1, np.int64)
+        raw = found.buffers()[2].to_pybytes() if len(ids) else b""
+        cut = at[np.concatenate([[0], np.cumsum(size)])].tolist()
+        skip = [int(prefix and raw[i : min(i + 1, j)] == b" ") for i, j in zip(cut[:-1], cut[1:])]
+        return [raw[i + k : j].decode("utf-8", "replace") if ok else None for i, j, k, ok in zip(cut[:-1], cut[1:], skip, fine)]
+
+    def run(batches):
+        for b in batches:
+            for at in range(0, b.num_rows, 64):
+                c = b.slice(at, 64)
+                yield pa.RecordBatch.from_arrays([*c.columns[:-1], pa.array(texts(c.column(len(carry))), pa.string())], names=[*carry, text_name])
+
+    return bounded_batches(src).mapInArrow(run, T.StructType([*[src.schema[c] for c in carry], field(text_name, "string")]))
 
 
 def encode(docs: DataFrame, carry: list[str], text_col: str = "text", path: str | None = None, with_ids: bool = True) -> DataFrame:
@@ -271,13 +307,15 @@ def encode(docs: DataFrame, carry: list[str], text_col: str = "text", path: str
     def score(texts):
         codec = Codec(table, path)
         ids = codec.encode(texts)
-        crc = [zlib.crc32(i.tobytes()) for i in ids]
-        back = [zlib.crc32(codec.decode(i)) for i in ids]
-        out = [[len(i) for i in ids], crc, back]
-        return [ids, *out] if with_ids else out
-
-    fields = [field("n_pieces", "bigint"), field("ids_crc32", "bigint"), field("decoded_crc32", "bigint")]
-    return map_text(docs, text_col, carry, [field("ids", "array<int>"), *fields] if with_ids else fields, score)
+        return [ids, [len(i) for i in ids], [zlib.crc32(i.tobytes()) for i in ids]]
+
+    carry = [c for c in carry if c.lower() not in ("decoded_crc32", *(["ids"] if with_ids else []))]
+    ids = "ids" if with_ids else fresh(docs.select(*[quoted(c) for c in carry]), "__piece_ids")
+    fields = [field(ids, "array<int>"), field("n_pieces", "bigint"), field("ids_crc32", "bigint")]
+    out = map_text(docs, text_col, carry, fields, score)
+    text = fresh(out, "__decoded")
+    keep = [c for c in out.columns if with_ids or c != ids]
+    return decode(out, keep, ids, text, path).select(*[quoted(c) for c in keep], F.crc32(quoted(text).cast("binary")).alias("decoded_crc32"))
 
 
 def op6_suffix_array_pieces(spark, sf_dir) -> DataFrame:

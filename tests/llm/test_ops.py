@@ -149,6 +149,27 @@ def test_pieces_equal_the_library(docs):
         assert r["decoded_crc32"] == zlib.crc32((TEXTS[r["doc_id"]] or "").encode())
 
 
+def test_pieces_decode_stored_ids(spark, docs):
+    path = shared_path(spark, "ids")
+    odd = spark.createDataFrame([(0, "snow \u2603 \U0001f9ff \u0b95"), (1, ""), (2, None)], "doc_id long, text string")
+    for d in (docs.where("doc_id is not null").select("doc_id", "text"), odd):
+        pieces.encode(d, ["doc_id", "text"]).selectExpr("doc_id", "text as was", "ids").write.mode("overwrite").parquet(path)
+        got = pieces.decode(spark.read.parquet(path), ["doc_id", "was"]).collect()
+        assert len(got) == d.count() and all(r["text"] == (r["was"] or "") for r in got)
+    bad = spark.createDataFrame([(0, None), (1, []), (2, [5, None]), (3, [-1]), (4, [10**9])], "doc_id long, ids array<int>")
+    assert {r["doc_id"]: r["text"] for r in pieces.decode(bad, ["doc_id"]).collect()} == {0: None, 1: "", 2: None, 3: None, 4: None}
+    assert pieces.decode(bad.limit(0), ["doc_id"]).count() == 0
+
+
+def test_pieces_of_a_chunk_shorter_than_the_longest_piece():
+    import sentencepiece
+
+    sp = sentencepiece.SentencePieceProcessor(model_file=pieces.default_path())
+    matcher = pieces.Matcher(pieces.load(pieces.default_path()))
+    for text in ("a", "...", "\u2603"):
+        assert np.frombuffer(b"".join(matcher.encode([pieces.MARK + text])), "<u4").tolist() == sp.encode(text)
+
+
 def test_packing_places_every_piece(docs):
     out = packing.pack(docs).collect()
     seqs = {}
