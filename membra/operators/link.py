@@ -9,14 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.semantics import if_else3, na_text, squish
-from ..functions.text import strip_collapsed_na, trie_pattern
+from ..functions.text import pattern_of_terms, strip_collapsed_na
 from .joins import exists_flag, join_on
 
-# Vocabularies up to this many terms are matched with one
-# prefix-tree regex (the pattern travels inside the plan); larger ones with
-# Aho-Corasick automata over vocabulary chunks of at most MAX_AUTOMATON_BYTES.
-MAX_REGEX_TERMS = 2_000
-MAX_AUTOMATON_BYTES = 256 * 1024 * 1024
+# Characters of an anchor (a term takes the longest that fits into
+# it), and of the windows in which a text's anchors are listed.
+ANCHOR_LENGTHS = (1, 2, 4, 8)
+WINDOW_CHARS = 4_096
 VOCABULARY_EXCLUDED = ("0", "NA", "")
 
 
@@ -32,130 +31,65 @@ def vocabulary(df: DataFrame, set_col: str, sep: str = ";",
     return v.filter(F.col(out).isNotNull() & ~F.col(out).isin(list(excluded)))
 
 
-def _collect_terms(vocab: DataFrame, term: str) -> list[str] | None:
-    """The vocabulary as a list when it is small enough for one pattern: a
-    single job that never brings more than MAX_REGEX_TERMS + 1 terms back."""
-    got = [r[0] for r in vocab.select(term).limit(MAX_REGEX_TERMS + 1).collect()]
-    return None if len(got) > MAX_REGEX_TERMS else got
-
-
-def _longest_starts(terms: list[str]):
-    """Batch function: for each text, the longest chunk term starting at each
-    position (Aho-Corasick reports every, possibly overlapping, occurrence)."""
-    def run(batches):
-        import ahocorasick
-        import pandas as pd
-        auto = ahocorasick.Automaton()
-        for t in terms:
-            auto.add_word(t, t)
-        auto.make_automaton()
-        for pdf in batches:
-            keys, starts, found = [], [], []
-            for k, s in zip(pdf["__key"], pdf["__text"]):
-                if not s:
-                    continue
-                best: dict[int, str] = {}
-                for end, t in auto.iter(s):
-                    st = end - len(t) + 1
-                    if len(t) > len(best.get(st, "")):
-                        best[st] = t
-                for st, t in best.items():
-                    keys.append(k)
-                    starts.append(st)
-                    found.append(t)
-            yield pd.DataFrame({"__key": keys, "__start": starts, "__term": found})
-    return run
-
-
-def _greedy(pdf):
-    """Leftmost-longest, non-overlapping selection over one text's candidates."""
-    import pandas as pd
-    # several chunks may propose a term at one start: the longest comes first
-    pdf = pdf.assign(__len=pdf["__term"].str.len()).sort_values(
-        ["__start", "__len"], ascending=[True, False])
-    taken, pos, limit = [], [], 0
-    for st, t in zip(pdf["__start"], pdf["__term"]):
-        if st >= limit:
-            taken.append(t)
-            pos.append(st)
-            limit = st + len(t)
-    return pd.DataFrame({"__key": [pdf["__key"].iloc[0]] * len(taken), "__start": pos,
-                         "__term": taken})
-
-
-def _chunk_conditions(vocab: DataFrame, term: str) -> list[Column]:
-    """Split the vocabulary into leading-character groups packed into chunks
-    whose term bytes stay under MAX_AUTOMATON_BYTES (a group too big alone is
-    split on its next character, a single long term is a chunk of its own).
-    Only group sizes reach the driver; each chunk is returned as a filter."""
-    chunks: list[list[tuple[str, int]]] = []
-
-    def split(df: DataFrame, depth: int) -> None:
-        pre = F.substring(F.col(term), 1, depth)
-        sizes = (df.groupBy(pre.alias("p"))
-                 .agg(F.sum(F.length(term) + 8).alias("b"), F.count(F.lit(1)).alias("n"))
-                 .orderBy("p").collect())
-        cur, cur_b = [], 0
-        for r in sizes:
-            if r["b"] > MAX_AUTOMATON_BYTES and r["n"] > 1:
-                split(df.filter(pre == r["p"]), depth + 1)
-                continue
-            if cur and cur_b + r["b"] > MAX_AUTOMATON_BYTES:
-                chunks.append(cur)
-                cur, cur_b = [], 0
-            cur.append((r["p"], depth))
-            cur_b += r["b"]
-        if cur:
-            chunks.append(cur)
-
-    split(vocab.select(term).distinct(), 1)
-    conds = []
-    for c in chunks:
-        cond = None
-        for p, depth in c:
-            e = F.substring(F.col(term), 1, depth) == p
-            cond = e if cond is None else cond | e
-        conds.append(cond)
-    return conds
-
-
-def _extract_with_automata(texts: DataFrame, text: str, vocab: DataFrame, term: str,
-                           out: str) -> DataFrame:
-    """Exact leftmost-longest extraction for a vocabulary of any size.
-
-    The vocabulary is cut into chunks by leading characters, each under
-    MAX_AUTOMATON_BYTES.  Chunks are processed one after the other: only the
-    current chunk is held by the driver and shipped to the tasks, and its
-    candidates (the longest term per start position of each text) are written
-    to the shared checkpoint folder before the next chunk is read.  One
-    grouped pass per text over all candidates then takes, left to right, the
-    longest proposal at each free position (leftmost-longest, non-overlapping);
-    a text's candidates are bounded by its length.  Texts are keyed by a
-    SHA-256 digest plus length."""
-    from ..session import shared_dir
-
-    spark = texts.sparkSession
-    key = F.struct(F.sha2(F.col(text), 256), F.length(F.col(text)))
-    docs = texts.select(key.alias("__key"), F.col(text).alias("__text")).dropDuplicates(["__key"])
-    cand_schema = "__key struct<col1: string, col2: int>, __start int, __term string"
-    cand_dir = shared_dir(spark, "vocabulary-candidates")
-    for cond in _chunk_conditions(vocab, term):
-        chunk = [r[0] for r in vocab.filter(cond).select(term).distinct().collect()]
-        (docs.mapInPandas(_longest_starts(chunk), cand_schema)
-         .write.mode("append").parquet(cand_dir))
-        del chunk
-    cands = spark.read.schema(cand_schema).parquet(cand_dir)
-    picked = cands.groupBy("__key").applyInPandas(_greedy, cand_schema)
-    lists = picked.groupBy("__key").agg(
-        F.sort_array(F.collect_list(F.struct("__start", "__term"))).getField("__term")
-        .alias(out))
-    res = join_on(texts.withColumn("__key", key), lists, ["__key"], "left").drop("__key")
-    return res.withColumn(out, F.coalesce(F.col(out), _no_match(text)))
-
-
-def _no_match(text: str) -> Column:
-    """No term in a text: an empty array; a NULL text: NULL."""
-    return F.when(F.col(text).isNotNull(), F.array().cast("array<string>"))
+def _substrings(c: Column, n: int) -> Column:
+    """All substrings of ``n`` characters, one for each place they start at."""
+    return F.regexp_extract_all(c, F.lit(f"(?s)(?=(.{{{n}}}))."), 1)
+
+
+def _anchor_length(c: Column) -> Column:
+    e = F.lit(ANCHOR_LENGTHS[0])
+    for n in ANCHOR_LENGTHS[1:]:
+        e = F.when(F.length(c) >= n, n).otherwise(e)
+    return e
+
+
+def term_anchors(vocab: DataFrame, term: str = "term") -> DataFrame:
+    """(__term, __anchor): for each distinct term its rarest substring of anchor
+    length, counted over the vocabulary (ties: binary order)."""
+    t = vocab.select(F.col(term).alias("__term")).filter(F.length("__term") > 0).distinct()
+    subs = F.coalesce(*[F.when(_anchor_length(F.col("__term")) == n, _substrings(F.col("__term"), n))
+                        for n in ANCHOR_LENGTHS])
+    parts = t.select("__term", F.explode(F.array_distinct(subs)).alias("__a"))
+    common = parts.groupBy("__a").agg(F.count(F.lit(1)).alias("__n"))
+    return parts.join(common, "__a").groupBy("__term").agg(
+        F.min(F.struct("__n", "__a"))["__a"].alias("__anchor"))
+
+
+def _anchor_patterns(anchors: DataFrame) -> Column:
+    """For each anchor length the pattern of places where an anchor could
+    start (NULL without anchors): at every character one that anchors have
+    there.  A scalar of the plan, no larger than the alphabet."""
+    def pattern(n: int) -> Column:
+        sets = [F.collect_set(F.when(F.length("__anchor") == n, F.substring("__anchor", i + 1, 1))) for i in range(n)]
+        one_of = [F.concat(F.lit("["), F.array_join(F.transform(
+            x, lambda c: F.concat(F.lit(r"\x{"), F.hex(F.ascii(c)), F.lit("}"))), ""), F.lit("]")) for x in sets]
+        return F.when(F.size(sets[0]) > 0, F.concat(F.lit("(?s)(?=("), *one_of, F.lit(")).")))
+
+    return anchors.agg(F.array(*[pattern(n) for n in ANCHOR_LENGTHS])).scalar()
+
+
+def _with_contained_terms(texts: DataFrame, text: str, vocab: DataFrame, term: str) -> DataFrame:
+    """``texts`` plus ``__found``: the terms that a text contains anywhere, the
+    longest first; NULL when there is none.
+
+    A text that contains a term contains its anchor, so the distinct anchors
+    of a text (listed window by window) meet the terms by an equi-join; only
+    what meets is compared with the text.  Texts go by a 64-bit hash: two
+    texts that shared one would only share terms to be compared."""
+    anchors = term_anchors(vocab, term)
+    patterns = _anchor_patterns(anchors)
+    windows = F.regexp_extract_all(
+        F.col(text), F.lit(f"(?s)(?=(.{{1,{WINDOW_CHARS + max(ANCHOR_LENGTHS) - 1}}})).{{1,{WINDOW_CHARS}}}"), 1)
+    subs = F.concat(*[F.coalesce(F.regexp_extract_all(F.col("__w"), patterns[i], 1), F.array().cast("array<string>"))
+                      for i in range(len(ANCHOR_LENGTHS))])
+    key = F.when(F.col(text) != "", F.xxhash64(text))
+    places = (texts.select(key.alias("__tk"), F.explode(windows).alias("__w"))
+              .select("__tk", F.explode(F.array_distinct(subs)).alias("__anchor")))
+    longest_first = F.sort_array(F.collect_set(F.struct((-F.length("__term")).alias("l"), F.col("__term").alias("t"))))
+    met = places.join(anchors, "__anchor").groupBy("__tk").agg(longest_first.getField("t").alias("__met"))
+    out = texts.withColumn("__tk", key).join(met, "__tk", "left").drop("__tk")
+    found = F.filter("__met", lambda t: F.contains(F.col(text), t))
+    return out.withColumn("__found", F.when(F.size(found) > 0, found)).drop("__met")
 
 
 def extract_terms(texts: DataFrame, text: str, vocab: DataFrame, term: str = "term",
@@ -163,42 +97,41 @@ def extract_terms(texts: DataFrame, text: str, vocab: DataFrame, term: str = "te
     """All vocabulary terms found in ``text``, as an array column.
 
     Matching is leftmost-longest and non-overlapping (terms quoted, longest
-    first: documented change Q7).  Small vocabularies become one prefix-tree
-    regex evaluated by ``regexp_extract_all`` on the JVM; larger ones use
-    chunked Aho-Corasick automata (no size cap, see ``_extract_with_automata``).
-    Both give the same arrays: a NULL text gives NULL, an empty text or an
-    empty vocabulary an empty array.
+    first: documented change Q7).  Terms that a text doesn't contain can't
+    change its matches, so each text is matched with the alternation of the
+    terms that it contains (:func:`..functions.text.pattern_of_terms`), which an
+    anchor index finds for a vocabulary of any size; nothing of the vocabulary
+    reaches the driver.  A NULL text gives NULL, an empty text or an empty
+    vocabulary an empty array.
     """
-    terms = _collect_terms(vocab, term)
-    if terms is None:
-        return _extract_with_automata(texts, text, vocab, term, out)
-    if not terms:
-        return texts.withColumn(out, _no_match(text))
-    pattern = trie_pattern(terms)
-    return texts.withColumn(out, F.regexp_extract_all(F.col(text), F.lit(pattern), 0))
+    found = _with_contained_terms(texts, text, vocab, term).withColumn("__re", pattern_of_terms("__found"))
+    none = F.when(F.col(text).isNotNull(), F.array().cast("array<string>"))
+    return found.withColumn(out, F.when(F.col("__re").isNotNull(), F.regexp_extract_all(F.col(text), F.col("__re"), 0))
+                            .otherwise(none)).drop("__found", "__re")
 
 
 def vocabulary_crosswalk(texts: DataFrame, text: str, vocab: DataFrame, term: str = "term",
                          keep: Sequence[str] = (), out: str = "term",
-                         keep_text: bool = True) -> DataFrame:
+                         keep_text: bool = True, dedupe: bool = True) -> DataFrame:
     """K7: (term, attributes, text) for every vocabulary term in each text,
     ``unnest`` + ``distinct``; texts without a hit drop out.  With
-    ``keep_text=False`` the text itself is not carried into the ``distinct``
-    (use it when ``keep`` already identifies the text), so long texts are
-    never shuffled."""
+    ``keep_text=False`` the text itself is not carried along (use it when
+    ``keep`` already identifies the text), and where rows can't repeat in the
+    kept columns ``dedupe=False`` saves the shuffle of the ``distinct``."""
     m = extract_terms(texts, text, vocab, term, "__m")
     cols = [*keep, F.col(text)] if keep_text else list(keep)
-    # dedupe inside each text first: a short term can match thousands of
-    # times in one long text, the crosswalk needs it once
-    return m.select(*cols, F.explode(F.array_distinct("__m")).alias(out)).distinct()
+    # a short term can match thousands of times in one long text, the
+    # crosswalk needs it once
+    hits = m.select(*cols, F.explode(F.array_distinct("__m")).alias(out))
+    return hits.distinct() if dedupe else hits
 
 
 def vocabulary_coverage(texts: DataFrame, text: str, vocab: DataFrame, term: str = "term",
                         out: str = "matched") -> DataFrame:
     """K7 coverage (F9): does each text contain any vocabulary term?  NULL for
     a NULL text."""
-    m = extract_terms(texts, text, vocab, term, "__m")
-    return m.withColumn(out, F.when(F.col("__m").isNotNull(), F.size("__m") > 0)).drop("__m")
+    m = _with_contained_terms(texts, text, vocab, term)
+    return m.withColumn(out, F.when(F.col(text).isNotNull(), F.col("__found").isNotNull())).drop("__found")
 
 
 def attach_by_crosswalk(df: DataFrame, keys: Sequence[str], set_col: str, order: Sequence[str],
@@ -257,36 +190,41 @@ def normalize_alias(c) -> Column:
     return squish(F.regexp_replace(F.lower(_c(c)), r"[^\p{L}\p{N}]+", " "))
 
 
-def _ngrams(norm: Column, n: int) -> Column:
-    """All token n-grams of a normalised (single-spaced) text, in order: a
-    zero-width lookahead at every token start captures the next n tokens."""
-    pattern = r"(?<!\S)(?=(\S+" + r"(?: \S+)" * (n - 1) + "))"
-    return F.regexp_extract_all(norm, F.lit(pattern), 1)
+def _tokens(norm: Column) -> Column:
+    return F.array_distinct(F.array_remove(F.split(norm, " "), ""))
 
 
-def resolve_names(df: DataFrame, row_keys: Sequence[str], text: str, period: str,
-                  dictionary: DataFrame, alias: str = "alias", dict_period: str = "period",
-                  dict_cols: Sequence[str] = ("id",)) -> DataFrame:
+def resolve_names(df: DataFrame, text: str, period: str, dictionary: DataFrame, alias: str = "alias",
+                  dict_period: str = "period", dict_cols: Sequence[str] = ("id",)) -> DataFrame:
     """Free text -> ids through a dated alias dictionary (J16 re-aimed).
 
-    The text is normalised and cut into token n-grams (n up to the longest
-    alias); n-grams meet the dictionary by an equi-join on (alias, period)
-    (a NULL dictionary period means any period).  Rows keep NULL ids when
-    nothing matches and repeat when several ids match, like a left join.
-    Works for any dictionary size: no broadcast, no regex.
+    Texts and aliases are normalised to tokens; an alias matches where its
+    tokens follow one another in a text whose period it is valid in (a NULL
+    dictionary period means any).  An alias is indexed by its rarest token, so
+    a text's distinct tokens meet few aliases; those are then compared with
+    the whole text.  Rows keep NULL ids when nothing matches and repeat when
+    several ids match, like a left join.  Works for any dictionary size and
+    alias length: no broadcast hint, no regex, nothing counted while planning.
     """
-    d = dictionary.select(normalize_alias(alias).alias("__alias"),
-                          F.col(dict_period).alias("__dp"), *dict_cols)
-    max_n = d.select(F.max(F.size(F.split("__alias", " ")))).first()[0] or 1
-    norm = normalize_alias(text)
-    grams = F.flatten(F.array(*[_ngrams(norm, n) for n in range(1, max_n + 1)]))
-    # a phrase repeated in one text meets the dictionary once
-    g = df.select(*row_keys, F.col(period).alias("__p"),
-                  F.explode(F.array_distinct(grams)).alias("__g"))
-    hits = g.join(d, (F.col("__g") == F.col("__alias"))
-                  & (F.col("__dp").isNull() | (F.col("__dp") == F.col("__p"))))
-    matched = hits.select(*row_keys, *dict_cols).distinct()
-    return join_on(df, matched, list(row_keys), "left")
+    d = dictionary.select(normalize_alias(alias).alias("__alias"), F.col(dict_period).alias("__dp"),
+                          F.struct(*dict_cols).alias("__ids")).filter(F.col("__alias") != "")
+    parts = d.select("__alias").distinct().select("__alias", F.explode(_tokens(F.col("__alias"))).alias("__t"))
+    common = parts.groupBy("__t").agg(F.count(F.lit(1)).alias("__n"))
+    rarest = parts.join(common, "__t").groupBy("__alias").agg(F.min(F.struct("__n", "__t"))["__t"].alias("__t"))
+    index = d.join(rarest, "__alias")
+    # texts go by a 64-bit hash; what is met is compared with the text itself
+    rows = df.withColumn("__norm", normalize_alias(text)).withColumn(
+        "__tk", F.when(F.col("__norm") != "", F.xxhash64("__norm")))
+    tokens = rows.select("__tk", F.col(period).alias("__p"), F.explode(_tokens(F.col("__norm"))).alias("__t"))
+    met = (tokens.join(index, "__t").filter(F.col("__dp").isNull() | (F.col("__dp") == F.col("__p")))
+           .groupBy("__tk", "__p").agg(F.collect_set(F.struct("__alias", "__ids")).alias("__met")))
+    rows = rows.withColumn("__p", F.col(period))
+    rows = join_on(rows, met, ["__tk", "__p"], "left")
+    pad = lambda c: F.concat(F.lit(" "), c, F.lit(" "))
+    inside = F.filter("__met", lambda m: F.contains(pad(F.col("__norm")), pad(m["__alias"])))
+    ids = F.array_distinct(F.transform(inside, lambda m: m["__ids"]))
+    return rows.select(*[F.col(f"`{c}`") for c in df.columns], F.explode_outer(ids).alias("__id")).select(
+        *[F.col(f"`{c}`") for c in df.columns], *[F.col("__id")[c].alias(c) for c in dict_cols])
 
 
 def fill_missing_ids(df: DataFrame, id_col: str, resolved: DataFrame, keys: Sequence[str],

@@ -16,18 +16,10 @@ from pyspark.sql import functions as F
 from ..functions.semantics import assign_where, if_else3
 from .joins import join_on
 
-# Fixed value: rule tables up to this many rows are broadcast (checked by a
-# count of the rule table); larger ones are shuffle-joined.
-MAX_BROADCAST_RULES = 200_000
-
 RULE_SCHEMA = ("rule_id int, ord int, src_code bigint, name string, period int, "
                "status int, target string, value string, active boolean")
 
 
-def _bounded_broadcast(df: DataFrame, limit: int = MAX_BROADCAST_RULES) -> DataFrame:
-    return F.broadcast(df) if df.count() <= limit else df
-
-
 def recode(df: DataFrame, rules: DataFrame, key_cols: dict[str, str],
            targets: dict[str, str], optional_cols: dict[str, str] | None = None) -> DataFrame:
     """Keyed recode from a rule table.
@@ -39,31 +31,34 @@ def recode(df: DataFrame, rules: DataFrame, key_cols: dict[str, str],
     hit one row and target, the highest ``ord`` wins (R's last assignment).
     A NULL data key never matches (R leaves the value unchanged, N7).
 
-    Plan: the distinct key tuples of the data meet the (broadcast, bounded)
-    rule table; the winners per tuple are joined back to the rows.
+    Plan: the rules of a key become one row with an array; one lookup join
+    brings it to the data's rows, and an expression picks each target's
+    winner.  The data is neither deduplicated nor joined back, and the
+    optimizer broadcasts the rules when their measured size allows.
     """
     optional_cols = optional_cols or {}
-    data_keys = list(key_cols.values()) + list(optional_cols.values())
     r = rules.filter(F.coalesce(F.col("active"), F.lit(True)))
-    r = _bounded_broadcast(r.select(*key_cols, *optional_cols, "ord", "target", "value"))
-    dk = df.select(*data_keys).distinct()
+    per_key = r.groupBy(*[F.col(c).alias(f"__k_{c}") for c in key_cols]).agg(
+        F.collect_list(F.struct("ord", "value", "target", *optional_cols)).alias("__rules"))
     cond = None
     for rc, dc in key_cols.items():
-        e = dk[dc] == r[rc]
+        e = df[dc] == per_key[f"__k_{rc}"]
         cond = e if cond is None else cond & e
-    for rc, dc in optional_cols.items():
-        cond = cond & (r[rc].isNull() | (dk[dc] == r[rc]))
-    hits = dk.join(r, cond, "inner")
-    winners = hits.groupBy(*[dk[c] for c in data_keys]).agg(*[
-        F.max(F.when(F.col("target") == t, F.struct("ord", "value"))).alias(f"__w_{t}")
-        for t in targets])
-    out = join_on(df, winners, data_keys, "left")
+    out = df.join(per_key, cond, "left")
     types = dict(df.dtypes)
-    for t, dcol in targets.items():
-        new = F.col(f"__w_{t}.value").cast(types[dcol])
-        out = out.withColumn(dcol, F.when(F.col(f"__w_{t}").isNotNull(), new)
-                             .otherwise(F.col(dcol)))
-    return out.drop(*[f"__w_{t}" for t in targets])
+
+    def winner(target: str) -> Column:
+        def holds(x: Column) -> Column:
+            c = x["target"] == target
+            for rc, dc in optional_cols.items():
+                c = c & (x[rc].isNull() | (F.col(dc) == x[rc]))
+            return c
+        return F.array_max(F.transform(F.filter("__rules", holds), lambda x: F.struct(x["ord"].alias("ord"), x["value"].alias("value"))))
+
+    out = out.withColumns({f"__w_{t}": winner(t) for t in targets})
+    out = out.withColumns({dcol: F.when(F.col(f"__w_{t}").isNotNull(), F.col(f"__w_{t}.value").cast(types[dcol]))
+                           .otherwise(F.col(dcol)) for t, dcol in targets.items()})
+    return out.select(*[F.col(f"`{c}`") for c in df.columns])
 
 
 @dataclass

@@ -493,7 +493,7 @@ def vocabulary_crosswalk(spark: SparkSession, sf: str) -> DataFrame:
     """Every part-name word found in each (upper-cased) document."""
     d = table(spark, sf, "documents").select("doc_id", "source", F.upper("text").alias("text"))
     return lk.vocabulary_crosswalk(d, "text", _part_vocabulary(spark, sf), "term",
-                                   keep=["doc_id", "source"], keep_text=False)
+                                   keep=["doc_id", "source"], keep_text=False, dedupe=False)
 
 
 def vocabulary_coverage(spark: SparkSession, sf: str) -> DataFrame:
@@ -649,7 +649,7 @@ def name_resolution(spark: SparkSession, sf: str) -> DataFrame:
                     F.when(F.col("o_orderpriority") == "2-HIGH", short_form).otherwise(long_form),
                     F.lit(" ("), F.col("o_orderpriority"), F.lit(")"))
     t = o.select("o_orderkey", period_of("o_orderdate").alias("congress"), text.alias("text"))
-    return lk.resolve_names(t, ["o_orderkey"], "text", "congress", _alias_dictionary(spark, sf),
+    return lk.resolve_names(t, "text", "congress", _alias_dictionary(spark, sf),
                             "alias", "period", ["id"])
 
 
@@ -683,7 +683,7 @@ def _people_patched(spark: SparkSession, sf: str) -> DataFrame:
 def _resolved_missing(spark: SparkSession, sf: str) -> DataFrame:
     p = _people_patched(spark, sf).filter(F.col("icpsr_id").isNull())
     p = p.withColumn("lookup", paste("full_name", "wikipedia_id"))
-    return lk.resolve_names(p, ["bioguide", "congress"], "lookup", "congress",
+    return lk.resolve_names(p, "lookup", "congress",
                             _alias_dictionary(spark, sf), "alias", "period", ["id"])
 
 

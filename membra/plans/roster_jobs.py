@@ -93,7 +93,7 @@ def members_committees(per_congress: DataFrame, member_groups: DataFrame,
                                             F.col("icpsr_id")))
     missing = mc.filter(F.col("icpsr_id").isNull()).withColumn(
         "lookup", paste("full_name", "wikipedia_id"))
-    resolved = lk.resolve_names(missing, ["bioguide", "congress"], "lookup", "congress",
+    resolved = lk.resolve_names(missing, "lookup", "congress",
                                 dictionary, "alias", "period", ["icpsr", "chamber"])
     fix = resolved.filter(F.col("icpsr").isNotNull()).select("icpsr", "bioguide", "congress",
                                                              "chamber")

@@ -2,6 +2,7 @@
 
 import datetime as dt
 
+import pytest
 from pyspark.sql import functions as F
 
 from conftest import rows
@@ -156,42 +157,54 @@ def test_reconcile_paths_agree(spark):  # K5
     assert got[None]["groups_b"] == "RULES" and got[None]["positions"] == ""
 
 
-def test_vocabulary_regex_and_automaton_agree(spark, monkeypatch):  # K7
+def leftmost_longest(text, terms):
+    """All matches by trying every length at every place."""
+    if text is None:
+        return None
+    longest, out, i = max(map(len, terms), default=0), [], 0
+    while i < len(text):
+        hit = next((text[i:i + n] for n in range(longest, 0, -1) if text[i:i + n] in terms), None)
+        if hit:
+            out.append(hit)
+        i += len(hit) if hit else 1
+    return out
+
+
+def test_extract_terms_takes_the_longest(spark):  # K7
     texts = spark.createDataFrame([(1, "THE REDWOOD RING IS RED"), (2, "NOTHING"),
                                    (3, "GEARBOX ON A RED GEAR")], "id int, t string")
     vocab = spark.createDataFrame([("RED",), ("REDWOOD",), ("GEAR",), ("RING",)], "term string")
-    regex = rows(lk.extract_terms(texts, "t", vocab, "term", "m").select("id", "m"))
-    monkeypatch.setattr(lk, "MAX_REGEX_TERMS", 1)
-    auto = rows(lk.extract_terms(texts, "t", vocab, "term", "m").select("id", "m"))
-    assert regex == auto
-    assert dict(regex)[1] == ["REDWOOD", "RING", "RED"]
-    # chunks far smaller than the vocabulary: still the same matches
-    monkeypatch.setattr(lk, "MAX_AUTOMATON_BYTES", 12)
-    chunked = rows(lk.extract_terms(texts, "t", vocab, "term", "m").select("id", "m"))
-    assert chunked == regex
-
-
-def test_automata_path_random(spark, monkeypatch):
+    got = dict(rows(lk.extract_terms(texts, "t", vocab, "term", "m").select("id", "m")))
+    assert got == {1: ["REDWOOD", "RING", "RED"], 2: [], 3: ["GEAR", "RED", "GEAR"]}
+
+
+@pytest.mark.parametrize("size", [0, 10, 50_000])
+def test_extract_terms_at_any_vocabulary_size(spark, monkeypatch, size):  # J15, X12, X20
+    """The same arrays as brute force with 10 and with 50,000 terms, over
+    texts of many windows, with quotes, astral letters and shared prefixes."""
     import random
     rnd = random.Random(3)
-    words = sorted({"".join(rnd.choice("ABCD") for _ in range(rnd.randint(1, 4)))
-                    for _ in range(30)})
-    texts = spark.createDataFrame(
-        [(i, "".join(rnd.choice("ABCD ") for _ in range(rnd.randint(0, 50)))) for i in range(60)]
-        + [(60, None), (61, "")], "id int, t string")
-    vocab = spark.createDataFrame([(w,) for w in words], "term string")
-    regex = rows(lk.extract_terms(texts, "t", vocab, "term", "m").select("id", "m"))
-    monkeypatch.setattr(lk, "MAX_REGEX_TERMS", 1)
-    monkeypatch.setattr(lk, "MAX_AUTOMATON_BYTES", 40)
-    auto = rows(lk.extract_terms(texts, "t", vocab, "term", "m").select("id", "m"))
-    assert regex == auto
-    assert dict(auto)[60] is None and dict(auto)[61] == []
-    for limit in (1, 2_000):  # NULL text: unknown, whatever the matcher
-        monkeypatch.setattr(lk, "MAX_REGEX_TERMS", limit)
-        cov = dict(rows(lk.vocabulary_coverage(texts, "t", vocab).select("id", "matched")))
-        assert cov[60] is None and cov[61] is False
-    none = vocab.limit(0)
-    assert dict(rows(lk.extract_terms(texts, "t", none, "term", "m").select("id", "m")))[60] is None
+    monkeypatch.setattr(lk, "WINDOW_CHARS", 40)
+    letters = "ABCD .|\\E\n😀"
+    terms = {"".join(rnd.choice(letters) for _ in range(rnd.randint(1, 4))) for _ in range(size // 2)}
+    k = 0
+    while len(terms) < size:
+        terms.add(f"COMMITTEE ON {k}")
+        k += 1
+    texts = [(i, "".join(rnd.choice(letters) for _ in range(rnd.randint(0, 200)))) for i in range(60)]
+    texts += [(100, None), (101, ""), (102, texts[3][1]), (103, " ".join(f"COMMITTEE ON {i}" for i in range(0, 30_000, 999)) * 3)]
+    df = spark.createDataFrame(texts, "id int, t string")
+    vocab = spark.createDataFrame([(w,) for w in terms] + [(None,), ("",)], "term string")
+    got = dict(rows(lk.extract_terms(df, "t", vocab, "term", "m").select("id", "m")))
+    assert got == {i: leftmost_longest(t, terms) for i, t in texts}
+    cov = dict(rows(lk.vocabulary_coverage(df, "t", vocab).select("id", "matched")))
+    assert cov == {i: None if t is None else bool(leftmost_longest(t, terms)) for i, t in texts}
+
+
+def test_anchor_is_the_rarest_part_of_a_term(spark):
+    vocab = spark.createDataFrame([("COMMITTEE ON A",), ("COMMITTEE ON B",), ("AB",)], "term string")
+    got = dict(rows(lk.term_anchors(vocab)))
+    assert got["AB"] == "AB" and got["COMMITTEE ON A"] == "TEE ON A" and got["COMMITTEE ON B"] == "TEE ON B"
 
 
 def test_attach_by_crosswalk_na_path(spark):  # K8
@@ -225,10 +238,29 @@ def test_resolve_names_left_semantics(spark):  # J16
                                    "k int, p int, txt string")
     d = spark.createDataFrame([("John Smith", None, 10), ("John Smith", None, 11),
                                ("Jane Doe", 110, 20)], "alias string, period int, id int")
-    got = rows(lk.resolve_names(people, ["k"], "txt", "p", d), "k", "id")
+    got = rows(lk.resolve_names(people, "txt", "p", d), "k", "id")
     assert got == sorted([(1, 10), (1, 11), (2, None), (3, None)], key=repr)
 
 
+def test_resolve_names_against_brute_force(spark):  # J16: long aliases, repeats, odd rows
+    import random
+    rnd = random.Random(5)
+    word = lambda: rnd.choice("ann bob cid dee eve fay".split())
+    aliases = [(" ".join(word() for _ in range(rnd.randint(1, 6))), rnd.choice([None, 1, 2]), i) for i in range(60)]
+    aliases += [("", None, 900), (None, None, 901), ("...", None, 902)]
+    texts = [(i, rnd.choice([1, 2, 3, None]), ", ".join(word() for _ in range(rnd.randint(0, 30)))) for i in range(120)]
+    texts += [(500, 1, None), (501, 1, ""), (502, None, "ANN bob")]
+    d = spark.createDataFrame(aliases, "alias string, period int, id int")
+    got = rows(lk.resolve_names(spark.createDataFrame(texts, "k int, p int, txt string"), "txt", "p", d), "k", "id")
+    want = []
+    for k, p, t in texts:
+        w = (t or "").lower().replace(",", "").split()
+        ids = {i for a, q, i in aliases if a and a != "..." and (q is None or q == p)
+               and any(w[j:j + len(a.split())] == a.split() for j in range(len(w)))}
+        want += [(k, i) for i in ids] or [(k, None)]
+    assert got == sorted(want, key=repr)
+
+
 def test_agency_crosswalk(spark):  # K16
     agencies = spark.createDataFrame([("EPA",), ("DOE",), ("NASA",)], "Agency string")
     cw = spark.createDataFrame([(None, "EPA", "E1"), ("DOE", "X", "D1"), ("ZZZ", None, "Z1"),

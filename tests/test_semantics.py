@@ -135,18 +135,11 @@ def test_strip_collapsed_na(spark):  # K8 cleanup
     assert got == ["A;B;NA;C", ""]
 
 
-def test_trie_pattern_matches_alternation(spark):
-    import random
-    rnd = random.Random(7)
-    alphabet = "ABR .E\\|("
-    terms = sorted({"".join(rnd.choice(alphabet) for _ in range(rnd.randint(1, 4)))
-                    for _ in range(40)} - {""})
-    texts = ["".join(rnd.choice(alphabet) for _ in range(rnd.randint(0, 60))) for _ in range(200)]
-    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
-    alt = df.select("i", F.regexp_extract_all("t", F.lit(X.vocabulary_pattern(terms)), 0)
-                    .alias("m"))
-    trie = df.select("i", F.regexp_extract_all("t", F.lit(X.trie_pattern(terms)), 0).alias("m"))
-    assert rows(alt) == rows(trie)
+def test_pattern_of_a_rows_terms(spark):  # X20
+    terms = ["A|B", "x\\Ey", "(A"]
+    df = spark.createDataFrame([(terms,), (None,)], "t array<string>")
+    got = [r[0] for r in df.select(X.pattern_of_terms("t")).collect()]
+    assert got == [X.vocabulary_pattern(terms, longest_first=False), None]
 
 
 def test_non_strict_variants(spark):  # Q4, Q14
