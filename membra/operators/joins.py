@@ -75,3 +75,34 @@ def literal_table(spark, rows: list[tuple], schema: str) -> DataFrame:
     if len(rows) > MAX_LITERAL_BROADCAST_ROWS:
         raise ValueError(f"literal table has {len(rows)} rows; write it as a dataset instead")
     return F.broadcast(spark.createDataFrame(rows, schema))
+
+
+def join_split_nulls(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "full",
+                     spread: str = "right", parts: int | None = None) -> DataFrame:
+    """:func:`join_on` with NULL = NULL where the rows whose first key is NULL
+    (R pools them, N4) don't all meet in one task.
+
+    Such rows of the ``spread`` side are dealt over ``parts`` (default
+    ``spark.sql.shuffle.partitions``) by a hash of their columns; those of the
+    other side are copied to each part, but only where the spread side has
+    their key at all.  Rows that match nothing come once.  Rows with a key are
+    joined as usual.  ``how`` is "full", or "left" with the left side spread.
+    """
+    if how not in ("full", "left") or (how == "left" and spread != "left"):
+        raise ValueError("full joins, or left joins that spread the left side")
+    n = parts or int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    no_key = F.col(f"`{keys[0]}`").isNull()
+    dealt, copied = (left, right) if spread == "left" else (right, left)
+    plain = [F.col(f"`{f.name}`") for f in dealt.schema if "map<" not in f.dataType.simpleString()]
+    met = dealt.filter(no_key).select(*keys).distinct().withColumn("__met", F.lit(True))
+    copied = join_on(copied.filter(no_key), met, keys, "left").unionByName(
+        copied.filter(~no_key).withColumn("__met", F.lit(None).cast("boolean")))
+    salts = F.when(F.col("__met"), F.sequence(F.lit(0), F.lit(n - 1))).otherwise(F.array(F.lit(0)))
+    copied = copied.withColumn("__salt", F.explode(salts))
+    dealt = dealt.withColumn("__salt", F.when(no_key, F.pmod(F.xxhash64(*plain), F.lit(n)).cast("int")).otherwise(0))
+    dealt = dealt.withColumn("__dealt", F.lit(True))
+    a, b = (dealt, copied) if spread == "left" else (copied, dealt)
+    out = join_on(a, b, [*keys, "__salt"], how)
+    # a copy that met nothing in its part has met something in another
+    out = out.filter(F.col("__dealt") | ~no_key | F.col("__met").isNull()) if how == "full" else out
+    return out.drop("__salt", "__dealt", "__met")

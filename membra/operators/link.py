@@ -134,49 +134,98 @@ def vocabulary_coverage(texts: DataFrame, text: str, vocab: DataFrame, term: str
     return m.withColumn(out, F.when(F.col(text).isNotNull(), F.col("__found").isNotNull())).drop("__found")
 
 
-def attach_by_crosswalk(df: DataFrame, keys: Sequence[str], set_col: str, order: Sequence[str],
-                        crosswalk: DataFrame, cw_term: str, cw_attr: str,
-                        out_attr: str = "oversight", sep: str = ";|\\|",
-                        dedupe: bool = True, person: str | None = None) -> DataFrame:
-    """K8: split a set column, attach crosswalk attributes per term, and
-    re-collapse per group ``keys``: the group's unique terms and all attached
-    attributes (NULL printed as NA, duplicates kept), each with edge NAs and
-    the first inner ``;NA;`` removed.  Term order is (row ``order``, position
-    in the set); attributes of one term follow in binary order.  An attribute
-    comes as often as the crosswalk holds it for the term (once a text).
-
-    By default all rows without an id (the first key) are one group a period,
-    as in the reference; its list is copied to each of them, so the output
-    grows with the square of that group.  With ``person`` given, such rows
-    group by that column instead.
-    """
-    shown = df.columns
-    keys = list(keys)
-    if person is not None:
-        df = df.withColumn("__person", F.when(F.col(keys[0]).isNull(), F.col(person)))
-        keys.append("__person")
-    rowo = F.struct(*[F.col(c) for c in order])
-    terms = df.select(*keys, rowo.alias("__r"),
-                      F.posexplode_outer(F.array_distinct(F.split(F.col(set_col), sep, -1)))
-                      .alias("__p", "__t"))
+def _grouped_by(df: DataFrame, keys: Sequence[str], person: str | None) -> tuple[DataFrame, list[str]]:
+    """``df`` and its group keys; with ``person`` rows without an id (the first
+    key) are grouped by that column."""
+    if person is None:
+        return df, list(keys)
+    return df.withColumn("__person", F.when(F.col(keys[0]).isNull(), F.col(person))), [*keys, "__person"]
+
+
+def _set_terms(df: DataFrame, keys: Sequence[str], set_col: str, order: Sequence[str], sep: str) -> DataFrame:
+    """``keys``, ``__t`` (a term of the set, NULL for a NULL set) and its place ``__o``."""
+    at = F.struct(*[F.col(c) for c in order])
+    terms = df.select(*keys, at.alias("__r"), F.posexplode_outer(F.array_distinct(F.split(F.col(set_col), sep, -1))).alias("__p", "__t"))
+    return terms.select(*keys, "__t", F.struct(F.col("__r").alias("r"), F.col("__p").alias("p")).alias("__o"))
+
+
+def group_terms(df: DataFrame, keys: Sequence[str], set_col: str, order: Sequence[str],
+                sep: str = ";|\\|", person: str | None = None) -> DataFrame:
+    """K8's set alone: ``set_col`` becomes the unique terms of all rows of its
+    group, by first appearance, with edge NAs and the first inner ``;NA;``
+    removed.  Terms are reduced to their first place map-side."""
+    rows, by = _grouped_by(df, keys, person)
+    first = _set_terms(rows, by, set_col, order, sep).groupBy(*by, "__t").agg(F.min("__o").alias("__o"))
+    listed = F.sort_array(F.collect_list(F.struct("__o", "__t"))).getField("__t")
+    per = first.groupBy(*by).agg(F.when(F.max(F.col("__t").isNull()), F.lit(None).cast("string"))
+                                 .otherwise(strip_collapsed_na(F.array_join(listed, ";"))).alias("__set"))
+    return join_on(rows, per, by, "left").withColumn(set_col, F.col("__set")).select(*df.columns)
+
+
+def crosswalk_members(df: DataFrame, keys: Sequence[str], set_col: str, order: Sequence[str],
+                      crosswalk: DataFrame, cw_term: str, cw_attr: str, term: str = "term",
+                      attr: str = "attribute", sep: str = ";|\\|", person: str | None = None) -> DataFrame:
+    """K8 in long form: per group its distinct (term, attribute) pairs, the
+    number of times each is attached (``n``) and its first place (``first``:
+    the row's ``order``, then the position in the set).
+
+    Nothing is collected: a group of any size, such as all rows without an id
+    in a period, is as many rows as it has pairs, combined map-side.
+    :func:`crosswalk_lists` renders the lists where they are wanted."""
+    rows, by = _grouped_by(df, keys, person)
+    cw = crosswalk.select(F.col(cw_term).alias("__t2"), F.col(cw_attr).alias("__a")).groupBy("__t2", "__a").agg(
+        F.count(F.lit(1)).alias("__k"))
+    terms = _set_terms(rows, by, set_col, order, sep).groupBy(*by, "__t").agg(
+        F.count(F.lit(1)).alias("__m"), F.min("__o").alias("__o"))
+    hits = terms.join(cw, F.col("__t") == F.col("__t2"), "left")
+    return hits.select(*by, F.col("__t").alias(term), F.col("__a").alias(attr),
+                       (F.col("__m") * F.coalesce("__k", F.lit(1))).alias("n"),
+                       F.struct(*[F.col("__o.r")[c].alias(c) for c in order], (F.col("__o.p") + 1).alias("position")).alias("first"))
+
+
+def crosswalk_lists(df: DataFrame, keys: Sequence[str], set_col: str, order: Sequence[str],
+                    crosswalk: DataFrame, cw_term: str, cw_attr: str, out_attr: str = "oversight",
+                    sep: str = ";|\\|", person: str | None = None) -> DataFrame:
+    """K8's lists, one row a group: ``keys`` (and ``__person``), ``set_col`` (the
+    group's unique terms) and ``out_attr`` (all attached attributes, NULL
+    printed as NA, duplicates kept), each with edge NAs and the first inner
+    ``;NA;`` removed.  Term order is (row ``order``, position in the set);
+    attributes of one term follow in binary order.  An attribute comes as often
+    as the crosswalk holds it for the term (once a text)."""
+    rows, by = _grouped_by(df, keys, person)
+    terms = _set_terms(rows, by, set_col, order, sep)
     cw = crosswalk.select(F.col(cw_term).alias("__t2"), F.col(cw_attr).alias("__a"))
     hits = terms.join(cw, F.col("__t").eqNullSafe(F.col("__t2")), "left")
-    ordk = F.struct(F.col("__r").alias("r"), F.col("__p").alias("p"))
     # One sorted list per group: array_distinct of its terms keeps each
     # term's first appearance; its attributes are already in order.
-    lst = F.sort_array(F.collect_list(F.struct(ordk.alias("o"), F.col("__t").alias("t"),
+    lst = F.sort_array(F.collect_list(F.struct(F.col("__o").alias("o"), F.col("__t").alias("t"),
                                                na_text(F.col("__a")).alias("a"))))
-    per = hits.groupBy(*keys).agg(lst.alias("__l"),
-                                  F.max(F.col("__t").isNull().cast("int")).alias("__anynull"))
-    per = per.select(
-        *keys,
+    per = hits.groupBy(*by).agg(lst.alias("__l"), F.max(F.col("__t").isNull().cast("int")).alias("__anynull"))
+    return per.select(
+        *by,
         F.when(F.col("__anynull") == 1, F.lit(None).cast("string"))
-         .otherwise(strip_collapsed_na(F.array_join(F.array_distinct(F.col("__l").getField("t")),
-                                                    ";")))
-         .alias("__set"),
+         .otherwise(strip_collapsed_na(F.array_join(F.array_distinct(F.col("__l").getField("t")), ";")))
+         .alias(set_col),
         strip_collapsed_na(F.array_join(F.col("__l").getField("a"), ";")).alias(out_attr))
-    res = join_on(df, per, keys, "left")
-    res = res.withColumn(set_col, F.col("__set")).select(*shown, out_attr)
+
+
+def attach_by_crosswalk(df: DataFrame, keys: Sequence[str], set_col: str, order: Sequence[str],
+                        crosswalk: DataFrame, cw_term: str, cw_attr: str,
+                        out_attr: str = "oversight", sep: str = ";|\\|",
+                        dedupe: bool = True, person: str | None = None) -> DataFrame:
+    """K8 on rows: the lists of :func:`crosswalk_lists` attached to every row of
+    their group.
+
+    By default all rows without an id (the first key) are one group a period,
+    as in the reference; its list is copied to each of them, so this output
+    grows with the square of that group.  :func:`crosswalk_lists` keeps one row
+    a group and :func:`crosswalk_members` one a pair; with ``person`` given,
+    rows without an id group by that column instead.
+    """
+    rows, by = _grouped_by(df, keys, person)
+    per = crosswalk_lists(df, keys, set_col, order, crosswalk, cw_term, cw_attr, out_attr, sep, person)
+    res = join_on(rows, per.withColumnRenamed(set_col, "__set"), by, "left")
+    res = res.withColumn(set_col, F.col("__set")).select(*df.columns, out_attr)
     # ``distinct`` as in the reference; ``dedupe=False`` when the rows of a
     # group differ in a column other than ``set_col`` by construction
     return res.distinct() if dedupe else res

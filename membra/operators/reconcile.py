@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions.semantics import if_else3, replace_first, squish
 from ..functions.text import clean_roles
-from .joins import join_on
+from .joins import join_split_nulls
 from .sets import add_count, agg_normalized, agg_paste, group_sets
 
 # ---------------------------------------------------------------------------
@@ -55,10 +55,10 @@ def reconcile_rows(rows: DataFrame, source: str, a_value, b_value, member: str,
                    person_out: str = "bioguide") -> DataFrame:
     """K5 when both sources live in one row set (told apart by ``source``).
 
-    Same result as ``reconcile(legacy_side(A), roster_side(B))``, but the rows
-    are scanned and aggregated once: one ``group_sets`` pass keyed by
-    (source, member, period, sub-unit or person) feeds both sides, so the
-    shuffle is shared and the input is read a single time.
+    Same result as ``reconcile(legacy_side(A), roster_side(B))``: one
+    ``group_sets`` keyed by (source, member, period, sub-unit or person) states
+    both sides, and Catalyst pushes each side's filter below it, so the input
+    is read once a side and once more for the keys of B's rows without an id.
     """
     src = F.col(source)
     is_a = src == F.lit(a_value)
@@ -87,9 +87,10 @@ def reconcile(a_clean: DataFrame, b_clean: DataFrame, keys: Sequence[str]) -> Da
     """Full join of both sides on the join grain, NULL keys matching.
 
     Both inputs must already be at (or below) the key grain - that is the
-    operator's contract, it is what keeps the join from fanning out.
+    operator's contract, it is what keeps the join from fanning out.  The rows
+    of B without an id, all persons of a period, are spread over tasks.
     """
-    return join_on(a_clean, b_clean, list(keys), "full")
+    return join_split_nulls(a_clean, b_clean, list(keys), "full", spread="right")
 
 
 def discrepancies(df: DataFrame, a: str, b: str, sort: Sequence = ()) -> DataFrame:

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import exists_flag, join_on
+from .joins import exists_flag, join_split_nulls
 from .sets import add_count
 
 # Fixed values of the gap test: a set counts as empty when NULL, "" or ";".
@@ -20,9 +20,9 @@ def value_counts(df: DataFrame, keys: Sequence, name: str = "n", sort: bool = Tr
     return out.orderBy(F.desc(name), *[k for k in out.columns if k != name]) if sort else out
 
 
-def dims(df: DataFrame) -> tuple[int, int]:
-    """``dim(x)`` (A12): (rows, columns); the row count is one aggregate job."""
-    return df.count(), len(df.columns)
+def dims(df: DataFrame) -> DataFrame:
+    """``dim(x)`` (A12): one row of ``rows`` and ``columns``."""
+    return df.agg(F.count(F.lit(1)).alias("rows")).withColumn("columns", F.lit(len(df.columns)))
 
 
 def columns_starting_with(df: DataFrame, prefix: str) -> list[str]:
@@ -55,7 +55,8 @@ def roster_with_sets(roster: DataFrame, memberships: DataFrame, keys: Sequence[s
                      period: str, min_period: int) -> DataFrame:
     """K11 input: roster rows after ``min_period`` (filtered before the join,
     so the filter reaches the scan) left-joined to the membership sets."""
-    return join_on(roster.filter(F.col(period) > min_period), memberships, list(keys), "left")
+    return join_split_nulls(roster.filter(F.col(period) > min_period), memberships, list(keys), "left",
+                            spread="left")
 
 
 def gap_condition(set_col: str, exclude_col: str, exclude_value: str) -> Column:
@@ -76,11 +77,34 @@ def gap_history(roster_joined: DataFrame, is_gap: Column, id_col: str,
                 order: Sequence = ()) -> DataFrame:
     """K11 second report: every row of members that have a gap in any row.
 
-    The reference tests ``id %in% gaps$id``; here the same set is found in one
-    pass with a window over the id (NULL ids form one group, as ``%in%``
-    matches NA to NA), instead of a semi-join back onto the same lineage.
+    The ids of gap rows are deduplicated map-side and the rows semi-joined to
+    them; rows without an id are one member, as ``%in%`` matches NA to NA, and
+    all stay where any of them is a gap, which a scalar of the plan says.  The
+    input is read more than once: give a written table if it is expensive.
     """
-    w = Window.partitionBy(id_col)
-    flagged = roster_joined.withColumn("__any_gap", F.max(is_gap.cast("int")).over(w))
-    out = flagged.filter(F.col("__any_gap") == 1).drop("__any_gap")
+    gaps = roster_joined.filter(is_gap)
+    ids = gaps.filter(F.col(id_col).isNotNull()).select(id_col).distinct()
+    no_id_gap = gaps.filter(F.col(id_col).isNull()).agg(F.count(F.lit(1)) > 0).scalar()
+    out = roster_joined.filter(F.col(id_col).isNotNull()).join(ids, id_col, "left_semi").select(
+        *[F.col(f"`{c}`") for c in roster_joined.columns])
+    out = out.unionByName(roster_joined.filter(F.col(id_col).isNull() & no_id_gap))
     return out.orderBy(*order) if order else out
+
+
+def numbered(df: DataFrame, order: Sequence, path: str, name: str = "row") -> DataFrame:
+    """``df`` sorted by ``order`` with each row's number from 1 (O1/O2 made
+    visible), without a window over all rows.
+
+    The range-partitioned, sorted rows are written to ``path`` with their place
+    in their partition; a partition's offset is the number of rows before it,
+    a table of one row a partition."""
+    (df.orderBy(*order).withColumn("__id", F.monotonically_increasing_id())
+     .write.parquet(path))
+    rows = df.sparkSession.read.parquet(path)
+    place = F.lit((1 << 33) - 1)
+    part = F.shiftright(F.col("__id"), 33).alias("__part")
+    counts = rows.groupBy(part).agg(F.count(F.lit(1)).alias("__n"))
+    before = Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__part", F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__before"))
+    return rows.withColumn("__part", F.shiftright(F.col("__id"), 33)).join(offsets, "__part").withColumn(
+        name, F.col("__before") + F.col("__id").bitwiseAND(place) + 1).drop("__part", "__before", "__id")

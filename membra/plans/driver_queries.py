@@ -30,6 +30,7 @@ from ..operators.roles import (group_flags, leadership_flags, leadership_of, pos
 from ..operators.sets import normalize_set
 from ..session import shared_dir
 from ..sources import snapshots as snap
+from ..sources.files import save_stage
 from ..streaming.snapshot_stream import snapshot_stream as stream_snapshots
 from .tables import table
 
@@ -575,7 +576,8 @@ GAP_MIN_PERIOD = 102
 
 
 def _roster_sets(spark: SparkSession, sf: str) -> DataFrame:
-    members = attach_by_crosswalk(spark, sf).select(
+    members = lk.group_terms(_combined(spark, sf), ["icpsr", "congress"], "member_groups", ["bioguide"],
+                             person="bioguide").select(
         "icpsr", "congress", "bioguide", "positions", "titles", "member_groups", "groups_a",
         "groups_b")
     return rp.roster_with_sets(_roster(spark, sf), members, ["icpsr", "congress"], "congress",
@@ -595,7 +597,8 @@ def gap_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def gap_history(spark: SparkSession, sf: str) -> DataFrame:
     """All periods of members with a gap, with their sets."""
-    out = rp.gap_history(_roster_sets(spark, sf), _is_gap(), "icpsr", [F.col("icpsr")])
+    joined = save_stage(_roster_sets(spark, sf), shared_dir(spark, "roster-sets"))
+    out = rp.gap_history(joined, _is_gap(), "icpsr", [F.col("icpsr")])
     return out.select("chamber", "congress", "bioname", "icpsr", "state", "bioguide_id",
                       "positions", "titles", "member_groups", "groups_a",
                       "groups_b")
@@ -876,7 +879,7 @@ def naive_merge_overlap(spark: SparkSession, sf: str) -> DataFrame:
     a = a.withColumn("member_groups", F.regexp_replace("member_groups", r"\|", ";"))
     b = rc.roster_side(rows.filter(F.col("source") == "A"), "icpsr", "congress", "bioguide",
                        "committee", "title", "ord").drop("titles")
-    naive = join_on(a, b, ["icpsr", "congress"], "full")
+    naive = jn.join_split_nulls(a, b, ["icpsr", "congress"], "full", spread="right")
     look = naive.dropna(subset=["member_groups", "groups_b"]).filter(
         F.col("member_groups") != F.col("groups_b"))
     return rp.value_counts(look, ["icpsr", "bioguide", "congress", "member_groups",

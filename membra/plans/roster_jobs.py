@@ -31,7 +31,7 @@ from ..operators import sets as st
 from ..operators.joins import join_on, left_join_dim_dropna
 from ..operators.roles import classify_roles, spell_features
 from ..rules import legacy as lg
-from ..session import checkpoint
+from ..session import checkpoint, shared_dir
 from ..sources import files as fl
 from ..sources import snapshots as snap
 
@@ -169,11 +169,15 @@ def corrections_for_overlay(corrections: DataFrame, strict: bool = True) -> Data
 
 def merge_sources(legacy: DataFrame, members: DataFrame, corrections: DataFrame,
                   oversight_data: DataFrame, roster: DataFrame, missing_ids: DataFrame,
-                  order: str = "row_number", strict: bool = True) -> dict[str, DataFrame]:
+                  order: str = "row_number", strict: bool = True,
+                  stages: fl.Stages | None = None) -> dict[str, DataFrame]:
     """Entry 3: both sources -> combined member-period table and reports.
+    Tables that several outputs use are stages, computed once; with ``stages``
+    given, a later run over the same inputs resumes from them.
     ``strict=False`` applies the documented fixes of the correction overlay
     (see :func:`corrections_for_overlay`) and attaches agencies to rows without
     an id per person instead of pooling them (Q5)."""
+    stages = stages or fl.Stages(legacy.sparkSession, shared_dir(legacy.sparkSession, "merge"))
     sw = st.group_sets(legacy, ["icpsr", "congress", "chamber"],
                        {"member_groups": ("member_groups", "unique_na"),
                         "positions": ("position", "unique_na")}, order)
@@ -192,10 +196,13 @@ def merge_sources(legacy: DataFrame, members: DataFrame, corrections: DataFrame,
     merged = ru.overlay(merged, corr, ["icpsr", "congress"], "groups_b",
                         "committees_us_correct")
     merged = ru.exclude_pairs(merged, lg.EXCLUDED_ID_PAIRS, "icpsr", "bioguide")
+    combined = merged
+    merged = stages.stage("combined", lambda: combined)
     discrepancies = rc.discrepancies(merged, "groups_a", "groups_b",
                                      [F.col("icpsr"), F.desc("congress")])
     flagged = rc.role_flags(merged)
-    flagged = flagged.withColumn("member_groups", repair_set_string("member_groups"))
+    repaired = flagged.withColumn("member_groups", repair_set_string("member_groups"))
+    flagged = stages.stage("flagged", lambda: repaired)
     vocab = lk.vocabulary(flagged, "member_groups")
     d1 = (oversight_data.select(F.col("Reporting Committees").alias("member_groups"),
                                 "department_agency_acronym")
@@ -212,8 +219,10 @@ def merge_sources(legacy: DataFrame, members: DataFrame, corrections: DataFrame,
                                        crosswalk, "member_groups", "department_agency_acronym",
                                        person=None if strict else "bioguide")
     oversight = ru.exclude_pairs(oversight, lg.EXCLUDED_ID_PAIRS, "icpsr", "bioguide")
-    joined = rp.roster_with_sets(roster, oversight, ["icpsr", "congress"], "congress",
-                                 MIN_ROSTER_PERIOD).distinct()
+    attached = oversight
+    oversight = stages.stage("oversight", lambda: attached)
+    joined = stages.stage("members", lambda: rp.roster_with_sets(
+        roster, oversight, ["icpsr", "congress"], "congress", MIN_ROSTER_PERIOD).distinct())
     is_gap = rp.gap_condition("member_groups", "state_abbrev", EXCLUDED_STATE)
     missing = rp.gap_report(joined, is_gap, missing_ids.select(
         "congress", F.col("bioguide").alias("bioguide_id")), ["congress", "bioguide_id"])

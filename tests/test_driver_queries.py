@@ -8,8 +8,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as E
-from membra.plans.driver_queries import QUERIES
-from membra.plans.oracle_sql import SQL
+from __spark_entry__ import QUERIES, SQL
 from membra.plans.tables import TABLES
 from tools.oracle_check import sorted_rows
 

@@ -13,7 +13,7 @@ import re
 import pytest
 
 import __spark_entry__ as E
-from membra.plans.driver_queries import QUERIES
+from __spark_entry__ import QUERIES
 
 SF = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables not present")
