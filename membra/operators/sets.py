@@ -96,7 +96,7 @@ def collapse_all(df: DataFrame, keys: Sequence[str], value, order, sep: str = ";
 
 def normalize_set(df: DataFrame, keys: Sequence[str], value, out: str = "normalized",
                   sep: str = SET_SEPARATORS) -> DataFrame:
-    """``normalize_committees`` per group (A7): split on ``sep``, squish, drop
+    """The canonical set of a group (A7): split on ``sep``, squish, drop
     NULL/""/"NA", dedupe, sort (binary), join with ";"; an empty set is NULL.
 
     ``collect_set`` dedupes in the map-side partial aggregate, so a group

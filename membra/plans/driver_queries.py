@@ -393,7 +393,7 @@ def _corrections(spark: SparkSession, sf: str) -> DataFrame:
         .select(period_of("o_orderdate").alias("congress"),
                 F.col("o_custkey").alias("icpsr"),
                 F.concat(F.lit("CORRECTED;"), F.col("o_orderpriority"))
-                .alias("committees_us_correct"))
+                .alias("corrected_groups"))
 
 
 def correction_overlay(spark: SparkSession, sf: str) -> DataFrame:
@@ -401,7 +401,7 @@ def correction_overlay(spark: SparkSession, sf: str) -> DataFrame:
     rows = assignments(spark, sf).filter(F.col("source") == "A")
     base = normalize_set(rows, ["icpsr", "congress"], "committee", "groups_b")
     return ru.overlay(base, _corrections(spark, sf), ["icpsr", "congress"],
-                      "groups_b", "committees_us_correct")
+                      "groups_b", "corrected_groups")
 
 
 # ---------------------------------------------------------------------------

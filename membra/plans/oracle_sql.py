@@ -387,10 +387,10 @@ base AS (
   FROM keys k),
 corr AS (
   SELECT DISTINCT {P_ORDER} AS congress, o_custkey AS icpsr,
-         'CORRECTED;' || o_orderpriority AS committees_us_correct
+         'CORRECTED;' || o_orderpriority AS corrected_groups
   FROM orders WHERE o_orderstatus = 'P' AND o_orderpriority = '1-URGENT')
 SELECT coalesce(base.icpsr, corr.icpsr) AS icpsr, coalesce(base.congress, corr.congress) AS congress,
-       coalesce(base.groups_b, corr.committees_us_correct) AS groups_b
+       coalesce(base.groups_b, corr.corrected_groups) AS groups_b
 FROM base FULL OUTER JOIN corr ON base.icpsr IS NOT DISTINCT FROM corr.icpsr
                               AND base.congress IS NOT DISTINCT FROM corr.congress"""
 
@@ -528,14 +528,14 @@ flagged AS (
     CASE WHEN regexp_matches(titles, 'Ranking Member')
            OR regexp_matches(positions, 'Ranking Minority') THEN 1 ELSE 0 END AS rank0,
     nullif({squish_sql("regexp_replace(groups_a || ';' || groups_b, '^;|;$', '')")}, '')
-      AS committees0
+      AS groups0
   FROM filled),
 combined AS (
   SELECT DISTINCT icpsr, congress, groups_a, positions, bioguide, groups_b,
        titles,
-       CASE WHEN committees0 IS NULL THEN NULL ELSE chair0 END AS chair,
-       CASE WHEN committees0 IS NULL THEN NULL ELSE rank0 END AS ranking_minority,
-       coalesce(regexp_replace(regexp_replace(regexp_replace(regexp_replace(committees0,
+       CASE WHEN groups0 IS NULL THEN NULL ELSE chair0 END AS chair,
+       CASE WHEN groups0 IS NULL THEN NULL ELSE rank0 END AS ranking_minority,
+       coalesce(regexp_replace(regexp_replace(regexp_replace(regexp_replace(groups0,
            '\\|', ';', 'g'), 'TURAL RESOURCES', ';NATURAL RESOURCES', 'g'), ';NA;', ';', 'g'),
            ';NA$|^NA;', '', 'g'), 'NA') AS member_groups
   FROM flagged)"""
@@ -565,7 +565,7 @@ first_t AS (
     FROM parts) WHERE rn = 1),
 per AS (
   SELECT t.icpsr, t.congress, t.person,
-         {_strip_na("string_agg(t.term, ';' ORDER BY t.bioguide NULLS FIRST, t.pos)")} AS committees_new,
+         {_strip_na("string_agg(t.term, ';' ORDER BY t.bioguide NULLS FIRST, t.pos)")} AS groups_new,
          (SELECT {_strip_na("string_agg(coalesce(h.acronym, 'NA'), ';' ORDER BY h.bioguide NULLS FIRST, h.pos, coalesce(h.acronym, 'NA'))")}
           FROM hits h WHERE h.icpsr IS NOT DISTINCT FROM t.icpsr AND h.congress = t.congress
                             AND h.person IS NOT DISTINCT FROM t.person)
@@ -574,7 +574,7 @@ per AS (
 oversight AS (
   SELECT DISTINCT c.icpsr, c.congress, c.groups_a, c.positions, c.bioguide,
          c.groups_b, c.titles, c.chair, c.ranking_minority,
-         per.committees_new AS member_groups, per.oversight
+         per.groups_new AS member_groups, per.oversight
   FROM combined c LEFT JOIN per ON c.icpsr IS NOT DISTINCT FROM per.icpsr
                                AND c.congress IS NOT DISTINCT FROM per.congress
                                AND (CASE WHEN c.icpsr IS NULL THEN c.bioguide END)

@@ -6,7 +6,7 @@ returned as a dict of DataFrames (write them with
 
 * :func:`membership_history` - versioned roster snapshots -> long table,
   per-period facts, duplicate audit, quarantine (K1, S1-S4).
-* :func:`members_committees` - group names, canonical names, member-period
+* :func:`members_groups` - group names, canonical names, member-period
   rollup, person metadata, missing-id fill (J1, X3, K4, J3, K17).
 * :func:`legacy_assignments` - two legacy sheet exports -> one recoded,
   patched, classified assignment table (S6, U1, K2, K3, X4, K15, K14, K13).
@@ -72,7 +72,7 @@ def membership_history(spark, snapshot_dir: str, partitioned: bool = False,
     }
 
 
-def members_committees(per_congress: DataFrame, member_groups: DataFrame,
+def members_groups(per_congress: DataFrame, member_groups: DataFrame,
                        legislators_current: DataFrame, legislators_historical: DataFrame,
                        dictionary: DataFrame) -> dict[str, DataFrame]:
     """Entry 1b.  ``dictionary`` is the dated alias table (alias, period, icpsr,
@@ -100,7 +100,7 @@ def members_committees(per_congress: DataFrame, member_groups: DataFrame,
     out = lk.fill_missing_ids(mc, "icpsr_id", fix, ["bioguide", "congress"], "icpsr", "icpsr",
                               extra=["chamber"])
     return {
-        "members_committees": out,
+        "members_groups": out,
         "unresolved": resolved.filter(F.col("icpsr").isNull()),
         "duplicates": rp.value_counts(out, ["name", "icpsr", "congress"]).filter(F.col("n") > 1),
         "missing_counts": rp.null_counts(out, "icpsr"),
@@ -113,12 +113,12 @@ def legacy_assignments(spark, house: DataFrame, senate: DataFrame,
     """Entry 2.  ``house`` / ``senate`` are exports of the two sheets with
     their columns in sheet order plus a ``row_number`` column (the sheet row,
     used wherever R relies on row order)."""
-    hcd = _rename_keep(house, fl.HOUSE_SHEET_NAMES, order)
-    hcd = hcd.withColumn("chamber", F.lit("House")).select(*LEGACY_COLUMNS, order)
-    scd = _rename_keep(senate, fl.SENATE_SHEET_NAMES, order)
-    scd = (scd.withColumn("cd", F.lit(0)).withColumn("chamber", F.lit("Senate"))
+    house_rows = _rename_keep(house, fl.HOUSE_SHEET_NAMES, order)
+    house_rows = house_rows.withColumn("chamber", F.lit("House")).select(*LEGACY_COLUMNS, order)
+    senate_rows = _rename_keep(senate, fl.SENATE_SHEET_NAMES, order)
+    senate_rows = (senate_rows.withColumn("cd", F.lit(0)).withColumn("chamber", F.lit("Senate"))
            .select(*LEGACY_COLUMNS, order))
-    sheet_rows = hcd.unionByName(scd).withColumn("icpsr", F.col("source_code"))
+    sheet_rows = house_rows.unionByName(senate_rows).withColumn("icpsr", F.col("source_code"))
     # as.numeric: "113.0" is 113, non-numbers become NULL.  Done before the
     # recode (the reference casts after it); a rule never matches a NULL code
     # either way.
@@ -159,11 +159,11 @@ def corrections_for_overlay(corrections: DataFrame, strict: bool = True) -> Data
     ``strict=False`` turns "0" into NULL and canonicalises the set, so padded
     entries such as "TRANSPORTATION " match the crosswalk later (Q19)."""
     corr = corrections.select("congress", "icpsr",
-                              F.col("member_groups").alias("committees_us_correct"))
+                              F.col("member_groups").alias("corrected_groups"))
     if strict:
         return corr
-    c = F.col("committees_us_correct")
-    return corr.withColumn("committees_us_correct",
+    c = F.col("corrected_groups")
+    return corr.withColumn("corrected_groups",
                            st.normalize_set_string(F.when(c != "0", c)))
 
 
@@ -194,7 +194,7 @@ def merge_sources(legacy: DataFrame, members: DataFrame, corrections: DataFrame,
     merged = rc.reconcile(sw_clean, us_clean, ["icpsr", "congress"])
     corr = corrections_for_overlay(corrections, strict)
     merged = ru.overlay(merged, corr, ["icpsr", "congress"], "groups_b",
-                        "committees_us_correct")
+                        "corrected_groups")
     merged = ru.exclude_pairs(merged, lg.EXCLUDED_ID_PAIRS, "icpsr", "bioguide")
     combined = merged
     merged = stages.stage("combined", lambda: combined)
@@ -204,12 +204,12 @@ def merge_sources(legacy: DataFrame, members: DataFrame, corrections: DataFrame,
     repaired = flagged.withColumn("member_groups", repair_set_string("member_groups"))
     flagged = stages.stage("flagged", lambda: repaired)
     vocab = lk.vocabulary(flagged, "member_groups")
-    d1 = (oversight_data.select(F.col("Reporting Committees").alias("member_groups"),
+    agencies = (oversight_data.select(F.col("Reporting Committees").alias("member_groups"),
                                 "department_agency_acronym")
           .filter(F.col("member_groups").isNotNull())
           .withColumn("member_groups", F.upper("member_groups")))
     crosswalk = lk.vocabulary_crosswalk(
-        d1.withColumnRenamed("member_groups", "committeesACUS"), "committeesACUS", vocab, "term",
+        agencies.withColumnRenamed("member_groups", "reporting_text"), "reporting_text", vocab, "term",
         keep=["department_agency_acronym"], out="member_groups")
     coverage = lk.vocabulary_coverage(
         lk.vocabulary(oversight_data.filter(F.col("Reporting Committees").isNotNull()),
@@ -231,7 +231,7 @@ def merge_sources(legacy: DataFrame, members: DataFrame, corrections: DataFrame,
         {"chamber": "chamber", "congress": "congress", "bioname": "bioname", "icpsr": "icpsr",
          "bioguide_correct": "bioguide_id", "bioguide_incorrect": "bioguide"})
     history_cols = ["chamber", "congress", "bioname", "icpsr", "state", "bioguide_id",
-                    "positions", "titles"] + [c for c in joined.columns if c.startswith("committ")]
+                    "positions", "titles", "member_groups", *rp.columns_starting_with(joined, "groups_")]
     history = rp.gap_history(joined, is_gap, "icpsr", [F.col("icpsr")]).select(*history_cols)
     return {
         "combined": merged,
@@ -246,7 +246,7 @@ def merge_sources(legacy: DataFrame, members: DataFrame, corrections: DataFrame,
         "ids_per_icpsr": rc.ids_per_key(merged, "icpsr", "bioguide"),
         "ids_per_bioguide": rc.ids_per_key(merged, "bioguide", "icpsr"),
         "missing": missing,
-        "missing_committees": missing.filter(~F.col("icpsr_missing")).select(
+        "missing_groups": missing.filter(~F.col("icpsr_missing")).select(
             "chamber", "congress", "bioname", "icpsr", "state", "bioguide_id", "icpsr_missing"),
         "missing_with_nonmissing": history,
     }

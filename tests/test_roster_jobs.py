@@ -46,8 +46,8 @@ def test_whole_workflow(spark):
                                 "wikipedia_id string")
     dictionary = spark.createDataFrame([("Bob Jones", None, 202, "House")],
                                        "alias string, period int, icpsr int, chamber string")
-    mc = rj.members_committees(hist["per_congress"], member_groups, cur, old, dictionary)
-    got = {(r["bioguide"], r["congress"]): r for r in mc["members_committees"].collect()}
+    mc = rj.members_groups(hist["per_congress"], member_groups, cur, old, dictionary)
+    got = {(r["bioguide"], r["congress"]): r for r in mc["members_groups"].collect()}
     assert got[("S000001", 116)]["member_groups"] == "WAYS" and got[("S000001", 116)]["icpsr"] == 101
     assert got[("J000002", 116)]["icpsr"] == 202 and got[("J000002", 116)]["chamber"] == "House"
     assert got[("Y000003", 116)]["member_groups"] == "VETERANS"
@@ -106,12 +106,12 @@ def test_whole_workflow(spark):
         "chamber string, congress int, bioname string, icpsr int, state string, "
         "state_abbrev string, bioguide_id string")
     missing_ids = spark.createDataFrame([(116, "X000000")], "congress int, bioguide string")
-    out = rj.merge_sources(legacy, mc["members_committees"], corrections, oversight, roster,
+    out = rj.merge_sources(legacy, mc["members_groups"], corrections, oversight, roster,
                            missing_ids)
     comb = {r["icpsr"]: r for r in out["combined"].collect()}
     assert comb[303]["groups_b"] == "FINANCE"
     assert comb[15002]["groups_a"] == "WAYS"
-    assert [r["icpsr"] for r in out["missing_committees"].collect()] == [404]
+    assert [r["icpsr"] for r in out["missing_groups"].collect()] == [404]
     assert out["oversight"].filter(F.col("icpsr") == 101).first()["oversight"] == "TREAS"
 
     agencies = spark.createDataFrame([("EPA",), ("DOE",)], "Agency string")
@@ -131,9 +131,9 @@ def test_rule_table_loads(spark):
 def test_corrections_strict_and_fixed(spark):  # Q18, Q19
     corr = spark.createDataFrame([(116, 1, "0"), (116, 2, "TRANSPORTATION | ENERGY")],
                                  "congress int, icpsr int, member_groups string")
-    strict = {r["icpsr"]: r["committees_us_correct"]
+    strict = {r["icpsr"]: r["corrected_groups"]
               for r in rj.corrections_for_overlay(corr).collect()}
-    fixed = {r["icpsr"]: r["committees_us_correct"]
+    fixed = {r["icpsr"]: r["corrected_groups"]
              for r in rj.corrections_for_overlay(corr, strict=False).collect()}
     assert strict == {1: "0", 2: "TRANSPORTATION | ENERGY"}
     assert fixed == {1: None, 2: "ENERGY;TRANSPORTATION"}
