@@ -23,6 +23,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
 from membra.llm import jaccard, langid, packing, quality
 from membra.llm.common import fresh, quoted, staged
@@ -49,12 +50,30 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return out.where(F.col("predicted") == 1).drop("score", "predicted").withColumnsRenamed(back).select(*docs.columns)
 
 
+def _row_numbers(docs: DataFrame) -> tuple[DataFrame, str]:
+    """``docs`` with a number of its own for each row, in a new column.
+
+    Rows of Parquet files are numbered by their file's part number and their
+    place in it, so the texts aren't written again; where there are no such
+    places, or two files share a part number, the rows are numbered in a
+    written copy."""
+    name = fresh(docs, "__row")
+    path, part = F.col("_metadata.file_path"), F.regexp_extract("_metadata.file_path", r"part-(\d+)[^/]*$", 1).try_cast("long")
+    try:
+        files = docs.select(path.alias("f"), part.alias("p")).distinct()
+        clash = files.groupBy("p").count().where("count > 1 or p is null").limit(1).count()
+    except AnalysisException:  # not read from files
+        clash = 1
+    if clash:
+        return staged(docs.withColumn(name, F.monotonically_increasing_id()), "numbered"), name
+    return docs.withColumn(name, F.shiftleft(part, 40) + F.col("_metadata.row_index")), name
+
+
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row of each group of near copies: the smallest id (null last), then
     text hash.  Rows are numbered first, so rows that repeat an id or have
     none are compared by their own texts."""
-    name = fresh(docs, "__row")
-    rows = staged(docs.withColumn(name, F.monotonically_increasing_id()), "numbered")
+    rows, name = _row_numbers(docs)
     found = jaccard.join(rows, name).select(F.col("doc_id").alias("row"), F.col("component_id").alias("component"))
     plain = [quoted(f.name) for f in docs.schema if "map<" not in f.dataType.simpleString()]  # a map has no hash
     order = rows.select(F.col(name).alias("row"), F.struct(
