@@ -75,8 +75,9 @@ class Encoder:
         for w in map(str, words, repeat("utf-8"), repeat("replace")):
             c = w.rstrip(_TAIL)
             # letters are split from plain punctuation after them anyway, and
-            # up to U+00FF their case doesn't matter
-            if c.isalpha():
+            # up to U+00FF their case doesn't matter; other letters may become
+            # a letter and a mark, which stays with the punctuation
+            if c.isalpha() and (c.isascii() or (max(c) < "\u0250" and c.lower().isalpha())):
                 parts.append((c.lower() if c.isascii() or max(c) < "Ā" else c, w[len(c) :]))
             else:
                 parts.append((w, ""))
