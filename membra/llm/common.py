@@ -32,13 +32,17 @@ def shared_path(spark: SparkSession, name: str) -> str:
     """A new path under ``spark.checkpoint.dir``, which all executors share.
 
     Where neither the session nor its context names a checkpoint folder, the
-    folder ``checkpoints`` of the warehouse (shared as well) is taken.
+    folder ``checkpoints`` of the warehouse is taken, which must be shared as
+    well: a cluster with a warehouse on a local file system is an error.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
         found = spark.sparkContext._jsc.sc().getCheckpointDir()
-        base = found.get() if found.isDefined() else (
-            spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints")
+        base = found.get() if found.isDefined() else None
+    if not base:
+        base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/checkpoints"
+        if not spark.sparkContext.master.startswith("local") and base.split(":")[0] in ("file", base):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
@@ -54,6 +58,12 @@ def bucket_of(col, n: int):
     return F.pmod(F.crc32(F.col(col).cast("string").cast("binary")), F.lit(n))
 
 
+def is_held_out(col, n: int, bucket: int):
+    """Whether a row is kept from learning: its bucket is ``bucket``, or it has no
+    id (a row without an id is never learned from)."""
+    return F.coalesce(bucket_of(col, n) == bucket, F.lit(True))
+
+
 def quoted(name: str):
     return F.col("`" + name.replace("`", "``") + "`")
 

@@ -17,7 +17,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import bucket_of, field, map_text, quoted, release_memos, sample_by, worker_cache
+from .common import field, is_held_out, map_text, quoted, release_memos, sample_by, worker_cache
 
 #: hash table of each n-gram order, n = 1, 2, 3
 SIZES = (256, 4096, 16384)
@@ -125,6 +125,6 @@ def predict(docs: DataFrame, model: tuple[list[str], np.ndarray], carry: list[st
 def op4_string_kernel_language(spark, sf_dir) -> DataFrame:
     """Learns from rows whose crc32(doc_id as text) mod 3 is not 1."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    model = train(docs.where(bucket_of("doc_id", 3) != 1))
+    model = train(docs.where(~is_held_out("doc_id", 3, 1)))
     out = predict(docs, model, ["doc_id"])
-    return out.select("doc_id", (bucket_of("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+    return out.select("doc_id", is_held_out("doc_id", 3, 1).alias("held_out"), "lang_pred", "score")

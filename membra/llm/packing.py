@@ -34,8 +34,8 @@ from .tokens import Encoder, default_path
 CAPACITY, END_ID = 2048, 0
 #: lengths over capacity / SMALL are large; groups of the large ones
 SMALL, GROUPS, MAX_COLUMNS = 3, 90, 1500
-#: a configuration whose sequences stay emptier than this share is undone
-LOOSE = 0.002
+#: shares of room from which a configuration's sequences are undone; the best is taken
+LOOSE = (0.0, 0.0005, 0.002, 0.01)
 #: rows of one length are ranked in this many shares, and one more for each so many rows
 SALTS, ROWS_A_SALT = 16, 10_000_000
 
@@ -159,11 +159,20 @@ def plan(histogram: dict[int, int], capacity: int = CAPACITY, groups: int = GROU
     # best fit, longest first: into the configurations' room, then, with the
     # items of configurations that stayed too empty, into new sequences
     tight = _best_fit(bins, hist, capacity, fresh=False)
-    for i in [i for i, (_, items) in enumerate(tight) if capacity - sum(items) > LOOSE * capacity]:
-        for k in tight[i][1]:
-            hist[k] += tight[i][0]
-        tight[i] = (0, [])
-    rest = _best_fit([b for b in tight if b[0]], hist, capacity, fresh=True)
+    tried = []
+    for loose in LOOSE:
+        kept, left = [], dict(hist)
+        for count, items in tight:
+            if capacity - sum(items) > loose * capacity:
+                for k in items:
+                    left[k] += count
+            else:
+                kept.append((count, items))
+        tried.append(_best_fit(kept, left, capacity, fresh=True))
+    # rounding must not cost a sequence: plain best fit is the last resort
+    tried.append(_best_fit([], {int(k): int(n) for k, n in histogram.items() if n > 0}, capacity, fresh=True))
+    rest = min(tried, key=lambda bins: sum(count for count, _ in bins))
+    hist = dict.fromkeys(hist, 0)
     out, rank, seq = [], dict.fromkeys(hist, 0), 0
     for count, items in rest:
         at = 0
@@ -220,8 +229,9 @@ def _best_fit(bins: list, hist: dict[int, int], capacity: int, fresh: bool) -> l
 
 # ---------------------------------------------------------------- on Spark
 def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
-           capacity: int = CAPACITY, end_id: int = END_ID) -> DataFrame:
-    """One row for each piece: doc_id, piece, start, length, ids_crc32.
+           capacity: int = CAPACITY, end_id: int = END_ID, with_ids: bool = False) -> DataFrame:
+    """One row for each piece: doc_id, piece, start, length, ids_crc32, and
+    with ``with_ids`` its ``ids`` (array<int>, the end id included).
 
     A null text counts as empty: one piece holding the end id alone."""
     path = path or default_path()
@@ -245,12 +255,16 @@ def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path
                 last = np.cumsum(n) - 1
                 for i in last.tolist():
                     crc[i] = zlib.crc32(end, crc[i])
-                yield pa.RecordBatch.from_arrays(
-                    [b.column(0).slice(at, len(texts)).take(pa.array(doc)), pa.array(piece.astype(np.int32)),
-                     pa.array(start.astype(np.int64)), pa.array(length.astype(np.int64)), pa.array(crc, pa.int64())],
-                    names=["doc_id", "piece", "start", "length", "ids_crc32"])
+                cols = [b.column(0).slice(at, len(texts)).take(pa.array(doc)), pa.array(piece.astype(np.int32)),
+                        pa.array(start.astype(np.int64)), pa.array(length.astype(np.int64)), pa.array(crc, pa.int64())]
+                if with_ids:  # a text's ids with the end id after them are its pieces one after another
+                    whole = np.insert(ids.astype(np.int32), first + count, end_id)
+                    cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]), pa.int32()), pa.array(whole)))
+                yield pa.RecordBatch.from_arrays(cols, names=names)
 
-    return bounded_batches(src).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long")
+    names = ["doc_id", "piece", "start", "length", "ids_crc32"] + ["ids"] * with_ids
+    return bounded_batches(src).mapInArrow(run, "doc_id long, piece int, start long, length long, ids_crc32 long"
+                                           + ", ids array<int>" * with_ids)
 
 
 def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
@@ -287,9 +301,19 @@ def place(parts: DataFrame, capacity: int = CAPACITY) -> DataFrame:
 
 
 def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", path: str | None = None,
-         capacity: int = CAPACITY) -> DataFrame:
+         capacity: int = CAPACITY, with_ids: bool = False) -> DataFrame:
     """Cuts, encodes and packs every whole text; extra columns are not read."""
-    return place(staged(pieces(docs, id_col, text_col, path, capacity), "pieces"), capacity)
+    return place(staged(pieces(docs, id_col, text_col, path, capacity, with_ids=with_ids), "pieces"), capacity)
+
+
+def sequences(packed: DataFrame) -> DataFrame:
+    """The packed sequences themselves, from :func:`pack` with ids: sequence_id,
+    ``ids`` (array<int>, at most the capacity) and ``parts`` (doc_id, piece,
+    offset, length of each piece in order)."""
+    part = F.struct("offset", "doc_id", "piece", "length", "ids")
+    listed = packed.groupBy("sequence_id").agg(F.sort_array(F.collect_list(part)).alias("p"))
+    return listed.select("sequence_id", F.flatten(F.col("p.ids")).alias("ids"), F.transform("p", lambda p: F.struct(
+        p["doc_id"].alias("doc_id"), p["piece"].alias("piece"), p["offset"].alias("offset"), p["length"].alias("length"))).alias("parts"))
 
 
 def op10_linear_grouping_packing(spark, sf_dir) -> DataFrame:

@@ -14,7 +14,7 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import Words, bucket_of, byte_values, field, map_text, mix, quoted, release_memos, sample_by
+from .common import Words, byte_values, field, is_held_out, map_text, mix, quoted, release_memos, sample_by
 
 #: hashed rows for words, and for n-grams; vector size
 WORD_ROWS, GRAM_ROWS, DIM = 1 << 14, 1 << 14, 12
@@ -176,6 +176,6 @@ def predict(docs: DataFrame, model: tuple[np.ndarray, float, float], carry: list
 def op7_subword_quality(spark, sf_dir) -> DataFrame:
     """Learns from labels of rows whose crc32(doc_id as text) mod 5 is not 0."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(bucket_of("doc_id", 5) != 0)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~is_held_out("doc_id", 5, 0))
     out = predict(docs, train(docs, labels), ["doc_id"])
-    return out.select("doc_id", (bucket_of("doc_id", 5) == 0).alias("held_out"), "score", "predicted")
+    return out.select("doc_id", is_held_out("doc_id", 5, 0).alias("held_out"), "score", "predicted")
