@@ -73,19 +73,22 @@ def gap_report(joined: DataFrame, is_gap: Column, missing_ids: DataFrame,
     return exists_flag(joined.filter(is_gap), missing_ids, list(flag_keys), flag)
 
 
-def gap_history(roster_joined: DataFrame, is_gap: Column, id_col: str,
-                order: Sequence = ()) -> DataFrame:
+def gap_ids(roster_joined: DataFrame, is_gap: Column, id_col: str) -> DataFrame:
+    """The distinct ids of gap rows, NULL among them; deduplicated map-side."""
+    return roster_joined.filter(is_gap).select(id_col).distinct()
+
+
+def gap_history(roster_joined: DataFrame, ids: DataFrame, id_col: str, order: Sequence = ()) -> DataFrame:
     """K11 second report: every row of members that have a gap in any row.
 
-    The ids of gap rows are deduplicated map-side and the rows semi-joined to
-    them; rows without an id are one member, as ``%in%`` matches NA to NA, and
-    all stay where any of them is a gap, which a scalar of the plan says.  The
-    input is read more than once: give a written table if it is expensive.
+    ``ids`` is what :func:`gap_ids` gives, best as a written table, because it
+    is read twice.  Rows with an id are semi-joined to it; rows without one are
+    one member, as ``%in%`` matches NA to NA, and all stay where any of them is
+    a gap, which a scalar of the plan says.
     """
-    gaps = roster_joined.filter(is_gap)
-    ids = gaps.filter(F.col(id_col).isNotNull()).select(id_col).distinct()
-    no_id_gap = gaps.filter(F.col(id_col).isNull()).agg(F.count(F.lit(1)) > 0).scalar()
-    out = roster_joined.filter(F.col(id_col).isNotNull()).join(ids, id_col, "left_semi").select(
+    known = ids.filter(F.col(id_col).isNotNull())
+    no_id_gap = ids.filter(F.col(id_col).isNull()).agg(F.count(F.lit(1)) > 0).scalar()
+    out = roster_joined.filter(F.col(id_col).isNotNull()).join(known, id_col, "left_semi").select(
         *[F.col(f"`{c}`") for c in roster_joined.columns])
     out = out.unionByName(roster_joined.filter(F.col(id_col).isNull() & no_id_gap))
     return out.orderBy(*order) if order else out

@@ -597,8 +597,9 @@ def gap_report(spark: SparkSession, sf: str) -> DataFrame:
 
 def gap_history(spark: SparkSession, sf: str) -> DataFrame:
     """All periods of members with a gap, with their sets."""
-    joined = save_stage(_roster_sets(spark, sf), shared_dir(spark, "roster-sets"))
-    out = rp.gap_history(joined, _is_gap(), "icpsr", [F.col("icpsr")])
+    joined = _roster_sets(spark, sf)
+    ids = save_stage(rp.gap_ids(joined, _is_gap(), "icpsr"), shared_dir(spark, "gap-ids"))
+    out = rp.gap_history(joined, ids, "icpsr", [F.col("icpsr")])
     return out.select("chamber", "congress", "bioname", "icpsr", "state", "bioguide_id",
                       "positions", "titles", "member_groups", "groups_a",
                       "groups_b")

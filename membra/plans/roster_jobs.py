@@ -232,7 +232,7 @@ def merge_sources(legacy: DataFrame, members: DataFrame, corrections: DataFrame,
          "bioguide_correct": "bioguide_id", "bioguide_incorrect": "bioguide"})
     history_cols = ["chamber", "congress", "bioname", "icpsr", "state", "bioguide_id",
                     "positions", "titles", "member_groups", *rp.columns_starting_with(joined, "groups_")]
-    history = rp.gap_history(joined, is_gap, "icpsr", [F.col("icpsr")]).select(*history_cols)
+    history = rp.gap_history(joined, rp.gap_ids(joined, is_gap, "icpsr"), "icpsr", [F.col("icpsr")]).select(*history_cols)
     return {
         "combined": merged,
         "discrepancies": discrepancies,

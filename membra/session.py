@@ -48,8 +48,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
 
     The location comes from ``spark.checkpoint.dir`` (or the context's
     checkpoint dir).  Where neither is set it is a folder under the session's
-    warehouse, which driver and executors share as well; it is registered as
-    checkpoint dir.  Never a machine-local temporary folder.
+    warehouse, registered as checkpoint dir; on a cluster that must not be a
+    local file system, which driver and executors don't share.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
@@ -60,6 +60,8 @@ def shared_dir(spark: SparkSession, name: str) -> str:
             base = None
     if not base:
         base = spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_membra"
+        if not spark.sparkContext.master.startswith("local") and base.split(":")[0] in ("file", base):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         spark.sparkContext.setCheckpointDir(base)
     return f"{base.rstrip('/')}/{name}-{uuid.uuid4().hex[:12]}"
 

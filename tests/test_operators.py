@@ -279,5 +279,5 @@ def test_gap_report_and_history(spark):  # K11
     missing = spark.createDataFrame([(110, "b1")], "congress int, bioguide_id string")
     gaps = rp.gap_report(joined, cond, missing, ["congress", "bioguide_id"])
     assert rows(gaps, "icpsr", "congress", "icpsr_missing") == [(1, 110, True)]
-    hist = rp.gap_history(joined, cond, "icpsr")
+    hist = rp.gap_history(joined, rp.gap_ids(joined, cond, "icpsr"), "icpsr")
     assert rows(hist, "icpsr", "congress") == [(1, 110), (1, 111)]

@@ -55,11 +55,11 @@ def test_split_nulls_spreads_the_rows_without_an_id(spark, sides):
 def test_gap_history_keeps_all_rows_of_gap_members(spark):  # K11
     data = [(1, 1, True), (1, 2, False), (2, 1, False), (None, 1, False), (None, 2, True), (3, 1, None)]
     df = spark.createDataFrame(data, "id int, p int, gap boolean")
-    got = rows(rp.gap_history(df, F.col("gap"), "id"), "id", "p")
+    got = rows(rp.gap_history(df, rp.gap_ids(df, F.col("gap"), "id"), "id"), "id", "p")
     assert got == sorted([(1, 1), (1, 2), (None, 1), (None, 2)], key=repr)
     some = df.filter("not (id is null and p = 2)")
-    assert rows(rp.gap_history(some, F.col("gap"), "id"), "id", "p") == [(1, 1), (1, 2)]
-    plan = rp.gap_history(df, F.col("gap"), "id")._jdf.queryExecution().optimizedPlan().toString()
+    assert rows(rp.gap_history(some, rp.gap_ids(some, F.col("gap"), "id"), "id"), "id", "p") == [(1, 1), (1, 2)]
+    plan = rp.gap_history(df, rp.gap_ids(df, F.col("gap"), "id"), "id")._jdf.queryExecution().optimizedPlan().toString()
     assert "Window" not in plan
 
 
