@@ -504,7 +504,10 @@ def vocabulary_coverage(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def _combined(spark: SparkSession, sf: str) -> DataFrame:
-    flagged = rc.role_flags(two_source_reconcile(spark, sf), dedupe=False)
+    """The combined sets, from a written table of the reconcile: the attach and
+    the reports on it read it several times."""
+    reconciled = save_stage(two_source_reconcile(spark, sf), shared_dir(spark, "reconciled"))
+    flagged = rc.role_flags(reconciled, dedupe=False)
     return flagged.withColumn("member_groups", repair_set_string("member_groups"))
 
 
