@@ -9,7 +9,12 @@ the threshold, all subsets of c(n, m) members are enumerated; sets of sizes n
 and m link iff they share one.  All sets at one subset are joined to the
 smallest, so a popular subset gives a star, not all pairs.
 
-Large sets: inverted lists.  Members are ordered from rare to frequent; two
+Large sets: inverted lists.  A first pass sends each set's leading members (in
+the order of their hashes, about 30 % of the set) and keeps the sets of which
+enough are shared with another; linked sets always pass.  Only those are cut
+again and send all their members, found in the table by a bitmap of bounded
+size that may let others through, which costs work but changes no result.
+Their members are ordered from rare to frequent; two
 linked sets share one of the first n - ceil(t n) + 1 members of each
 (prefixes).  A set most of whose members nobody else has drops out at once,
 and a passage that thousands of documents share comes last in the order.
@@ -46,9 +51,13 @@ SMALL_MAX = 14
 COUNTERS, HOT_SHARE = 50_000, 0.01
 #: members that a task gathers before it sends them on
 GATHER = 400_000
-#: members for each partition of the large sets' exchanges, and the most such
-#: partitions as a multiple of spark.sql.shuffle.partitions (their least number)
-PART_MEMBERS, MOST_PARTS = 100_000, 6
+#: members for each partition of the large sets' exchanges, which have at least
+#: spark.sql.shuffle.partitions
+PART_MEMBERS = 1_000_000
+#: a set of n members sends n // LEAD_SHARE leading members above the fewest
+LEAD_SHARE = 10
+#: bits of the bitmap of possible documents, for each of them and at most (32 MB)
+BITS_EACH, MOST_BITS = 16, 1 << 28
 #: rounds of single comparisons, and sets in one chunk of a list, for the rest
 ROUNDS, LIST_CHUNK = 3, 20_000
 #: sets on either side of a cell in which what is left is compared
@@ -61,6 +70,25 @@ def least_overlap(n: int, m: int, percent: int = PERCENT) -> int:
     return -(-percent * (n + m) // (100 + percent))
 
 
+def _must_overlap(n):
+    """Least overlap of a set of n members with any set that it links to."""
+    return -(-PERCENT * n // 100)
+
+
+def lead_length(n):
+    """How many members, least hash first, a set of n sends in the first pass.
+
+    Of its links' common members the first 1 + n // LEAD_SHARE are among them:
+    at most n - _must_overlap(n) members of the set are not common."""
+    return n - _must_overlap(n) + 1 + n // LEAD_SHARE
+
+
+def lead_shared(n):
+    """How many of those a set with a link shares at least: the first common
+    members that both send, where the other has _must_overlap(n) members or more."""
+    return 1 + _must_overlap(n) // LEAD_SHARE
+
+
 # ---------------------------------------------------------------- sets
 def shingle_sets(texts: list, n_gram: int = N_GRAM) -> tuple[np.ndarray, np.ndarray]:
     """(members, document of each) of a chunk: distinct, by document."""
@@ -210,8 +238,9 @@ SENT = [("<i8", 0), ("<i4", 0), ("<u4", 1), ("<u2", 1), ("<u2", 1)]  # set, size
 BACK = [("<i8", 0), ("<i4", 0), ("<i4", 0), ("<u8", 1), ("<u2", 1)]  # set, size, members | member, frequency
 
 
-def _send(docs: DataFrame, hot: np.ndarray, least: int, parts: int) -> DataFrame:
-    """Blocks (part, payload) of the members of sets of at least ``least``."""
+def _send(docs: DataFrame, hot: np.ndarray, least: int, parts: int, lead: bool = False) -> DataFrame:
+    """Blocks (part, payload) of the members of sets of at least ``least``; with
+    ``lead`` the leading members alone."""
 
     def run(batches):
         release_memos()
@@ -259,6 +288,10 @@ def _send(docs: DataFrame, hot: np.ndarray, least: int, parts: int) -> DataFrame
             for _, texts in chunks(b, "text"):
                 member, doc = shingle_sets(texts)
                 ids, n = _set_ids(member, doc, len(texts))
+                if lead:
+                    first = np.cumsum(n) - n
+                    early = np.arange(len(member)) - first[doc] < lead_length(n)[doc]
+                    member, doc = member[early], doc[early]
                 held.append((member, doc, ids, n))
                 size, count = size + len(member), count + len(texts)
                 if size >= GATHER or count >= 60_000:
@@ -270,6 +303,66 @@ def _send(docs: DataFrame, hot: np.ndarray, least: int, parts: int) -> DataFrame
     return bounded_batches(docs.select("doc_id", "text")).mapInArrow(run, "part int, payload binary")
 
 
+def _lists(raw: list, hot: np.ndarray) -> tuple:
+    """(set ids, sizes, members, number of the set of each, frequency) of the
+    members in the blocks ``raw`` that two or more sets hold."""
+    got, member, owner, at = [_unpack(p, SENT) for p in raw], [], [], 0
+    for ids, n, lo, hi, no in got:
+        member.append((hi.astype(np.uint64) << np.uint64(32)) | lo)
+        owner.append(no.astype(np.int64) + at)
+        at += len(ids)
+    ids, n = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
+    member, owner = np.concatenate(member), np.concatenate(owner)
+    del got
+    uniq, first, back = np.unique(ids, return_index=True, return_inverse=True)
+    size, owner = n[first], back[owner]
+    o = np.lexsort((owner, member))
+    member, owner = member[o], owner[o]
+    new = np.concatenate([[True], (member[1:] != member[:-1]) | (owner[1:] != owner[:-1])])
+    member, owner = member[new], owner[new]
+    start = np.flatnonzero(np.concatenate([[True], member[1:] != member[:-1]]))
+    df = np.diff(np.concatenate([start, [len(member)]]))
+    freq = np.repeat(np.minimum(df, 65_534), df).astype("<u2")
+    if len(hot):
+        i = np.minimum(np.searchsorted(hot, member), len(hot) - 1)
+        freq[hot[i] == member] = 65_535
+    keep = freq > 1
+    return uniq, size, member[keep], owner[keep], freq[keep]
+
+
+def _possible_sets(blocks: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
+    """(set_id, n) of the sets of which enough leading members are shared."""
+
+    def run(batches):
+        release_memos()
+        return_free_memory()
+        raw = [p for b in batches for p in b.column(1).to_pylist()]
+        if raw:
+            uniq, size, _, owner, _ = _lists(raw, hot)
+            k = np.bincount(owner, minlength=len(uniq))
+            yield pa.RecordBatch.from_arrays([pa.array(uniq[k > 0]), pa.array(size[k > 0].astype(np.int64)),
+                                              pa.array(k[k > 0])], names=["set_id", "n", "k"])
+
+    got = blocks.repartition(parts, "part").mapInArrow(run, "set_id long, n long, k long")
+    need = F.expr(f"1 + (({PERCENT} * n + 99) div 100) div {LEAD_SHARE}")  # lead_shared(n)
+    return got.groupBy("set_id", "n").agg(F.sum("k").alias("k")).where(F.col("k") >= need).select("set_id", "n")
+
+
+def _only(docs: DataFrame, ids: DataFrame, count: int) -> DataFrame:
+    """``docs`` whose doc_id is one of ``ids``, and a few others: those whose
+    hash meets a set bit.  The texts stay where they are; the bitmap that is
+    broadcast has at most ``MOST_BITS`` bits, whatever the number of ids."""
+    bits = 1 << 15
+    while bits < min(MOST_BITS, BITS_EACH * count):
+        bits *= 2
+    place = F.pmod(F.xxhash64("doc_id"), F.lit(bits)) + 1
+    bucket, bit = F.bitmap_bucket_number(place), F.bitmap_bit_position(place)
+    maps = ids.groupBy(bucket.alias("bucket")).agg(F.bitmap_construct_agg(bit).alias("bitmap"))
+    near = docs.withColumn("bucket", bucket).withColumn("bit", bit).join(F.broadcast(maps), "bucket")
+    byte = "cast(conv(hex(substring(bitmap, cast(bit div 8 as int) + 1, 1)), 16, 10) as int)"
+    return near.where(F.expr(f"shiftright({byte}, cast(bit % 8 as int)) & 1 = 1")).select(*docs.columns)
+
+
 def _count(blocks: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
     """Blocks (part, payload) by set of the members that two or more sets hold."""
 
@@ -279,28 +372,8 @@ def _count(blocks: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
         raw = [p for b in batches for p in b.column(1).to_pylist()]
         if not raw:
             return
-        got, member, owner, at = [_unpack(p, SENT) for p in raw], [], [], 0
-        for ids, n, lo, hi, no in got:
-            member.append((hi.astype(np.uint64) << np.uint64(32)) | lo)
-            owner.append(no.astype(np.int64) + at)
-            at += len(ids)
-        ids, n = np.concatenate([g[0] for g in got]), np.concatenate([g[1] for g in got])
-        member, owner = np.concatenate(member), np.concatenate(owner)
-        del got, raw
-        uniq, first, back = np.unique(ids, return_index=True, return_inverse=True)
-        size, owner = n[first], back[owner]
-        o = np.lexsort((owner, member))
-        member, owner = member[o], owner[o]
-        new = np.concatenate([[True], (member[1:] != member[:-1]) | (owner[1:] != owner[:-1])])
-        member, owner = member[new], owner[new]
-        start = np.flatnonzero(np.concatenate([[True], member[1:] != member[:-1]]))
-        df = np.diff(np.concatenate([start, [len(member)]]))
-        freq = np.repeat(np.minimum(df, 65_534), df).astype("<u2")
-        if len(hot):
-            i = np.minimum(np.searchsorted(hot, member), len(hot) - 1)
-            freq[hot[i] == member] = 65_535
-        keep = freq > 1
-        member, owner, freq = member[keep], owner[keep], freq[keep]
+        uniq, size, member, owner, freq = _lists(raw, hot)
+        del raw
         part = uniq[owner] % parts
         o = np.lexsort((owner, part))
         member, owner, freq, part = member[o], owner[o], freq[o], part[o]
@@ -479,14 +552,23 @@ def join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> Dat
     nodes = rows.where("n > 0 and doc_id is not null")
     n_docs, n_members = nodes.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
     least_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    parts = max(least_parts, min(MOST_PARTS * least_parts, -(-n_members // PART_MEMBERS)))
     often = table.where("n is null").groupBy("set_id").agg(F.sum("doc_id").alias("k")).where(
         F.col("k") >= max(2.0, HOT_SHARE / 2 * n_docs))
     hot = np.sort(np.array([r[0] for r in often.select("set_id").collect()], dtype=np.int64).view(np.uint64))
     small = staged(nodes.where(F.col("n") <= SMALL_MAX).select("set_id", "n", "members").dropDuplicates(["set_id"]), "small")
     n0 = boundary(small)
     least = -(-PERCENT * (n0 + 1) // 100)
-    sent = _send(src.where("doc_id is not null"), hot, least, parts)
+    # first pass: which sets share enough of their leading members
+    named = src.where("doc_id is not null")
+    parts = max(least_parts, -(-lead_length(n_members) // PART_MEMBERS))
+    possible = _possible_sets(_send(named, hot, least, parts, lead=True), hot, parts)
+    possible = nodes.select("doc_id", "set_id").join(possible, "set_id").groupBy("set_id").agg(
+        F.min("doc_id").alias("doc_id"), F.first("n").alias("n"))
+    possible = staged(possible, "possible")
+    count, n_members = possible.agg(F.count("*"), F.coalesce(F.sum("n"), F.lit(0))).first()
+    # second pass: all members of one document of each
+    parts = max(least_parts, -(-n_members // PART_MEMBERS))
+    sent = _send(_only(named, possible.select("doc_id"), count), hot, least, parts)
     sets = staged(_candidates(_count(sent, hot, parts), parts), "candidates")
     links = _subset_links(small.where(F.col("n") <= n0), n0).unionByName(_list_links(sets))
     label = components(links, "a", "b")
