@@ -58,8 +58,8 @@ PART_MEMBERS = 1_000_000
 LEAD_SHARE = 10
 #: bits of the bitmap of possible documents, for each of them and at most (32 MB)
 BITS_EACH, MOST_BITS = 16, 1 << 28
-#: rounds of single comparisons, and sets in one chunk of a list, for the rest
-ROUNDS, LIST_CHUNK = 3, 20_000
+#: rounds of single comparisons, and entries of a list that are dealt together
+ROUNDS, LIST_CHUNK = 3, 512
 #: sets on either side of a cell in which what is left is compared
 CELL = 1_000
 _M48 = np.uint64((1 << 48) - 1)
@@ -390,7 +390,8 @@ def _count(blocks: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
 
 
 def _candidates(blocks: DataFrame, parts: int) -> DataFrame:
-    """Sets with enough shared members: set_id, n, shared members, prefix."""
+    """Sets with enough shared members: set_id, n, shared members, prefix and
+    how many sets hold each member of the prefix (65,535 for a hot one)."""
 
     def run(batches):
         release_memos()
@@ -415,14 +416,17 @@ def _candidates(blocks: DataFrame, parts: int) -> DataFrame:
         member, owner = member[o], owner[o]
         at = np.cumsum(shared) - shared
         take = shared + 1 - (-(-PERCENT * n // 100))  # prefix less the members nobody shares
-        prefix = member[np.arange(len(member)) - at[owner] < take[owner]]
+        early = np.arange(len(member)) - at[owner] < take[owner]
+        prefix, freq = member[early], freq[o][early]
         off = lambda c: pa.array(np.concatenate([[0], np.cumsum(c)]), pa.int32())
         yield pa.RecordBatch.from_arrays(
             [pa.array(uniq), pa.array(n), pa.ListArray.from_arrays(off(shared), pa.array(member.astype(np.int64))),
-             pa.ListArray.from_arrays(off(take), pa.array(prefix.astype(np.int64)))],
-            names=["set_id", "n", "members", "prefix"])
+             pa.ListArray.from_arrays(off(take), pa.array(prefix.astype(np.int64))),
+             pa.ListArray.from_arrays(off(take), pa.array(freq.astype(np.int32)))],
+            names=["set_id", "n", "members", "prefix", "freq"])
 
-    return blocks.repartition(parts, "part").mapInArrow(run, "set_id long, n long, members array<long>, prefix array<long>")
+    return blocks.repartition(parts, "part").mapInArrow(
+        run, "set_id long, n long, members array<long>, prefix array<long>, freq array<int>")
 
 
 def _verified(pairs: DataFrame, sets: DataFrame) -> DataFrame:
@@ -440,10 +444,23 @@ def _possible(x: str, y: str):
     return 100 * most >= PERCENT * (F.col(f"{x}.n") + F.col(f"{y}.n") - most)
 
 
+def _dealt(lists: DataFrame) -> DataFrame:
+    """A row of each list (t, parts) for every part of it."""
+    return lists.withColumn("part", F.explode(F.sequence(F.lit(0), F.col("parts") - 1))).drop("parts")
+
+
 def _list_links(sets: DataFrame) -> DataFrame:
-    """(a, b): links that connect all candidate sets that must be connected."""
-    entries = sets.select("set_id", "n", F.size("members").alias("shared"), F.explode("prefix").alias("t"))
-    entries = staged(entries.join(entries.groupBy("t").count().where("count > 1"), "t"), "lists")
+    """(a, b): links that connect all candidate sets that must be connected.
+
+    A list's entries are dealt to parts by their set, one for each
+    ``LIST_CHUNK`` sets that hold the member, and what is known of the list is
+    copied to its parts; so a long list is never read by one task."""
+    entries = sets.select("set_id", "n", F.size("members").alias("shared"), F.explode(F.arrays_zip("prefix", "freq")).alias("e"))
+    parts = F.ceil(F.col("e.freq") / LIST_CHUNK).cast("int")
+    entries = entries.select("set_id", "n", "shared", F.col("e.prefix").alias("t"), parts.alias("parts"),
+                             F.pmod(F.xxhash64("set_id"), parts).cast("int").alias("part"))
+    lists = entries.groupBy("t", "parts").count().where("count > 1").drop("count")
+    entries = staged(entries.join(_dealt(lists), ["t", "part"], "left_semi"), "lists")
     links, label = None, None
     for r in range(ROUNDS + 1):
         if label is None:
@@ -451,12 +468,14 @@ def _list_links(sets: DataFrame) -> DataFrame:
         else:
             here = (entries.join(label, F.col("set_id") == F.col("node"), "left")
                     .withColumn("c", F.coalesce("component", "set_id")).drop("node", "component"))
-            mixed = here.groupBy("t").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1").select("t")
-            here = staged(here.join(mixed, "t"), "lists")
+            mixed = here.groupBy("t", "parts").agg(F.min("c").alias("c0"), F.max("c").alias("c1")).where("c0 < c1")
+            here = staged(here.join(_dealt(mixed.select("t", "parts")), ["t", "part"], "left_semi"), "lists")
         if r < ROUNDS:
-            one = here.groupBy("t").agg(F.min_by(F.struct("set_id", "n", "shared", "c"), F.xxhash64("set_id", F.lit(r))).alias("y"))
+            one = here.groupBy("t", "parts").agg(
+                F.min_by(F.struct("set_id", "n", "shared", "c"), F.xxhash64("set_id", F.lit(r))).alias("y"))
             x = F.struct("set_id", "n", "shared", "c").alias("x")
-            pairs = here.select("t", x).join(one, "t").where("x.c != y.c").where(_possible("x", "y"))
+            pairs = (here.select("t", "part", x).join(_dealt(one), ["t", "part"])
+                     .where("x.c != y.c").where(_possible("x", "y")))
             pairs = pairs.select(F.least("x.set_id", "y.set_id").alias("a"), F.greatest("x.set_id", "y.set_id").alias("b")).distinct()
             found = _verified(pairs, sets)
         else:
@@ -473,45 +492,30 @@ def _list_links(sets: DataFrame) -> DataFrame:
 def _rest(here: DataFrame, sets: DataFrame) -> DataFrame:
     """(a, b): links among all pairs across components that share a list.
 
-    For every set outside its list's largest component the sets of its lists
-    are united to one array; it then meets those sets in cells of about
-    ``CELL`` on either side, which give links, not pairs."""
-    most = here.groupBy("t", "c").count().groupBy("t").agg(F.max_by("c", F.struct("count", "c")).alias("top"))
-    here = here.join(most, "t")
-    part = F.pmod(F.xxhash64("set_id"), F.ceil(F.col("count") / LIST_CHUNK)).alias("part")
-    lists = here.groupBy("t", part).agg(F.collect_list(F.struct("set_id", "n", "shared", "c")).alias("ys"))
-    some = here.where("c != top").select("t", F.struct("set_id", "n", "shared", "c").alias("x"))
-    joined = some.join(lists, "t").select("x.set_id", F.expr(
+    A list's sets are cut by a hash of the set into cells of about ``CELL``
+    sets of all that are left.  Every set outside its list's largest component
+    gets, for each cell, the sets there that its lists name: at most a cell's
+    worth, however long the lists are.  Sets so gathered are then compared
+    in blocks (cell, row) of about ``CELL`` sets on either side, to which only
+    the sets that a block names travel; they give links, not pairs."""
+    most = here.groupBy("t", "parts", "c").count().groupBy("t", "parts").agg(F.max_by("c", F.struct("count", "c")).alias("top"))
+    here = here.join(_dealt(most), ["t", "part"])
+    cells = 1 + here.select("set_id").distinct().count() // CELL
+    cell = F.pmod(F.xxhash64("set_id", F.lit("cell")), F.lit(cells)).alias("cell")
+    lists = here.groupBy("t", "parts", cell).agg(F.collect_list(F.struct("set_id", "n", "shared", "c")).alias("ys"))
+    # each part of a list, its sets outside the largest component, meets each of the list's cells
+    some = here.where("c != top").groupBy("t", "part").agg(F.collect_list(F.struct("set_id", "n", "shared", "c")).alias("xs"))
+    joined = _dealt(lists).join(some, ["t", "part"]).select("cell", "ys", F.explode("xs").alias("x")).select("x.set_id", "cell", F.expr(
         f"""transform(filter(ys, y -> y.c != x.c and 100 * least(x.shared, y.shared) >=
             {PERCENT} * (x.n + y.n - least(x.shared, y.shared))), y -> y.set_id)""").alias("ys"))
-    united = joined.where("size(ys) > 0").groupBy("set_id").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))
+    united = joined.where("size(ys) > 0").groupBy("set_id", "cell").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))
     united = staged(united, "rest")
-    cells = 1 + here.select("set_id").distinct().count() // CELL
-    rows = 1 + united.count() // CELL
-
-    def split(batches):
-        for b in batches:
-            got = []
-            for x, ys in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-                y = np.array(ys, dtype=np.int64)
-                cell = (mix(y.view(np.uint64)) % np.uint64(cells)).astype(np.int64)
-                row = int(mix(np.array([x], dtype=np.int64).view(np.uint64))[0] % np.uint64(rows))
-                got += [(int(c), row, x, y[cell == c]) for c in np.unique(cell)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([g[0] for g in got], pa.int64()), pa.array([g[1] for g in got], pa.int64()),
-                 pa.array([g[2] for g in got], pa.int64()), pa.array([g[3] for g in got], pa.list_(pa.int64()))],
-                names=["cell", "row", "set_id", "ys"])
-
-    def number(batches):
-        for b in batches:
-            cell = mix(np.asarray(b.column(0)).view(np.uint64)) % np.uint64(cells)
-            yield pa.RecordBatch.from_arrays([pa.array(cell.astype(np.int64)), *b.columns], names=["cell", "set_id", "n", "members"])
-
-    kind = "set_id long, n long, members array<long>"
-    xs = united.mapInArrow(split, "cell long, row long, set_id long, ys array<long>").join(
-        sets.select("set_id", "n", "members"), "set_id").select("cell", "row", "set_id", "n", "members", "ys")
-    ys = (sets.select("set_id", "n", "members").join(here.select("set_id").distinct(), "set_id", "left_semi").mapInArrow(number, "cell long, " + kind)
-          .withColumn("row", F.explode(F.sequence(F.lit(0), F.lit(rows - 1)).cast("array<bigint>"))))
+    rows = 1 + united.select("set_id").distinct().count() // CELL
+    united = united.withColumn("row", F.pmod(F.xxhash64("set_id", F.lit("row")), F.lit(rows)))
+    have = sets.select("set_id", "n", "members")
+    xs = united.join(have, "set_id").select("cell", "row", "set_id", "n", "members", "ys")
+    named = united.select("cell", "row", F.explode("ys").alias("set_id")).distinct()
+    ys = named.join(have, "set_id").select(*[F.col(c).alias(c) for c in ("cell", "set_id", "n", "members", "row")])
     return xs.groupBy("cell", "row").cogroup(ys.groupBy("cell", "row")).applyInArrow(_meet, "a long, b long").distinct()
 
 

@@ -55,8 +55,8 @@ def texts():
     return out
 
 
-@pytest.mark.parametrize("lowered", [{}, {"ROUNDS": 0, "LIST_CHUNK": 7, "CELL": 5, "HOT_SHARE": 0.05, "PART_MEMBERS": 900},
-                                     {"ROUNDS": 1, "LIST_CHUNK": 11, "CELL": 9, "HOT_SHARE": 0.002, "MOST_BITS": 1 << 15}])
+@pytest.mark.parametrize("lowered", [{}, {"ROUNDS": 0, "LIST_CHUNK": 2, "CELL": 5, "HOT_SHARE": 0.05, "PART_MEMBERS": 900},
+                                     {"ROUNDS": 1, "LIST_CHUNK": 3, "CELL": 9, "HOT_SHARE": 0.002, "MOST_BITS": 1 << 15}])
 def test_join_against_brute_force(spark, texts, monkeypatch, lowered):
     for name, value in lowered.items():
         monkeypatch.setattr(jaccard, name, value)
