@@ -514,7 +514,8 @@ def _rest(here: DataFrame, sets: DataFrame) -> DataFrame:
     united = united.withColumn("row", F.pmod(F.xxhash64("set_id", F.lit("row")), F.lit(rows)))
     have = sets.select("set_id", "n", "members")
     xs = united.join(have, "set_id").select("cell", "row", "set_id", "n", "members", "ys")
-    named = united.select("cell", "row", F.explode("ys").alias("set_id")).distinct()
+    named = united.groupBy("cell", "row").agg(F.array_distinct(F.flatten(F.collect_list("ys"))).alias("ys"))
+    named = named.select("cell", "row", F.explode("ys").alias("set_id"))
     ys = named.join(have, "set_id").select(*[F.col(c).alias(c) for c in ("cell", "set_id", "n", "members", "row")])
     return xs.groupBy("cell", "row").cogroup(ys.groupBy("cell", "row")).applyInArrow(_meet, "a long, b long").distinct()
 
