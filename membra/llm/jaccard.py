@@ -235,6 +235,7 @@ def _unpack(raw: bytes, kinds: list) -> list:
 
 
 SENT = [("<i8", 0), ("<i4", 0), ("<u4", 1), ("<u2", 1), ("<u2", 1)]  # set, size | member low, high, set's number
+SHARED = [("<i8", 0), ("<i4", 0), ("<i4", 0)]  # set, size, shared leading members
 BACK = [("<i8", 0), ("<i4", 0), ("<i4", 0), ("<u8", 1), ("<u2", 1)]  # set, size, members | member, frequency
 
 
@@ -337,15 +338,33 @@ def _possible_sets(blocks: DataFrame, hot: np.ndarray, parts: int) -> DataFrame:
         release_memos()
         return_free_memory()
         raw = [p for b in batches for p in b.column(1).to_pylist()]
-        if raw:
-            uniq, size, _, owner, _ = _lists(raw, hot)
-            k = np.bincount(owner, minlength=len(uniq))
-            yield pa.RecordBatch.from_arrays([pa.array(uniq[k > 0]), pa.array(size[k > 0].astype(np.int64)),
-                                              pa.array(k[k > 0])], names=["set_id", "n", "k"])
-
-    got = blocks.repartition(parts, "part").mapInArrow(run, "set_id long, n long, k long")
-    need = F.expr(f"1 + (({PERCENT} * n + 99) div 100) div {LEAD_SHARE}")  # lead_shared(n)
-    return got.groupBy("set_id", "n").agg(F.sum("k").alias("k")).where(F.col("k") >= need).select("set_id", "n")
+        if not raw:
+            return
+        uniq, size, _, owner, _ = _lists(raw, hot)
+        del raw
+        k = np.bincount(owner, minlength=len(uniq))
+        uniq, size, k = uniq[k > 0], size[k > 0], k[k > 0]
+        part = uniq % parts
+        o = np.argsort(part, kind="stable")
+        cut = np.searchsorted(part[o], np.arange(parts + 1))
+        for p in np.flatnonzero(np.diff(cut)):
+            at = o[cut[p] : cut[p + 1]]
+            yield pa.RecordBatch.from_arrays([pa.array([p], pa.int32()), pa.array([_pack(
+                [len(at), 0], [uniq[at].astype("<i8"), size[at].astype("<i4"), k[at].astype("<i4")])], pa.binary())],
+                names=["part", "payload"])
+
+    def add(batches):
+        release_memos()
+        got = [_unpack(p, SHARED) for b in batches for p in b.column(1).to_pylist()]
+        if got:
+            ids, n, k = (np.concatenate([g[i] for g in got]) for i in range(3))
+            uniq, first, back = np.unique(ids, return_index=True, return_inverse=True)
+            n = n[first].astype(np.int64)
+            good = np.bincount(back, weights=k, minlength=len(uniq)) >= lead_shared(n)
+            yield pa.RecordBatch.from_arrays([pa.array(uniq[good]), pa.array(n[good])], names=["set_id", "n"])
+
+    counted = blocks.repartition(parts, "part").mapInArrow(run, "part int, payload binary")
+    return counted.repartition(parts, "part").mapInArrow(add, "set_id long, n long")
 
 
 def _only(docs: DataFrame, ids: DataFrame, count: int) -> DataFrame:
