@@ -771,18 +771,20 @@ BARE_TEXT_DAY = 28
 EVENTS_PER_DOCUMENT = 50_000
 
 
-def land_event_snapshots(spark: SparkSession, sf: str, path: str, broken: bool = False) -> None:
+def land_event_snapshots(spark: SparkSession, sf: str, path: str, broken: bool = False,
+                         days: str = "true") -> None:
     """One snapshot version per event day: YAML documents ``{event_type:
     [member, ...]}`` with one flow-style member per event, written by Spark
     into ``path/file_name=<version>/salt=<k>/part-*``.  The number of documents
     of a version follows from its events, so no document grows with the data.
-    With ``broken`` one part of the versions of ``BROKEN_DAYS`` is bad."""
-    e = table(spark, sf, "events").withColumn("day", F.col("ts").cast("date"))
-    days = e.groupBy("day").agg(F.ceil(F.count(F.lit(1)) / EVENTS_PER_DOCUMENT).alias("n"),
+    With ``broken`` one part of the versions of ``BROKEN_DAYS`` is bad; ``days``
+    is a condition on ``day`` for the versions to land."""
+    e = table(spark, sf, "events").withColumn("day", F.col("ts").cast("date")).filter(days)
+    sizes = e.groupBy("day").agg(F.ceil(F.count(F.lit(1)) / EVENTS_PER_DOCUMENT).alias("n"),
                                 F.min("event_id").alias("first_id"))
     parts = F.col("n") + 1
     salt = F.pmod(F.xxhash64("event_id"), parts)
-    named = join_on(e, days, ["day"], "inner").select(
+    named = join_on(e, sizes, ["day"], "inner").select(
         "event_id", "event_type", "user_id", "value", F.dayofmonth("day").alias("dom"),
         version_file_name(SNAPSHOT_PREFIX, F.col("day"),
                           F.md5(F.col("day").cast("string"))).alias("file_name"),

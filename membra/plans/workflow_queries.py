@@ -23,6 +23,7 @@ from ..operators.roles import classify_roles
 from ..rules import legacy as lg
 from ..session import shared_dir
 from ..sources import files as fl
+from ..streaming.snapshot_stream import facts_stream
 from . import driver_queries as dq
 from . import oracle_sql as sql
 from .tables import table
@@ -319,3 +320,20 @@ def table_dims(spark: SparkSession, sf: str) -> DataFrame:
 SQL["table_dims"] = " UNION ALL ".join(
     f"SELECT '{t}' AS name, (SELECT count(*) FROM {t}) AS rows, "
     f"CAST((SELECT count(*) FROM (DESCRIBE {t})) AS INTEGER) AS columns" for t in ("region", "supplier", "orders", "lineitem"))
+
+
+# ---------------------------------------------------------------------------
+# Period facts kept up to date
+# ---------------------------------------------------------------------------
+@_query
+def period_facts_merged(spark: SparkSession, sf: str) -> DataFrame:
+    """K1 in two landings: the versions of even days, then those of odd days,
+    each merged into the facts of the periods by a run of its own."""
+    landing, sink = shared_dir(spark, "landing"), shared_dir(spark, "facts")
+    for days in ("day(day) % 2 = 0", "day(day) % 2 = 1"):
+        dq.land_event_snapshots(spark, sf, landing, days=days)
+        facts = facts_stream(spark, landing, sink, sink + "-checkpoint", dq._members_from_decoded)
+    return facts
+
+
+SQL["period_facts_merged"] = sql.SNAPSHOT_MEMBERS

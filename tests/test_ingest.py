@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from conftest import rows
 from membra.sources import files as fl
 from membra.sources import snapshots as snap
-from membra.streaming.snapshot_stream import snapshot_stream
+from membra.streaming.snapshot_stream import facts_stream, merge_facts, snapshot_stream
 
 GOOD = """HSAG:
 - {name: Ann Smith, bioguide: S000001, title: Chair, icpsr: 101}
@@ -109,6 +109,60 @@ def test_stream_is_incremental(spark):
     assert out.filter(F.col("member")["name"] == "New One").count() == 1
 
 
+def _facts(decoded):
+    return snap.per_period_distinct(snap.member_rows(decoded, ["name", "icpsr"]),
+                                    ["congress", "thomas_id", "name", "icpsr"])
+
+
+def _land(landing, name, text):
+    p = os.path.join(landing, f"file_name={name}")
+    os.makedirs(p)
+    _write(p, "part-0.txt", text)
+
+
+FACT_DOCS = {"committee-membership-2021-01-05-aaaaaaa.yaml": "HSAG:\n- {name: A, icpsr: 1}\n- {name: B}\n- {name: B}\n",
+             "committee-membership-2021-02-05-bbbbbbb.yaml": "HSAG:\n- {name: B}\n- {name: C, icpsr: 3}\n",
+             "committee-membership-2021-02-06-ddddddd.yaml": "HSAG: [\n",
+             "committee-membership-2023-02-05-ccccccc.yaml": "HSAG:\n- {name: B}\n"}
+
+
+def test_facts_of_several_landings_are_those_of_one(spark):
+    once = tempfile.mkdtemp(prefix="membra-facts-")
+    step = tempfile.mkdtemp(prefix="membra-facts-")
+
+    def run(landing):
+        return facts_stream(spark, landing, landing + "-sink", landing + "-ckpt", _facts)
+
+    assert run(step).count() == 0  # nothing landed
+    for name, text in FACT_DOCS.items():
+        _land(once, name, text)
+        _land(step, name, text)
+        run(step)
+    cols = ("congress", "thomas_id", "name", "icpsr")
+    want = rows(run(once), *cols)
+    assert rows(run(step), *cols) == want
+    assert want == sorted([(117, "HSAG", "A", "1"), (117, "HSAG", "B", None), (117, "HSAG", "C", "3"),
+                           (118, "HSAG", "B", None)], key=repr)
+    # each file is decoded by one batch, and a fact is written by the first that has it
+    decoded = spark.read.option("basePath", step + "-sink/decoded").parquet(step + "-sink/decoded")
+    assert decoded.groupBy("source_file").agg(F.countDistinct("batch").alias("n")).filter("n > 1").isEmpty()
+    assert decoded.select("batch").distinct().count() == len(FACT_DOCS)
+
+
+def test_a_repeated_batch_adds_nothing(spark):
+    landing = tempfile.mkdtemp(prefix="membra-facts-")
+    sink = landing + "-sink"
+    for name, text in list(FACT_DOCS.items())[:1]:
+        _land(landing, name, text)
+    facts = facts_stream(spark, landing, sink, landing + "-ckpt", _facts)
+    before = rows(facts, *facts.columns)
+    files = snap.decode_snapshots(snap.list_snapshots(spark, landing, partitioned=True))
+    for batch in (0, 0, 1, 1):
+        merge_facts(files, batch, sink, _facts)
+    again = spark.read.schema(facts.schema).parquet(sink + "/facts")
+    assert len(before) == 2 and rows(again, *facts.columns) == before
+
+
 def test_typed_csv_positional_stage_and_report(spark):
     d = tempfile.mkdtemp(prefix="membra-csv-")
     p = os.path.join(d, "corr.csv")
