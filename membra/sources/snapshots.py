@@ -2,7 +2,7 @@
 
 A snapshot file is a YAML document ``{group_id: [member, ...], ...}`` whose
 file name carries the version date.  Files are read whole (one row per file,
-so a file is never split across tasks), decoded in ``mapInPandas`` - the only
+so a file is never split across tasks), decoded in ``mapInArrow`` - the only
 Python step - and everything after that is DataFrame code.  A version that
 fails any check in any of its part files is dropped *whole*; its bad parts are
 reported in a quarantine table.
@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.periods import SNAPSHOT_DATE_PATTERN, period_of, snapshot_date_of
+from ..session import bound_batches
 
 # Fixed value: snapshot file names accepted by the listing.
 SNAPSHOT_NAME_PATTERN = r"^committee-membership-\d{4}-\d{2}-\d{2}(-[a-f0-9]{7,40}).*\.ya?ml$"
@@ -37,6 +38,10 @@ DECODED_SCHEMA = T.StructType([
 # name gets the suffix ``_member``.
 ROW_COLUMNS = ("snapshot_date", "congress", "source_file", "source_path", "thomas_id",
                "group_pos", "member_pos")
+# Files and bytes handed to the decoder at once (a longer file
+# goes alone), and rows handed back at once.
+BATCH_FILES, BATCH_BYTES = 1_000, 16 << 20
+ROWS_PER_BATCH = 5_000
 # The column of a member written as bare text instead of a mapping.
 BARE_TEXT_KEY = "value"
 
@@ -133,24 +138,40 @@ def decode_document(text: str | None, file_name: str):
 
 
 def _decode_batches(batches):
-    import pandas as pd
-
-    cols = [f.name for f in DECODED_SCHEMA.fields]
-    for pdf in batches:
-        out = []
-        for name, path, content in zip(pdf["source_file"], pdf["source_path"], pdf["content"]):
-            ok, reason, rows = decode_document(content, name)
+    """Decoded rows of each document in turn, ``ROWS_PER_BATCH`` at a time: a task
+    holds one document's rows, however many documents it reads."""
+    import pyarrow as pa
+
+    schema = pa.schema([
+        ("source_file", pa.string()), ("source_path", pa.string()), ("ok", pa.bool_()),
+        ("reason", pa.string()), ("thomas_id", pa.string()), ("group_pos", pa.int32()),
+        ("member_pos", pa.int32()), ("member", pa.map_(pa.string(), pa.string()))])
+
+    def batch(name, path, ok, reason, rows):
+        n = len(rows)
+        cols = [[name] * n, [path] * n, [ok] * n, [reason] * n,
+                *([r[i] for r in rows] for i in range(3)),
+                [None if r[3] is None else list(r[3].items()) for r in rows]]
+        return pa.RecordBatch.from_arrays(
+            [pa.array(c, type=f.type) for c, f in zip(cols, schema)], schema=schema)
+
+    for files in batches:
+        names, paths, contents = (files.column(files.schema.get_field_index(c))
+                                  for c in ("source_file", "source_path", "content"))
+        for i in range(files.num_rows):
+            name, path = names[i].as_py(), paths[i].as_py()
+            ok, reason, rows = decode_document(contents[i].as_py(), name)
             if not ok:
-                out.append((name, path, False, reason, None, None, None, None))
-            else:
-                out.extend((name, path, True, None, g, gp, mp, m) for g, gp, mp, m in rows)
-        yield pd.DataFrame(out, columns=cols)
+                rows = [(None, None, None, None)]
+            for at in range(0, len(rows), ROWS_PER_BATCH):
+                yield batch(name, path, ok, reason, rows[at:at + ROWS_PER_BATCH])
 
 
 def decode_snapshots(files: DataFrame) -> DataFrame:
     """One row per (file, group, member) for good files, one row with
     ``ok = false`` and a reason per bad file."""
-    return files.select("source_file", "source_path", "content").mapInPandas(
+    bound_batches(files.sparkSession, BATCH_FILES, BATCH_BYTES)
+    return files.select("source_file", "source_path", "content").mapInArrow(
         _decode_batches, DECODED_SCHEMA)
 
 

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..sources.snapshots import DECODED_SCHEMA, SNAPSHOT_NAME_PATTERN, _decode_batches
+from ..sources.snapshots import DECODED_SCHEMA, SNAPSHOT_NAME_PATTERN, decode_snapshots
 
 
 def _decoded_stream(spark: SparkSession, landing: str, name_pattern: str, partitioned: bool,
@@ -34,7 +34,7 @@ def _decoded_stream(spark: SparkSession, landing: str, name_pattern: str, partit
              .select(name.alias("source_file"), path.alias("source_path"),
                      F.col("value").alias("content"))
              .filter(F.col("source_file").rlike(name_pattern)))
-    return files.mapInPandas(_decode_batches, DECODED_SCHEMA)
+    return decode_snapshots(files)
 
 
 def snapshot_stream(spark: SparkSession, landing: str, sink: str, checkpoint: str,

@@ -184,3 +184,27 @@ def test_typed_csv_positional_stage_and_report(spark):
     fl.write_report(staged, os.path.join(d, "report"))
     outs = [f for f in os.listdir(os.path.join(d, "report")) if f.endswith(".csv")]
     assert len(outs) == 1
+
+
+def test_decoder_holds_one_document_at_a_time(spark, monkeypatch):
+    import pyarrow as pa
+
+    name = "committee-membership-2021-01-05-aaaaaaa.yaml"
+    text = "HSAG:\n" + "".join(f"- {{name: N{i}}}\n" for i in range(12))
+    texts = [text] * 4 + ["HSAG: [\n", "", None, "SSFI: []\n", text]
+    files = pa.RecordBatch.from_arrays([pa.array(v, type=pa.string()) for v in (
+        [name] * len(texts), [f"p{i}" for i in range(len(texts))], texts)], names=["source_file", "source_path", "content"])
+    begun, decode = [], snap.decode_document
+    monkeypatch.setattr(snap, "decode_document", lambda t, n: (begun.append(n), decode(t, n))[1])
+    monkeypatch.setattr(snap, "ROWS_PER_BATCH", 5)
+    out, most = [], []
+    for b in snap._decode_batches(iter([files])):
+        out += b.to_pylist()
+        most.append((b.num_rows, len(begun)))
+    assert max(n for n, _ in most) == 5 and [k for _, k in most] == [1] * 3 + [2] * 3 + [3] * 3 + [4] * 3 + [5, 6, 7] + [9] * 3
+    assert [r["reason"].split(":")[0] for r in out if not r["ok"]] == ["unparsable", "empty or not a mapping", "empty or not a mapping"]
+    good = [r for r in out if r["ok"]]
+    assert [r["member"] for r in good] == [[("name", f"N{i}")] for i in range(12)] * 5
+    # files reach the decoder in bounded batches, in the stream as well
+    snap.decode_snapshots(spark.createDataFrame([], "source_file string, source_path string, content string"))
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxBytesPerBatch")) <= snap.BATCH_BYTES
