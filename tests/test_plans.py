@@ -47,3 +47,16 @@ def test_plan_shape(spark, name):
 def test_filters_reach_the_scan(spark):
     plan = _plan(E.queries()["correction_overlay"](spark, SF))
     assert re.search(r"PushedFilters: \[.*EqualTo\(o_orderstatus,P\)", plan)
+
+
+def test_rollup_spreads_words_over_tasks(spark, monkeypatch):
+    from membra.plans import tables
+
+    df = spark.createDataFrame([(i, "ab " * 50 if i else None) for i in range(100)], "id long, text string").coalesce(1)
+    monkeypatch.setattr(tables, "TEXT_PER_TASK", 1000)
+    out = tables.spread_by_text(df, "text")
+    assert out.rdd.getNumPartitions() == 17 and sorted(out.collect()) == sorted(df.collect())
+    assert max(out.rdd.glom().map(len).collect()) <= 10
+    assert tables.spread_by_text(df.limit(0), "text").count() == 0
+    plan = E.queries()["member_period_rollup"](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert "Repartition" in plan.split("Generate")[-1]
