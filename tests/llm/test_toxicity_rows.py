@@ -47,3 +47,23 @@ def test_all_labelled_rows_count(spark, monkeypatch):
 def test_best_cut_of_counted_rows():
     p, y, n = np.array([0.9, 0.8, 0.8, 0.2]), np.array([1, 1, 0, 0]), np.array([3, 2, 1, 50])
     assert toxicity._best_cut(p, y, n) == toxicity._best_cut(np.repeat(p, n), np.repeat(y, n)) == 0.5
+
+
+def test_only_texts_are_shuffled_and_only_learned_rows_written(spark, monkeypatch, tmp_path):
+    rng = np.random.default_rng(8)
+    vocabulary = np.array([f"{'abcdefgh'[i % 8]}{i * 7919 % 3001}x" for i in range(3000)])
+    rows = [(i, " ".join(rng.choice(vocabulary, 400)), "en") for i in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(200)], "doc_id long, toxic int")
+    plans, map_text, learned = [], toxicity.map_text, []
+    monkeypatch.setattr(toxicity, "shared_path", lambda _, name: str(tmp_path / name))
+    monkeypatch.setattr(toxicity, "map_text", lambda df, *a: (plans.append((df.columns, df._jdf.queryExecution().toString())), map_text(df, *a))[1])
+    monkeypatch.setattr(toxicity, "EPOCHS", 1)
+    used = toxicity._used_rows
+    monkeypatch.setattr(toxicity, "_used_rows", lambda learn: (learned.append(learn.count()), used(learn))[1])
+    toxicity.train(docs, labels, shard_rows=50)
+    # the deal comes before the texts become rows, and held texts aren't dealt
+    assert {"shard" in columns: "Repartition" in plan for columns, plan in plans} == {True: True, False: False}
+    assert 100 < learned[0] < 200 and spark.read.parquet(str(tmp_path / "toxicity-rows")).count() == learned[0]
+    size = sum(f.stat().st_size for f in (tmp_path / "toxicity-rows").rglob("*.parquet"))
+    assert size < 0.75 * sum(len(r[1]) for r in rows)
