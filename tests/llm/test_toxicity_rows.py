@@ -67,3 +67,18 @@ def test_only_texts_are_shuffled_and_only_learned_rows_written(spark, monkeypatc
     assert 100 < learned[0] < 200 and spark.read.parquet(str(tmp_path / "toxicity-rows")).count() == learned[0]
     size = sum(f.stat().st_size for f in (tmp_path / "toxicity-rows").rglob("*.parquet"))
     assert size < 0.75 * sum(len(r[1]) for r in rows)
+
+
+def test_model_does_not_follow_how_shards_are_read(spark):
+    docs, labels = _tables(spark, 400, 10)
+    model = toxicity.train(docs, labels, shard_rows=100)
+    layout = {"spark.sql.files.openCostInBytes": "0", "spark.sql.execution.arrow.maxRecordsPerBatch": "64"}
+    had = {k: spark.conf.get(k) for k in layout}
+    try:
+        for k, v in layout.items():
+            spark.conf.set(k, v)
+        again = toxicity.train(docs, labels, shard_rows=100)
+    finally:
+        for k, v in had.items():
+            spark.conf.set(k, v)
+    assert again[1:] == model[1:] and all(np.array_equal(again[0].p[k], v) for k, v in model[0].p.items())
